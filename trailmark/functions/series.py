@@ -1,73 +1,80 @@
 """Expressions over a per-key array of monthly sums (null = month absent).
 
 A month list bounds the array, so these stay small whatever the row count.
+Arguments are column names or SQL expressions; each function folds the array in
+one pass.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def present(series: Column) -> Column:
-    return F.filter(series, lambda x: x.isNotNull())
+def present(series: str) -> Column:
+    return F.expr(f"filter({series}, x -> x IS NOT NULL)")
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-
-
-def dsum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def lower_median(values: Column) -> Column:
+def lower_median(values: str) -> Column:
     """The smallest value that at least half of the values do not exceed."""
-    middle = F.ceil(F.size(values) / 2).cast("int")
-    return F.when(F.size(values) > 0, F.element_at(F.array_sort(values), middle))
+    return F.expr(f"try_element_at(array_sort({values}), CAST(ceil(size({values}) / 2) AS INT))")
 
 
-def mean(values: Column) -> Column:
-    return F.when(F.size(values) > 0, dsum(F.transform(values, lambda x: x.cast("double"))) / F.size(values))
+def mean(values: str) -> Column:
+    return F.expr(f"aggregate({values}, 0D, (acc, x) -> acc + x) / nullif(size({values}), 0)")
 
 
-def spread(values: Column, centre: Column) -> Column:
-    """Sum of squared distances from a centre."""
-    return dsum(F.transform(values, lambda x: F.pow(x - centre, F.lit(2.0))))
+def _squares(values: str, centre: str) -> str:
+    return f"aggregate({values}, 0D, (acc, x) -> acc + (x - {centre}) * (x - {centre}))"
 
 
-def sample_std(values: Column, centre: Column) -> Column:
+def sample_std(values: str, centre: str) -> Column:
     """Sample standard deviation; null for a single value."""
-    size = F.size(values)
-    return F.when(size > 1, F.sqrt(spread(values, centre) / (size - 1)))
+    return F.expr(f"CASE WHEN size({values}) > 1 THEN sqrt({_squares(values, centre)} / (size({values}) - 1)) END")
 
 
-def population_std(values: Column, centre: Column) -> Column:
-    size = F.size(values)
-    return F.when(size > 0, F.sqrt(spread(values, centre) / size))
+def population_std(values: str, centre: str) -> Column:
+    return F.expr(f"sqrt({_squares(values, centre)} / nullif(size({values}), 0))")
 
 
-def mean_abs_dev(values: Column, centre: Column) -> Column:
-    size = F.size(values)
-    return F.when(size > 0, dsum(F.transform(values, lambda x: F.abs(x - centre).cast("double"))) / size)
+def mean_abs_dev(values: str, centre: str) -> Column:
+    return F.expr(
+        f"aggregate({values}, 0D, (acc, x) -> acc + abs(x - {centre})) / nullif(size({values}), 0)"
+    )
 
 
-def median_abs_dev(values: Column, centre: Column) -> Column:
-    return lower_median(F.transform(values, lambda x: F.abs(x - centre).cast("double")))
+def median_abs_dev(values: str, centre: str) -> Column:
+    return lower_median(f"transform({values}, x -> CAST(abs(x - {centre}) AS DOUBLE))")
 
 
-def last(values: Column, k: int) -> Column:
+def last(values: str, k: int) -> Column:
     """The last k values (all of them if there are fewer)."""
-    return F.slice(values, F.greatest(F.size(values) - F.lit(k - 1), F.lit(1)), k)
+    return F.expr(f"slice({values}, greatest(size({values}) - {k - 1}, 1), {k})")
 
 
-def prefix_sums(series: Column) -> Column:
-    """Element i holds the sum of the first i values, absent ones as 0."""
-    start = F.array(F.lit(0).cast("bigint"))
-    return F.aggregate(
-        series,
-        start,
-        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.coalesce(x, F.lit(0)))),
+def prefix_sums(series: str) -> Column:
+    """Element i + 1 holds the sum of the first i values, absent ones as 0."""
+    return F.expr(
+        f"aggregate({series}, array(0L), (acc, x) -> concat(acc, array(element_at(acc, -1) + coalesce(x, 0L))))"
     )
 
 
 def text_array(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    """A constant array of month names (which hold no comma)."""
+    return F.split(F.lit(",".join(values)), ",")
+
+
+def number_array(values: list[float]) -> Column:
+    """A constant array of doubles."""
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
+
+
+def named_points(months: list[str]) -> Column:
+    """``series`` as an ordered list of (month, n), absent months left out."""
+    names = ", ".join(f"'{m}'" for m in months)
+    return F.expr(
+        f"filter(transform(array({names}), (m, i) -> named_struct('month', m, 'n', series[i])), p -> p.n IS NOT NULL)"
+    )
+
+
+def month_at(position: str, months: list[str]) -> Column:
+    """Name of the month at a position counted from 0."""
+    return F.element_at(text_array(months), F.expr(f"{position} + 1"))

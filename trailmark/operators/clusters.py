@@ -41,8 +41,8 @@ def standardise(rows: DataFrame, vector: str = "features_raw") -> DataFrame:
 
 def distance_to(centres: list[list[float]], features: Column, cluster: Column) -> Column:
     """Distance to the assigned centre; the centres (k x dims) are a literal."""
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    return euclidean(features, F.element_at(table, cluster + 1))
+    rows = ", ".join(f"array({', '.join(f'{float(x)!r}D' for x in c)})" for c in centres)
+    return euclidean(features, F.element_at(F.expr(f"array({rows})"), cluster + 1))
 
 
 def kmeans_distances(

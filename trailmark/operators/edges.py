@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmark.functions import series as S
-from trailmark.functions.scores import guarded_ratio
 from trailmark.functions.skew import salted_join
 from trailmark.schema import EDGE
 
@@ -25,9 +24,9 @@ def monthly_series(clicks: DataFrame, keys: list[str], months: list[str]) -> Dat
     position = F.array_position(S.text_array(months), F.col("month"))
     rows = clicks.filter(F.col("month").isin(months)).select(*keys, position.alias("_m"), "n")
     if len(months) <= WIDE_MONTHS:
-        sums = [F.sum(F.when(F.col("_m") == i + 1, F.col("n"))).alias(f"_{i}") for i in range(len(months))]
-        wide = rows.groupBy(*keys).agg(*sums)
-        return wide.select(*keys, F.array(*[F.col(f"_{i}") for i in range(len(months))]).alias("series"))
+        slots = [f"_{i + 1}" for i in range(len(months))]
+        sums = [F.expr(f"sum(CASE WHEN _m = {i + 1} THEN n END) AS {slot}") for i, slot in enumerate(slots)]
+        return rows.groupBy(*keys).agg(*sums).select(*keys, F.array(*slots).alias("series"))
     summed = rows.groupBy(*keys, "_m").agg(F.sum("n").alias("n"))
     found = summed.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_m", "n"))).alias("_found")
@@ -42,10 +41,7 @@ def edge_series(clicks: DataFrame, months: list[str]) -> DataFrame:
 
 def month_pivot(series: DataFrame, months: list[str]) -> DataFrame:
     """One column per month, 0 where the edge had no traffic."""
-    columns = [
-        F.coalesce(F.element_at("series", i + 1), F.lit(0)).alias(m) for i, m in enumerate(months)
-    ]
-    return series.select(*EDGE, *columns)
+    return series.selectExpr(*EDGE, *[f"coalesce(series[{i}], 0) AS `{m}`" for i, m in enumerate(months)])
 
 
 def with_stats(df: DataFrame, history: str = "series", mad: str = "mean_abs") -> DataFrame:
@@ -56,17 +52,16 @@ def with_stats(df: DataFrame, history: str = "series", mad: str = "mean_abs") ->
     if mad not in ("mean_abs", "median_abs"):
         raise ValueError(f"unknown mad: {mad}")
     deviation = S.mean_abs_dev if mad == "mean_abs" else S.median_abs_dev
-    values, median, mean = F.col("_values"), F.col("_median"), F.col("_mean")
-    prepared = df.withColumn("_values", S.present(F.col(history))).withColumns(
-        {"_median": S.lower_median(values), "_mean": S.mean(values)}
+    prepared = df.withColumn("_values", S.present(history)).withColumns(
+        {"_median": S.lower_median("_values"), "_mean": S.mean("_values")}
     )
     return prepared.withColumns(
         {
-            "baseline_median": F.coalesce(median.cast("double"), F.lit(0.0)),
-            "baseline_mean": F.coalesce(mean, F.lit(0.0)),
-            "baseline_std": F.coalesce(S.sample_std(values, mean), F.lit(0.01)),
-            "baseline_mad": F.coalesce(deviation(values, median), F.lit(0.01)),
-            "history_months": F.size(values),
+            "baseline_median": F.expr("coalesce(CAST(_median AS DOUBLE), 0D)"),
+            "baseline_mean": F.expr("coalesce(_mean, 0D)"),
+            "baseline_std": F.coalesce(S.sample_std("_values", "_mean"), F.lit(0.01)),
+            "baseline_mad": F.coalesce(deviation("_values", "_median"), F.lit(0.01)),
+            "history_months": F.size("_values"),
         }
     ).drop("_values", "_median", "_mean")
 
@@ -144,22 +139,18 @@ def raw_row_baselines(clicks: DataFrame) -> DataFrame:
 
 def edge_features(series: DataFrame, months: list[str]) -> DataFrame:
     """Monthly counts, their ratio to the median, baselines and one-hot edge type."""
-    base = with_stats(series)
-    counts = [F.coalesce(F.element_at("series", i + 1), F.lit(0)) for i in range(len(months))]
-    median = F.col("baseline_median")
-    return base.select(
-        *EDGE,
-        "baseline_median",
-        "baseline_mean",
-        "baseline_mad",
-        *[c.alias(m) for c, m in zip(counts, months)],
-        *[guarded_ratio(c, median).alias(f"ratio_{m}") for c, m in zip(counts, months)],
-        *[(F.col("type") == t).cast("double").alias(f"type_{t}") for t in ("link", "external", "other")],
+    counts = [f"coalesce(series[{i}], 0) AS `{m}`" for i, m in enumerate(months)]
+    ratios = [
+        f"CASE WHEN baseline_median > 0 THEN coalesce(series[{i}], 0) / baseline_median ELSE 0D END AS `ratio_{m}`"
+        for i, m in enumerate(months)
+    ]
+    kinds = [f"CASE WHEN type = '{t}' THEN 1D ELSE 0D END AS type_{t}" for t in ("link", "external", "other")]
+    return with_stats(series).selectExpr(
+        *EDGE, "baseline_median", "baseline_mean", "baseline_mad", *counts, *ratios, *kinds
     )
 
 
 def last_months(series: DataFrame, months: list[str], k: int = 6) -> DataFrame:
     """The last k months in which each edge had traffic, one row per month."""
-    named = F.arrays_zip(S.text_array(months).alias("month"), F.col("series").alias("n"))
-    kept = S.last(F.filter(named, lambda p: p["n"].isNotNull()), k)
-    return series.select(*EDGE, F.inline(kept).alias("month", "n"))
+    points = series.withColumn("_points", S.named_points(months))
+    return points.select(*EDGE, F.inline(S.last("_points", k)).alias("month", "n"))

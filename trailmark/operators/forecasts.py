@@ -14,7 +14,9 @@ METHODS = ("auto", "trend", "arima", "exponential", "moving_avg")
 FLOOR = 0.1  # counts are raised to this before fitting
 NORMAL_95 = 1.96
 NORMAL_80 = 1.2815515655446004
-SMOOTHING_GRID = [round(0.1 * i, 1) for i in range(1, 10)]
+# All pairs of smoothing factors 0.1 .. 0.9.
+SMOOTHING_GRID = """flatten(transform(sequence(1, 9), a ->
+    transform(sequence(1, 9), b -> named_struct('a', a / 10D, 'b', b / 10D))))"""
 ARIMA_GRID = np.round(np.arange(-0.95, 0.951, 0.1), 2)
 
 
@@ -25,112 +27,78 @@ def _day(month: str, ahead: int = 0) -> int:
 
 def series_points(months: list[str]) -> Column:
     """Present months of ``series`` as (x = day of month start, y = floored count, next)."""
-    days = F.array(*[F.lit(_day(m)) for m in months])
-    following = F.array(*[F.lit(_day(m, 1)) for m in months])
-    zipped = F.arrays_zip(days.alias("x"), F.col("series").alias("n"), following.alias("next"))
-    return F.transform(
-        F.filter(zipped, lambda p: p["n"].isNotNull()),
-        lambda p: F.struct(
-            p["x"].cast("double").alias("x"),
-            F.greatest(p["n"].cast("double"), F.lit(FLOOR)).alias("y"),
-            p["next"].cast("double").alias("next"),
-        ),
+    days = ", ".join(f"named_struct('x', {_day(m)}D, 'next', {_day(m, 1)}D)" for m in months)
+    return F.expr(
+        f"""transform(
+            filter(transform(array({days}), (d, i) -> named_struct('d', d, 'n', series[i])), p -> p.n IS NOT NULL),
+            p -> named_struct('x', p.d.x, 'y', greatest(CAST(p.n AS DOUBLE), {FLOOR}D), 'next', p.d.next))"""
     )
 
 
 def dated_series(series: DataFrame, months: list[str]) -> DataFrame:
     """Each edge's series as an ordered list of (month, date, n)."""
-    zipped = F.arrays_zip(S.text_array(months).alias("month"), F.col("series").alias("n"))
-    points = F.transform(
-        F.filter(zipped, lambda p: p["n"].isNotNull()),
-        lambda p: F.struct(
-            p["month"].alias("month"),
-            F.to_date(F.concat(p["month"], F.lit("-01"))).alias("date"),
-            p["n"].alias("n"),
-        ),
-    )
-    return series.select(*EDGE, points.alias("points"))
+    dated = "transform(_points, p -> named_struct('month', p.month, 'date', to_date(p.month || '-01'), 'n', p.n))"
+    return series.withColumn("_points", S.named_points(months)).select(*EDGE, F.expr(dated).alias("points"))
 
 
-def _band(centre: Column, half: Column, clamp: bool) -> Column:
-    edge = (lambda c: F.greatest(c, F.lit(0.0))) if clamp else (lambda c: c)
-    return F.struct(
-        (edge(centre) if clamp else centre).alias("n"),
-        edge(centre - half).alias("lower"),
-        edge(centre + half).alias("upper"),
+def _clamped_band(centre: str, half: str) -> Column:
+    return F.expr(
+        f"""named_struct('n', greatest({centre}, 0D), 'lower', greatest({centre} - {half}, 0D),
+                         'upper', greatest({centre} + {half}, 0D))"""
     )
 
 
 def _moving_average(df: DataFrame) -> DataFrame:
-    recent = S.last(F.transform("_points", lambda p: p["y"]), 3)
-    df = df.withColumn("_recent", recent).withColumn("_avg", S.mean(F.col("_recent")))
-    std = S.population_std(F.col("_recent"), F.col("_avg"))
-    return df.withColumn("_forecast", _band(F.col("_avg"), NORMAL_95 * std, True)).drop("_recent", "_avg")
+    recent = S.last("transform(_points, p -> p.y)", 3)
+    df = df.withColumn("_recent", recent).withColumn("_avg", S.mean("_recent"))
+    df = df.withColumn("_half", NORMAL_95 * S.population_std("_recent", "_avg"))
+    return df.withColumn("_forecast", _clamped_band("_avg", "_half")).drop("_recent", "_avg", "_half")
 
 
 def _trend(df: DataFrame) -> DataFrame:
     """Least-squares line over calendar days, read at the next month start; 80 % band."""
+    fold = "aggregate(_points, 0D, (acc, p) -> acc + {})".format
+    rows = "nullif(size(_points), 0)"
+    df = df.withColumns({"_mx": F.expr(f"{fold('p.x')} / {rows}"), "_my": F.expr(f"{fold('p.y')} / {rows}")})
     df = df.withColumns(
         {
-            "_mx": S.mean(F.transform("_points", lambda p: p["x"])),
-            "_my": S.mean(F.transform("_points", lambda p: p["y"])),
+            "_sxx": F.expr(fold("(p.x - _mx) * (p.x - _mx)")),
+            "_sxy": F.expr(fold("(p.x - _mx) * (p.y - _my)")),
+            "_syy": F.expr(fold("(p.y - _my) * (p.y - _my)")),
         }
     )
-    mx, my = F.col("_mx"), F.col("_my")
+    df = df.withColumn("_slope", F.expr("CASE WHEN _sxx > 0 THEN _sxy / _sxx ELSE 0D END"))
     df = df.withColumns(
         {
-            "_sxx": S.dsum(F.transform("_points", lambda p: (p["x"] - mx) * (p["x"] - mx))),
-            "_sxy": S.dsum(F.transform("_points", lambda p: (p["x"] - mx) * (p["y"] - my))),
-            "_syy": S.dsum(F.transform("_points", lambda p: (p["y"] - my) * (p["y"] - my))),
+            "_half": F.expr(f"{NORMAL_80} * sqrt(greatest(_syy - _slope * _sxy, 0D) / {rows})"),
+            "_ahead": F.expr("_my + _slope * (try_element_at(_points, -1).next - _mx)"),
         }
     )
-    df = df.withColumn("_slope", F.when(F.col("_sxx") > 0, F.col("_sxy") / F.col("_sxx")).otherwise(F.lit(0.0)))
-    rest = F.greatest(F.col("_syy") - F.col("_slope") * F.col("_sxy"), F.lit(0.0))
-    std = F.sqrt(rest / F.greatest(F.size("_points"), F.lit(1)))
-    ahead = F.try_element_at("_points", F.lit(-1))["next"]
-    centre = my + F.col("_slope") * (ahead - mx)
-    return df.withColumn("_forecast", _band(centre, NORMAL_80 * std, False)).drop(
-        "_mx", "_my", "_sxx", "_sxy", "_syy", "_slope"
-    )
+    band = F.expr("named_struct('n', _ahead, 'lower', _ahead - _half, 'upper', _ahead + _half)")
+    return df.withColumn("_forecast", band).drop("_mx", "_my", "_sxx", "_sxy", "_syy", "_slope", "_half", "_ahead")
+
+
+# Holt's recursion for one pair g of smoothing factors.
+_SMOOTH = """aggregate(
+    slice(_y, 2, size(_y)),
+    named_struct('level', _y[0], 'trend', _slope, 'sum', 0D, 'squares', 0D),
+    (s, v) -> named_struct(
+        'level', s.level + s.trend + g.a * (v - (s.level + s.trend)),
+        'trend', s.trend + g.a * g.b * (v - (s.level + s.trend)),
+        'sum', s.sum + (v - (s.level + s.trend)),
+        'squares', s.squares + (v - (s.level + s.trend)) * (v - (s.level + s.trend))),
+    s -> named_struct('squares', s.squares, 'ahead', s.level + s.trend, 'sum', s.sum))"""
 
 
 def _exponential(df: DataFrame) -> DataFrame:
     """Holt's level and additive trend; smoothing pair with the least squared error."""
-    grid = F.array(
-        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in SMOOTHING_GRID for b in SMOOTHING_GRID]
-    )
-    y = F.transform("_points", lambda p: p["y"])
-    first = F.try_element_at(y, F.lit(1))
-    slope = F.try_element_at(y, F.lit(2)) - first
-
-    def fit(pair: Column) -> Column:
-        start = F.struct(
-            first.alias("level"), slope.alias("trend"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("squares")
-        )
-
-        def step(state: Column, value: Column) -> Column:
-            error = value - (state["level"] + state["trend"])
-            return F.struct(
-                (state["level"] + state["trend"] + pair["a"] * error).alias("level"),
-                (state["trend"] + pair["a"] * pair["b"] * error).alias("trend"),
-                (state["sum"] + error).alias("sum"),
-                (state["squares"] + error * error).alias("squares"),
-            )
-
-        def finish(state: Column) -> Column:
-            return F.struct(
-                state["squares"].alias("squares"),
-                (state["level"] + state["trend"]).alias("ahead"),
-                state["sum"].alias("sum"),
-            )
-
-        return F.aggregate(F.slice(y, F.lit(2), F.size(y)), start, step, finish)
-
-    df = df.withColumn("_fit", F.array_min(F.transform(grid, fit)))
-    size = F.greatest(F.size("_points"), F.lit(1))
-    bias = F.col("_fit.sum") / size
-    std = F.sqrt(F.greatest(F.col("_fit.squares") / size - bias * bias, F.lit(0.0)))
-    return df.withColumn("_forecast", _band(F.col("_fit.ahead"), NORMAL_95 * std, True)).drop("_fit")
+    df = df.withColumn("_y", F.expr("transform(_points, p -> p.y)"))
+    df = df.withColumn("_slope", F.expr("_y[1] - _y[0]"))
+    df = df.withColumn("_fit", F.expr(f"array_min(transform({SMOOTHING_GRID}, g -> {_SMOOTH}))"))
+    bias = "_fit.sum / size(_y)"
+    half = f"{NORMAL_95} * sqrt(greatest(_fit.squares / size(_y) - ({bias}) * ({bias}), 0D))"
+    df = df.withColumn("_half", F.expr(half))
+    return df.withColumn("_forecast", _clamped_band("_fit.ahead", "_half")).drop("_y", "_slope", "_fit", "_half")
 
 
 def _css(steps: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +139,7 @@ def arima_111(values: pd.Series) -> pd.DataFrame:
 
 def _arima(df: DataFrame) -> DataFrame:
     forecast = F.pandas_udf(arima_111, "n double, lower double, upper double")
-    return df.withColumn("_forecast", forecast(F.transform("_points", lambda p: p["y"])))
+    return df.withColumn("_forecast", forecast(F.expr("transform(_points, p -> p.y)")))
 
 
 _FITTERS = {
@@ -196,7 +164,7 @@ def fit_series(df: DataFrame, method: str = "auto") -> DataFrame:
         fitted = _moving_average(fitted.withColumnRenamed("_forecast", "_tried"))
         usable = F.col("_tried.n").isNotNull() & ~F.isnan("_tried.n")
         fitted = fitted.withColumn("_forecast", F.when(usable, F.col("_tried")).otherwise(F.col("_forecast")))
-    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("lower"), F.lit(0.0).alias("upper"))
+    zero = F.expr("named_struct('n', 0D, 'lower', 0D, 'upper', 0D)")
     return fitted.withColumn("_forecast", F.when(F.size("_points") < 3, zero).otherwise(F.col("_forecast")))
 
 
@@ -225,19 +193,24 @@ def forecast_metrics(
         F.col("_n").isNotNull() & F.col("_pos").isin(wanted)
     )
     if not include_target:
-        days = F.array(*[F.lit(_day(m)).cast("double") for m in months])
-        limit = F.element_at(days, F.col("_pos") + 1)
-        rows = rows.withColumn("_points", F.filter("_points", lambda p: p["x"] < limit))
+        rows = rows.withColumn("_start", F.get(S.number_array([_day(m) for m in months]), "_pos"))
+        rows = rows.withColumn("_points", F.expr("filter(_points, p -> p.x < _start)"))
         rows = fit_series(rows.filter(F.size("_points") >= min_history), method)
-    actual, forecast = F.col("_n").cast("double"), F.col("_forecast.n")
-    ratio = actual / (forecast + 1e-6)
-    return rows.select(
+    return rows.selectExpr(
+        *EDGE,
+        "_pos",
+        "CAST(_n AS DOUBLE) AS _actual",
+        "_forecast.n AS forecast_n",
+        "_forecast.lower AS forecast_lower",
+        "_forecast.upper AS forecast_upper",
+        "CAST(_n AS DOUBLE) / (_forecast.n + 1e-6D) AS forecast_ratio",
+    ).select(
         *EDGE,
-        F.element_at(S.text_array(months), F.col("_pos") + 1).alias("month"),
-        forecast.alias("forecast_n"),
-        F.col("_forecast.lower").alias("forecast_lower"),
-        F.col("_forecast.upper").alias("forecast_upper"),
-        (actual - forecast).alias("forecast_error"),
-        ratio.alias("forecast_ratio"),
-        ((actual > F.col("_forecast.upper")) | (ratio >= ratio_threshold)).alias("forecast_flag"),
+        S.month_at("_pos", months).alias("month"),
+        "forecast_n",
+        "forecast_lower",
+        "forecast_upper",
+        F.expr("_actual - forecast_n").alias("forecast_error"),
+        "forecast_ratio",
+        F.expr(f"_actual > forecast_upper OR forecast_ratio >= {float(ratio_threshold)}D").alias("forecast_flag"),
     )

@@ -151,7 +151,7 @@ def neighbour_embeddings(edges: DataFrame, dim: int = 64, layers: int = 2, seed:
     for layer in range(layers):
         sent = salted_join(pairs, state.select(F.col("node").alias("prev"), "h"), ["prev"], ["curr"])
         means = sent.groupBy(F.col("curr").alias("node")).agg(
-            F.array(*[F.avg(F.element_at("h", i + 1)) for i in range(dim)]).alias("_mean")
+            F.expr(f"array({', '.join(f'avg(h[{i}])' for i in range(dim))})").alias("_mean")
         )
         joined = state.join(means, "node", "left")
         mean = F.coalesce(F.col("_mean"), F.array_repeat(F.lit(0.0), dim))
@@ -283,7 +283,7 @@ def context_embeddings(paths: DataFrame, dim: int = 64, window: int = 10, seed:
         .withColumn("_v", normals(F.col("_other"), dim, seed))
     )
     sums = counts.groupBy("node").agg(
-        F.array(*[F.sum(F.col("_c") * F.element_at("_v", i + 1)) for i in range(dim)]).alias("_s")
+        F.expr(f"array({', '.join(f'sum(_c * _v[{i}])' for i in range(dim))})").alias("_s")
     )
     norm = F.sqrt(F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + x * x))
     unit = F.transform("_s", lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))

@@ -38,14 +38,14 @@ def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> Dat
     its count pooled over all earlier months (``base_n``, 0 if absent)."""
     wanted = [i for i, m in enumerate(months) if m in targets]
     rows = pairs.select(
-        "curr", "prev", S.prefix_sums(F.col("series")).alias("_upto"), F.posexplode("series").alias("_pos", "n")
+        "curr", "prev", S.prefix_sums("series").alias("_upto"), F.posexplode("series").alias("_pos", "n")
     )
     rows = rows.filter(F.col("_pos").isin(wanted)).select(
         "curr",
         "prev",
-        F.element_at(S.text_array(months), F.col("_pos") + 1).alias("month"),
+        S.month_at("_pos", months).alias("month"),
         "n",
-        F.element_at("_upto", F.col("_pos") + 1).alias("base_n"),
+        F.expr("_upto[_pos]").alias("base_n"),
     )
     return rows.filter(F.col("n").isNotNull() | (F.col("base_n") > 0))
 

@@ -70,11 +70,12 @@ def _as_spikes(scored: DataFrame, ratio_threshold: float) -> DataFrame:
     )
 
 
-def _history(series: Column, pos: Column, history: str | int) -> Column:
+def _history(history: str | int) -> Column:
+    """The months before position ``_pos``: all of them or the last few."""
     if history == "prior":
-        return F.slice(series, F.lit(1), pos)
-    start = F.greatest(pos - F.lit(int(history)), F.lit(0)) + 1
-    return F.slice(series, start, F.least(pos, F.lit(int(history))))
+        return F.expr("slice(series, 1, _pos)")
+    k = int(history)
+    return F.expr(f"slice(series, greatest(_pos - {k}, 0) + 1, least(_pos, {k}))")
 
 
 def traffic_spikes(
@@ -100,9 +101,9 @@ def traffic_spikes(
     exploded = source.select(*keep, F.posexplode("series").alias("_pos", "n"))
     rows = exploded.filter(F.col("n").isNotNull() & F.col("_pos").isin(wanted))
     if history != "all":
-        rows = rows.withColumn("_history", _history(F.col("series"), F.col("_pos"), history))
+        rows = rows.withColumn("_history", _history(history))
         rows = with_stats(rows, "_history", mad).filter(F.col("history_months") > 0)
-    rows = rows.withColumn("month", F.element_at(S.text_array(months), F.col("_pos") + 1))
+    rows = rows.withColumn("month", S.month_at("_pos", months))
     return _as_spikes(score_traffic(rows, ratio_threshold=ratio_threshold, **scoring), ratio_threshold)
 
 

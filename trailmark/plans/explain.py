@@ -169,7 +169,7 @@ def filled_series(
         known = known.filter(F.col("n").isNotNull())
     known = known.select(
         *keys,
-        F.element_at(S.text_array(months), F.col("_pos") + 1).alias("month"),
+        S.month_at("_pos", months).alias("month"),
         F.coalesce("n", F.lit(0)).alias("traffic"),
         *[F.col(f"_line.{c}").alias(c) for c in lines],
     )
@@ -213,13 +213,8 @@ def anomaly_details(
     one page may hold many anomalies.  All lists are bounded by months, days or
     the ten referrers kept.
     """
-    points = F.transform(
-        F.filter(
-            F.arrays_zip(S.text_array(months).alias("month"), F.col("series").alias("n")), lambda p: p["n"].isNotNull()
-        ),
-        lambda p: F.struct(p["month"].alias("month"), p["n"].alias("n")),
-    )
-    recent = edge_series(clicks, months).select(*EDGE, S.last(points, 6).alias("timeseries_6m"))
+    series = edge_series(clicks, months).withColumn("_points", S.named_points(months))
+    recent = series.select(*EDGE, S.last("_points", 6).alias("timeseries_6m"))
     pages = referrer_changes(nested_top_referrers(top_referrers(clicks, months)))
     rows = signal_status(signals(anomalies, style)).join(recent, EDGE, "left")
     rows = salted_join(rows, pages, ["curr"], ["anomaly_id"], how="left")

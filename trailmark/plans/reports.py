@@ -172,8 +172,9 @@ def months_with_anomalies(anomalies: DataFrame) -> DataFrame:
     return anomalies.select("month").distinct().orderBy("month")
 
 
-def anomaly_by_id(anomalies: DataFrame, wanted: str | int) -> DataFrame:
-    return anomalies.filter(F.col("anomaly_id") == str(wanted))
+def anomaly_by_id(anomalies: DataFrame, wanted: str | int | Column) -> DataFrame:
+    key = wanted if isinstance(wanted, Column) else F.lit(str(wanted))
+    return anomalies.filter(F.col("anomaly_id") == key)
 
 
 def graph_edges(anomalies: DataFrame, k: int = 100, **filters) -> DataFrame:

@@ -87,5 +87,4 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 
 def as_anomalies(df: DataFrame) -> DataFrame:
     """Bring a detector's rows to the one anomaly schema."""
-    full = with_defaults(df, FORECAST_DEFAULTS)
-    return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANOMALIES])
+    return with_defaults(df, FORECAST_DEFAULTS).to(ANOMALIES)

@@ -20,14 +20,13 @@ def write_replay(
 
 
 def end_replay(df: DataFrame, path: str, time: str, ahead: str = "30 days") -> None:
-    """Add a last row far ahead in event time, with nulls elsewhere.
+    """Repeat the last row far ahead in event time.
 
     It moves the watermark past every real window, so that append mode gives
-    them all out; its own window stays open.
+    them all out; its own window stays open and is never reported.
     """
-    last = df.agg((F.max(time) + F.expr(f"interval {ahead}")).alias(time))
-    blank = [F.col(f.name) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
-    last.select(*blank).write.mode("append").parquet(path)
+    last = df.agg(F.max_by(F.struct(*df.columns), time).alias("_row")).select("_row.*")
+    last.withColumn(time, F.col(time) + F.expr(f"interval {ahead}")).write.mode("append").parquet(path)
 
 
 def open_replay(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
