@@ -192,11 +192,10 @@ CTE["rank0"] = "SELECT node, 1.0 / (SELECT count(*) FROM nodes) AS r FROM nodes"
 RANK_ROUNDS = 5
 for _k in range(RANK_ROUNDS):
     CTE[f"rank{_k + 1}"] = f"""
-        SELECT node, 0.85 * (coalesce(s, 0) + (SELECT coalesce(sum(r), 0) FROM rank{_k}
-                                               WHERE node NOT IN (SELECT prev FROM links)) / (SELECT count(*) FROM nodes))
-                     + 0.15 / (SELECT count(*) FROM nodes) AS r
+        SELECT node, 0.85 * coalesce(s, 0) + 0.15 / (SELECT count(*) FROM nodes) AS r
         FROM nodes LEFT JOIN (SELECT curr AS node, sum(r * share) AS s
                               FROM shares JOIN rank{_k} ON node = prev GROUP BY ALL) USING (node)"""
+CTE["ranks"] = f"SELECT node, r / (SELECT sum(r) FROM rank{RANK_ROUNDS}) AS r FROM rank{RANK_ROUNDS}"
 CTE["oct_edges"] = "SELECT DISTINCT prev, curr, type FROM oct"
 
 
@@ -223,7 +222,7 @@ _noise = " + ".join(f"pow({normal('prev', i)} - {normal('curr', i)}, 2)" for i i
 CTE["struct_dist"] = f"""
     SELECT e.*, sqrt(pow(dp.degree - dc.degree, 2) + pow(rp.r - rc.r, 2) + {_noise}) AS d
     FROM oct_edges e JOIN degrees dp ON dp.node = prev JOIN degrees dc ON dc.node = curr
-    JOIN rank{RANK_ROUNDS} rp ON rp.node = prev JOIN rank{RANK_ROUNDS} rc ON rc.node = curr"""
+    JOIN ranks rp ON rp.node = prev JOIN ranks rc ON rc.node = curr"""
 
 NEAR_DIM = 4
 
@@ -463,7 +462,7 @@ def oracle_sql() -> dict[str, str]:
         "enriched_anomalies": rounded("enriched", *FULL),
         "enriched_stored_anomalies": rounded("enriched", *FULL),
         "node_degree": "SELECT node, degree FROM degrees",
-        "pagerank": f"SELECT node, round(r, 6) AS pagerank FROM rank{RANK_ROUNDS}",
+        "pagerank": "SELECT node, round(r, 6) AS pagerank FROM ranks",
         "heaviest_edges": "SELECT prev, curr, weight FROM links ORDER BY weight DESC, prev, curr LIMIT 50",
         "structural_scores": _flagged("struct_dist"),
         "neighbour_scores": _flagged("near_dist"),

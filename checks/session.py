@@ -15,6 +15,8 @@ def local_session(cpus: str | int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.enabled", "true")
+        # call sites cost several round trips per column function while a plan is built
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

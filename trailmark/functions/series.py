@@ -50,13 +50,6 @@ def last(values: str, k: int) -> Column:
     return F.expr(f"slice({values}, greatest(size({values}) - {k - 1}, 1), {k})")
 
 
-def prefix_sums(series: str) -> Column:
-    """Element i + 1 holds the sum of the first i values, absent ones as 0."""
-    return F.expr(
-        f"aggregate({series}, array(0L), (acc, x) -> concat(acc, array(element_at(acc, -1) + coalesce(x, 0L))))"
-    )
-
-
 def text_array(values: list[str]) -> Column:
     """A constant array of month names (which hold no comma)."""
     return F.split(F.lit(",".join(values)), ",")

@@ -57,7 +57,7 @@ def kmeans_distances(
     spark = series.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid_out = feature_vectors(series, months).repartition(slices, *EDGE).sortWithinPartitions(*EDGE)
-    scaled = cut_lineage(standardise(cut_lineage(laid_out)))
+    scaled = standardise(cut_lineage(laid_out))
     model = KMeans(k=k, maxIter=max_iterations, seed=seed, featuresCol="features").fit(scaled)
     centres = [list(map(float, c)) for c in model.clusterCenters()]
     assigned = model.transform(scaled)

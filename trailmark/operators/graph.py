@@ -36,13 +36,19 @@ def node_degrees(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(
-    edges: DataFrame, damping: float = 0.85, iterations: int = 100, tol: float | None = 1e-6
+    edges: DataFrame,
+    damping: float = 0.85,
+    iterations: int = 100,
+    tol: float | None = 1e-6,
+    checkpoint_every: int = 5,
 ) -> DataFrame:
-    """Weighted PageRank by power iteration; mass of nodes without exits spreads evenly.
+    """Weighted PageRank; the mass of nodes without exits spreads evenly.
 
-    Stops after ``iterations`` or once the summed change is below nodes x ``tol``
-    (``tol=None`` runs them all).  Every round is checkpointed, so the plan stays
-    one round long.  Contributions are summed map-side and the edges of a node
+    Even spreading only rescales the ranks, so rounds run without it and the
+    result is scaled to sum 1: a round is one join and one sum, and needs no
+    value on the driver.  Rounds are checkpointed in groups; after each group the
+    change of its last round is compared with nodes x ``tol`` (``tol=None`` runs
+    all iterations).  Contributions are summed map-side and the edges of a node
     with very many exits are split over salts.
     """
     out_weight = edges.groupBy("prev").agg(F.sum("weight").alias("_out"))
@@ -51,33 +57,29 @@ def pagerank(
             "prev", "curr", (F.col("weight") / F.col("_out")).alias("share")
         )
     )
-    sources = moves.select(F.col("prev").alias("node")).distinct().withColumn("_exits", F.lit(True))
-    nodes = cut_lineage(
-        graph_nodes(edges).join(sources, "node", "left").select("node", F.col("_exits").isNull().alias("sink"))
-    )
+    nodes = cut_lineage(graph_nodes(moves))
     count = nodes.count()
-    if count == 0:
-        return nodes.select("node", F.lit(0.0).alias("pagerank"))
-    ranks = nodes.withColumns({"pagerank": F.lit(1.0 / count), "_change": F.lit(0.0)})
-    lost = nodes.filter("sink").count() / count
-    for _ in range(iterations):
-        sent = salted_join(moves, ranks.select(F.col("node").alias("prev"), "pagerank"), ["prev"], ["curr"])
-        received = sent.groupBy(F.col("curr").alias("node")).agg(
-            F.sum(F.col("pagerank") * F.col("share")).alias("_in")
-        )
-        flow = F.coalesce(F.col("_in"), F.lit(0.0)) + F.lit(lost / count)
-        fresh = ranks.select("node", "sink", F.col("pagerank").alias("_old")).join(received, "node", "left")
-        fresh = fresh.withColumn("pagerank", damping * flow + F.lit((1 - damping) / count))
-        ranks = cut_lineage(
-            fresh.select("node", "sink", "pagerank", F.abs(F.col("pagerank") - F.col("_old")).alias("_change"))
+    ranks = nodes.withColumn("pagerank", F.lit(1.0 / max(count, 1)))
+    for done in range(1, iterations + 1):
+        sent = salted_join(moves, ranks.withColumnRenamed("node", "prev"), ["prev"], ["curr"])
+        received = sent.groupBy(F.col("curr").alias("node")).agg(F.expr("sum(pagerank * share) AS _in"))
+        fresh = nodes.join(received, "node", "left").select(
+            "node", F.expr(f"{damping}D * coalesce(_in, 0D) + {(1 - damping) / max(count, 1)!r}D AS pagerank")
         )
-        state = ranks.agg(
-            F.sum(F.when(F.col("sink"), F.col("pagerank"))).alias("lost"), F.sum("_change").alias("change")
-        ).first()
-        lost = state["lost"] or 0.0
-        if tol is not None and state["change"] < count * tol:
-            break
-    return ranks.select("node", "pagerank")
+        if done % checkpoint_every and done < iterations:
+            ranks = fresh
+            continue
+        if tol is not None:
+            before = ranks.withColumnRenamed("pagerank", "_before")
+            fresh = fresh.join(before, "node").selectExpr("node", "pagerank", "abs(pagerank - _before) AS _change")
+        fresh = cut_lineage(fresh)
+        ranks = fresh.select("node", "pagerank")
+        if tol is not None:
+            state = fresh.agg(F.sum("_change").alias("change"), F.sum("pagerank").alias("mass")).first()
+            if (state["change"] or 0.0) < count * tol * (state["mass"] or 0.0):
+                break
+    mass = ranks.agg(F.sum("pagerank").alias("mass")).first()["mass"] or 1.0
+    return ranks.select("node", (F.col("pagerank") / F.lit(mass)).alias("pagerank"))
 
 
 def structural_stats(edges: DataFrame, **ranking) -> DataFrame:

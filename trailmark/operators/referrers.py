@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from trailmark.functions import series as S
 from trailmark.functions.skew import salted_join
 from trailmark.operators.edges import monthly_series
 
@@ -35,18 +34,18 @@ def pair_series(clicks: DataFrame, months: list[str]) -> DataFrame:
 
 def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> DataFrame:
     """One row per pair and target month: its count then (``n``, null if absent) and
-    its count pooled over all earlier months (``base_n``, 0 if absent)."""
-    wanted = [i for i, m in enumerate(months) if m in targets]
-    rows = pairs.select(
-        "curr", "prev", S.prefix_sums("series").alias("_upto"), F.posexplode("series").alias("_pos", "n")
-    )
-    rows = rows.filter(F.col("_pos").isin(wanted)).select(
-        "curr",
-        "prev",
-        S.month_at("_pos", months).alias("month"),
-        "n",
-        F.expr("_upto[_pos]").alias("base_n"),
-    )
+    its count pooled over all earlier months (``base_n``, 0 if absent).
+
+    The running sums share their terms, so a row costs one pass over its months.
+    """
+    counts = [f"coalesce(series[{i}], 0L)" for i in range(len(months))]
+    slots = [
+        f"named_struct('month', '{m}', 'n', series[{i}], 'base_n', {' + '.join(counts[:i]) or '0L'})"
+        for i, m in enumerate(months)
+        if m in targets
+    ]
+    rows = pairs.select("curr", "prev", F.expr(f"array({', '.join(slots)})").alias("_rows"))
+    rows = rows.select("curr", "prev", F.inline("_rows"))
     return rows.filter(F.col("n").isNotNull() | (F.col("base_n") > 0))
 
 

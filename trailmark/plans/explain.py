@@ -8,7 +8,7 @@ from trailmark.functions.skew import salted_join
 from trailmark.functions.text import fixed, grouped, percent
 from trailmark.operators.edges import edge_series
 from trailmark.operators.referrers import nested_top_referrers, top_referrers
-from trailmark.plans.pageviews import daily_spike_match, views_around
+from trailmark.plans.pageviews import daily_profiles
 from trailmark.schema import ANOMALIES, EDGE, FORECAST_DEFAULTS, existing
 
 # Signal names by style, and the label of each anomaly type.
@@ -220,12 +220,10 @@ def anomaly_details(
     rows = salted_join(rows, pages, ["curr"], ["anomaly_id"], how="left")
     match, daily = F.lit(False), F.array().cast("array<struct<date:date,views:bigint>>")
     if views is not None:
-        around = views_around(anomalies, views).groupBy("page", "month").agg(
-            F.sort_array(F.collect_list(F.struct("date", "views"))).alias("_daily")
+        profiles = daily_profiles(anomalies, views).select(
+            F.col("page").alias("curr"), "month", F.col("daily_pageviews").alias("_daily"), "daily_spike_match"
         )
-        matches = daily_spike_match(anomalies, views).select("page", "month", "daily_spike_match")
-        both = around.join(matches, ["page", "month"]).withColumnRenamed("page", "curr")
-        rows = salted_join(rows, both, ["curr", "month"], ["anomaly_id"], how="left")
+        rows = salted_join(rows, profiles, ["curr", "month"], ["anomaly_id"], how="left")
         match = F.coalesce("daily_spike_match", match)
         daily = F.coalesce("_daily", daily)
     return rows.select(

@@ -28,15 +28,25 @@ def views_around(anomalies: DataFrame, views: DataFrame, before: int = 30, after
     return joined.filter(F.col("date").between(F.col("_from"), F.col("_to"))).select("page", "month", "date", "views")
 
 
-def daily_spike_match(
+def daily_profiles(
     anomalies: DataFrame, views: DataFrame, before: int = 30, after: int = 30, near: int = 7, factor: float = 1.5
 ) -> DataFrame:
-    """Whether a page's views near mid-month exceed the mean of the whole range."""
+    """Per anomalous page-month: its daily views in order, and whether they spike too.
+
+    A spike is a day near mid-month above ``factor`` times the mean of the range.
+    The list is bounded by the days of the range.
+    """
     rows = views_around(anomalies, views, before, after)
     middle = F.to_date(F.concat("month", F.lit("-15")))
     close = F.abs(F.datediff("date", middle)) <= near
     stats = rows.groupBy("page", "month").agg(
-        F.max(F.when(close, F.col("views"))).alias("peak_views"), F.avg("views").alias("mean_views")
+        F.sort_array(F.collect_list(F.struct("date", "views"))).alias("daily_pageviews"),
+        F.max(F.when(close, F.col("views"))).alias("peak_views"),
+        F.avg("views").alias("mean_views"),
     )
     match = F.coalesce(F.col("peak_views") > F.col("mean_views") * factor, F.lit(False))
-    return stats.select("page", "month", "peak_views", "mean_views", match.alias("daily_spike_match"))
+    return stats.withColumn("daily_spike_match", match)
+
+
+def daily_spike_match(anomalies: DataFrame, views: DataFrame, **window) -> DataFrame:
+    return daily_profiles(anomalies, views, **window).drop("daily_pageviews")
