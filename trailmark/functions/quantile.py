@@ -16,7 +16,7 @@ def exact_percentile(df: DataFrame, value: str, p: float) -> float | None:
     approximate sketch brackets the wanted rank, rows below the bracket are only
     counted, and the exact order statistics come from the value counts inside
     the bracket (a fraction 4 / ``ACCURACY`` of the rows).  ``df`` is read a few
-    times: hand in a checkpointed table if it is costly.
+    times: hand in a stored table if it is costly.
     """
     values = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
     margin = 2.0 / ACCURACY

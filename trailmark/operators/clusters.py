@@ -48,7 +48,7 @@ def distance_to(centres: list[list[float]], features: Column, cluster: Column) -
 def kmeans_distances(
     series: DataFrame, months: list[str], k: int = 50, max_iterations: int = 100, seed: int = 42
 ) -> DataFrame:
-    """Cluster the edges and give each its distance to its centre (checkpointed).
+    """Cluster the edges and give each its distance to its centre, as a stored table.
 
     Rows are laid out by key before fitting, since the start of k-means depends
     on row order; the same data in the same number of partitions gives the same

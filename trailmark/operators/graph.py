@@ -46,7 +46,7 @@ def pagerank(
 
     Even spreading only rescales the ranks, so rounds run without it and the
     result is scaled to sum 1: a round is one join and one sum, and needs no
-    value on the driver.  Rounds are checkpointed in groups; after each group the
+    value on the driver.  Rounds are stored in groups; after each group the
     change of its last round is compared with nodes x ``tol`` (``tol=None`` runs
     all iterations).  Contributions are summed map-side and the edges of a node
     with very many exits are split over salts.
@@ -59,12 +59,14 @@ def pagerank(
     )
     nodes = cut_lineage(graph_nodes(moves))
     count = nodes.count()
-    ranks = nodes.withColumn("pagerank", F.lit(1.0 / max(count, 1)))
+    if count == 0:
+        return nodes.withColumn("pagerank", F.lit(0.0))
+    ranks = nodes.withColumn("pagerank", F.lit(1.0 / count))
     for done in range(1, iterations + 1):
         sent = salted_join(moves, ranks.withColumnRenamed("node", "prev"), ["prev"], ["curr"])
         received = sent.groupBy(F.col("curr").alias("node")).agg(F.expr("sum(pagerank * share) AS _in"))
         fresh = nodes.join(received, "node", "left").select(
-            "node", F.expr(f"{damping}D * coalesce(_in, 0D) + {(1 - damping) / max(count, 1)!r}D AS pagerank")
+            "node", F.expr(f"{damping}D * coalesce(_in, 0D) + {(1 - damping) / count!r}D AS pagerank")
         )
         if done % checkpoint_every and done < iterations:
             ranks = fresh
@@ -76,9 +78,9 @@ def pagerank(
         ranks = fresh.select("node", "pagerank")
         if tol is not None:
             state = fresh.agg(F.sum("_change").alias("change"), F.sum("pagerank").alias("mass")).first()
-            if (state["change"] or 0.0) < count * tol * (state["mass"] or 0.0):
+            if state["change"] < count * tol * state["mass"]:
                 break
-    mass = ranks.agg(F.sum("pagerank").alias("mass")).first()["mass"] or 1.0
+    mass = ranks.agg(F.sum("pagerank").alias("mass")).first()["mass"]
     return ranks.select("node", (F.col("pagerank") / F.lit(mass)).alias("pagerank"))
 
 
