@@ -338,7 +338,7 @@ def queries():
             pair_rows,
             lambda r: referrers.aligned_distributions(r).select("curr", "prev", "month", "proportion", "baseline_proportion"),
         ),
-        "js_shift": _on(pair_rows, lambda r: rounded(mixshift.js_shift(r))),
+        "js_shift": _on(clicks, lambda c: rounded(mixshift.js_shift(c, MONTHS))),
         "traffic_spikes": spikes_variant,
         "spikes_against_baselines": spikes_against,
         "spikes_prior_history": by(spikes_variant, history="prior"),

@@ -7,7 +7,8 @@ from trailmark.functions.scores import mix_confidence, robust_z, spike_confidenc
 from trailmark.operators import edges
 from trailmark.operators.clusters import centroid_distances, feature_vectors, kmeans_distances, navigation_edges
 from trailmark.operators.mixshift import js_shift, mix_shifts
-from trailmark.operators.referrers import pair_series, pair_targets, referrer_distribution
+from trailmark.operators import referrers
+from trailmark.operators.referrers import referrer_distribution
 from trailmark.operators.spikes import spikes_against, traffic_spikes
 from trailmark.plans.rolling import rolling_run
 
@@ -123,11 +124,18 @@ def test_mix_shift_by_share(clicks_of):
     assert found["description"] == "Top referrer proportion changed by 0.30"
 
 
+def test_blocks_of_targets_agree(clicks_of, monkeypatch):
+    clicks = clicks_of(ties())
+    options = {"min_baseline_months": 1, "use_js": True, "js_threshold": 0.0}
+    want = sorted(map(tuple, mix_shifts(clicks, MONTHS, **options).collect()))
+    monkeypatch.setattr(referrers, "BLOCK", 1)
+    assert len(want) >= 6 and sorted(map(tuple, mix_shifts(clicks, MONTHS, **options).collect())) == want
+
+
 def shift(clicks_of, before, now):
     rows = [(p, "P", "link", "2024-01", n) for p, n in before.items()]
     rows += [(p, "P", "link", "2024-04", n) for p, n in now.items()]
-    targets = pair_targets(pair_series(clicks_of(rows), MONTHS), MONTHS, ["2024-04"])
-    return js_shift(targets).first()
+    return js_shift(clicks_of(rows), MONTHS).first()
 
 
 def test_js_distance(clicks_of):

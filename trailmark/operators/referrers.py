@@ -1,7 +1,6 @@
 """Referrer distributions of pages."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmark.functions.skew import salted_join
@@ -32,15 +31,60 @@ def pair_series(clicks: DataFrame, months: list[str]) -> DataFrame:
     return monthly_series(clicks, ["curr", "prev"], months)
 
 
+# Targets handled side by side in one row; longer lists are done in blocks.
+BLOCK = 24
+
+
+def target_blocks(months: list[str], targets: list[str]) -> list[list[int]]:
+    """Positions of the target months, in blocks."""
+    wanted = [i for i, m in enumerate(months) if m in targets]
+    return [wanted[i : i + BLOCK] for i in range(0, len(wanted), BLOCK)]
+
+
+def _running(i: int) -> str:
+    return " + ".join(f"coalesce(series[{k}], 0L)" for k in range(i)) or "0L"
+
+
+def with_page_totals(pairs: DataFrame, block: list[int]) -> DataFrame:
+    """Pairs beside the totals and largest counts of their page, for a block of targets.
+
+    Per target i: ``n_i`` and ``b_i`` (count then, and pooled before), ``tn_i``
+    and ``tb_i`` (the page's totals), ``mn_i`` and ``mb_i`` (its largest counts).
+    A pair stays one row whatever the number of targets; page sums are combined
+    map-side and joined back in salted form.
+    """
+    wide = pairs.selectExpr(
+        "curr", "prev", *[f"series[{i}] AS n_{i}" for i in block], *[f"{_running(i)} AS b_{i}" for i in block]
+    )
+    measures = []
+    for i in block:
+        measures += [F.expr(f"sum(n_{i}) AS tn_{i}"), F.expr(f"max(n_{i}) AS mn_{i}")]
+        measures += [F.expr(f"sum(b_{i}) AS tb_{i}"), F.expr(f"max(b_{i}) AS mb_{i}")]
+    return salted_join(wide, wide.groupBy("curr").agg(*measures), ["curr"], ["prev"])
+
+
+def leading_pairs(pairs: DataFrame, months: list[str], block: list[int]) -> DataFrame:
+    """Rows (curr, month, prev) that hold their page's largest count then or before.
+
+    Only page-months with traffic both then and earlier are kept.
+    """
+    slots = ", ".join(
+        f"""named_struct('month', '{months[i]}', 'leads', coalesce(n_{i} = mn_{i}, false), 'led', b_{i} = mb_{i},
+            'total_n', tn_{i}, 'base_total', tb_{i}, 'top_n', mn_{i}, 'base_top_n', mb_{i})"""
+        for i in block
+    )
+    kept = f"filter(array({slots}), r -> r.total_n > 0 AND r.base_total > 0 AND (r.leads OR r.led))"
+    return with_page_totals(pairs, block).select("curr", "prev", F.expr(f"inline({kept})"))
+
+
 def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> DataFrame:
     """One row per pair and target month: its count then (``n``, null if absent) and
     its count pooled over all earlier months (``base_n``, 0 if absent).
 
     The running sums share their terms, so a row costs one pass over its months.
     """
-    counts = [f"coalesce(series[{i}], 0L)" for i in range(len(months))]
     slots = [
-        f"named_struct('month', '{m}', 'n', series[{i}], 'base_n', {' + '.join(counts[:i]) or '0L'})"
+        f"named_struct('month', '{m}', 'n', series[{i}], 'base_n', {_running(i)})"
         for i, m in enumerate(months)
         if m in targets
     ]
@@ -49,28 +93,6 @@ def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> Dat
     return rows.filter(F.col("n").isNotNull() | (F.col("base_n") > 0))
 
 
-def _leader(count: Column) -> Column:
-    """Referrer with the largest count, the alphabetically first among equals."""
-    return F.min_by("prev", F.when(count > 0, F.struct((-count).alias("a"), F.col("prev").alias("b"))))
-
-
-def page_tops(rows: DataFrame, leaders: bool = True) -> DataFrame:
-    """Totals and top counts per page and target month, from ``pair_targets`` rows.
-
-    Only page-months with traffic both then and earlier are kept.
-    """
-    wanted = [
-        F.sum("n").alias("total_n"),
-        F.sum("base_n").alias("base_total"),
-        F.max("n").alias("top_n"),
-        F.max("base_n").alias("base_top_n"),
-    ]
-    if leaders:
-        wanted += [_leader(F.col("n")).alias("top_ref"), _leader(F.col("base_n")).alias("base_top_ref")]
-    tops = rows.groupBy("curr", "month").agg(*wanted)
-    return tops.filter((F.col("total_n") > 0) & (F.col("base_total") > 0))
-
-
 def aligned_distributions(rows: DataFrame) -> DataFrame:
     """Target and pooled baseline share of each referrer, side by side (0 if absent)."""
     totals = rows.groupBy("curr", "month").agg(
