@@ -73,8 +73,10 @@ def leading_pairs(pairs: DataFrame, months: list[str], block: list[int]) -> Data
             'total_n', tn_{i}, 'base_total', tb_{i}, 'top_n', mn_{i}, 'base_top_n', mb_{i})"""
         for i in block
     )
-    kept = f"filter(array({slots}), r -> r.total_n > 0 AND r.base_total > 0 AND (r.leads OR r.led))"
-    return with_page_totals(pairs, block).select("curr", "prev", F.expr(f"inline({kept})"))
+    # few pairs lead anywhere, so the others go before rows are made per target
+    leaders = with_page_totals(pairs, block).filter(" OR ".join(f"n_{i} = mn_{i} OR b_{i} = mb_{i}" for i in block))
+    rows = leaders.select("curr", "prev", F.expr(f"inline(array({slots}))"))
+    return rows.filter("total_n > 0 AND base_total > 0 AND (leads OR led)")
 
 
 def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> DataFrame:
