@@ -1,6 +1,5 @@
 import datetime
 
-from pyspark.sql import functions as F
 
 from trailmark.streaming import replay, windows
 
