@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trailmark.llm import exact, mixing
+from trailmark.llm import bpe, exact, mixing
 
 
 def op1_mix_sources(spark, folder):
@@ -12,6 +12,20 @@ def op1_mix_sources(spark, folder):
     return rows.orderBy(first, "doc_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return bpe.decode(encoded, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
 def op8_exact_dedup(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return exact.exact_groups(docs).withColumnRenamed("digest", "text_sha256")
