@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, exact, mixing
+from trailmark.functions.lineage import scratch_path
+from trailmark.llm import bpe, exact, mixing, token_files
 
 
 def op1_mix_sources(spark, folder):
@@ -12,6 +13,16 @@ def op1_mix_sources(spark, folder):
     return rows.orderBy(first, "doc_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_token_files(spark, folder):
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        files = token_files.write_token_files(docs, file.read(), scratch_path(spark, "tokens"))
+    read = token_files.read_token_files(spark, files)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_byte_bpe(spark, folder):
     import public_tokenizers
 
