@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, mixing, token_files
+from trailmark.llm import bpe, exact, language, mixing, quality, token_files
 
 
 def op1_mix_sources(spark, folder):
@@ -42,5 +42,28 @@ def op8_exact_dedup(spark, folder):
     return exact.exact_groups(docs).withColumnRenamed("digest", "text_sha256")
 
 
+def op9_quality(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = quality.score_documents(docs, labels, ~held_out)
+    return rows.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op10_language(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.fit(docs.filter(~held_out))
+    rows = language.identify(docs.select("doc_id", "text"), model)
+    return rows.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def queries():
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
