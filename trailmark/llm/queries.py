@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, language, mixing, quality, token_files
+from trailmark.llm import bpe, exact, language, mixing, quality, shards, token_files
 
 
 def op1_mix_sources(spark, folder):
@@ -37,6 +37,26 @@ def op4_byte_bpe(spark, folder):
     return bpe.decode(encoded, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
+def op6_shards(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.sha2(text, 256).alias("content"),
+    )
+    return shards.balanced_shards(rows, "content", 24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_exact_dedup(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return exact.exact_groups(docs).withColumnRenamed("digest", "text_sha256")
