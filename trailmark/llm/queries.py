@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, language, mixing, quality, shards, token_files
+from trailmark.llm import bpe, exact, language, mixing, neighbours, quality, shards, token_files
 
 
 def op1_mix_sources(spark, folder):
@@ -57,6 +57,11 @@ def op6_shards(spark, folder):
     )
 
 
+def op7_nearest(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op8_exact_dedup(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return exact.exact_groups(docs).withColumnRenamed("digest", "text_sha256")
