@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, language, mixing, neighbours, quality, shards, token_files
+from trailmark.llm import bpe, exact, language, mixing, neighbours, quality, shards, substrings, token_files
 
 
 def op1_mix_sources(spark, folder):
@@ -37,6 +37,12 @@ def op4_byte_bpe(spark, folder):
     return bpe.decode(encoded, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
+def op5_substrings(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = substrings.remove_repeats(docs)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_shards(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     text = F.coalesce("text", F.lit(""))

@@ -20,9 +20,19 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\t-\\r]+")), F.lit(0)).cast("long")
 
 
+#: Spark deletes the shuffle files of a query at its end, not only when the driver collects its garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder once and read from there."""
-    return cut_lineage(df)
+    """The rows, written to the shared folder once and read from there; the shuffles behind them are deleted."""
+    conf = df.sparkSession.conf
+    before = conf.get(_TIDY, None)
+    conf.set(_TIDY, "true")
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.set(_TIDY, before or "false")
 
 
 def small(df: DataFrame) -> DataFrame:
