@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, language, mixing, neighbours, quality, shards, substrings, token_files
+from trailmark.llm import bpe, exact, jaccard, language, mixing, neighbours, quality, shards, substrings, token_files
 
 
 def op1_mix_sources(spark, folder):
@@ -13,6 +13,10 @@ def op1_mix_sources(spark, folder):
     return rows.orderBy(first, "doc_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_jaccard_join(spark, folder):
+    return jaccard.near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 def op3_token_files(spark, folder):
     import public_tokenizers
 
