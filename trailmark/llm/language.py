@@ -233,3 +233,11 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
 
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept]
     return docs.select(*kept).mapInArrow(run, ", ".join([*types, "lang_pred string, score double, rejected boolean"]))
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of `docs` that `identify` does not reject, with all columns as they were."""
+    names = ["lang_pred", "score", "rejected"]
+    own = {c: f"_llm_{k}" for k, c in enumerate(docs.columns) if c in names}
+    judged = identify(docs.withColumnsRenamed(own), model).filter("NOT rejected").drop(*names)
+    return judged.withColumnsRenamed({new: old for old, new in own.items()}).select(*docs.columns)
