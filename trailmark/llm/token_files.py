@@ -2,8 +2,9 @@
 
 Documents are ordered by id, encoded, ended by `end` and laid end to end.  Each
 task writes the stretch of its range as one Arrow IPC file whose batches hold
-`ids` (fixed_size_list<uint32>) and `mask` (fixed_size_list<uint8>, 0 where the
-last sequence is padded), and beside it an index file (doc_id, first, n_tokens).
+`ids` (fixed_size_list of uint16, or uint32 for a large vocabulary) and `mask`
+(fixed_size_list<bool>, false where the last sequence is padded), and beside it an
+index file (doc_id, first, n_tokens).
 A sequence is found by its number alone and read without a copy.
 """
 
@@ -59,6 +60,7 @@ class Encoder:
             for x in (described.get("pre_tokenizer") or {}).get("pretokenizers", [])
         ]
         self.quick = steps == ["NFC", "Replace", "Lowercase"] and cuts[:1] == [(self.SPLIT, "Removed", True)]
+        self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -91,22 +93,25 @@ def _encoder(definition: str) -> Encoder:
 class _Writer:
     """One file of sequences and its index, under other names until both are whole."""
 
-    def __init__(self, folder: str, name: str, length: int):
+    INDEX = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
+
+    def __init__(self, folder: str, name: str, length: int, vocabulary: int):
         self.system, root = fs.FileSystem.from_uri(folder)
         self.system.create_dir(root, recursive=True)
         self.length = length
         self.names = [f"{root}/{name}.arrow", f"{root}/{name}.index.arrow"]
         self.drafts = [f"{root}/.{name}-{uuid.uuid4().hex}-{k}" for k in range(2)]
-        tokens = pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
-        index = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
+        self.type = np.dtype("<u2" if vocabulary <= 2**16 else "<u4")
+        ids = pa.from_numpy_dtype(self.type)
+        tokens = pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length))])
         self.streams = [self.system.open_output_stream(d) for d in self.drafts]
-        self.writers = [ipc.new_file(s, t) for s, t in zip(self.streams, (tokens, index), strict=True)]
+        self.writers = [ipc.new_file(s, t) for s, t in zip(self.streams, (tokens, self.INDEX), strict=True)]
         self.waiting, self.size, self.total, self.docs = [], 0, 0, 0
 
     def add(self, doc_ids: pa.Array, encoded: list[bytes]) -> None:
         lengths = np.array([len(x) // 4 for x in encoded], dtype=np.int64)
         first = self.total + np.cumsum(lengths) - lengths
-        self.writers[1].write_batch(pa.record_batch([doc_ids, pa.array(first), pa.array(lengths)], schema=self.writers_schema()))
+        self.writers[1].write_batch(pa.record_batch([doc_ids, pa.array(first), pa.array(lengths)], schema=self.INDEX))
         self.total += int(lengths.sum())
         self.docs += len(encoded)
         self.waiting.extend(encoded)
@@ -118,12 +123,9 @@ class _Writer:
                 self._write(flat[k : k + BATCH * self.length], BATCH * self.length)
             self.waiting, self.size = [flat[full:].tobytes()], len(flat) - full
 
-    def writers_schema(self) -> pa.Schema:
-        return pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
-
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
-        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
+        mask = np.arange(len(ids)) < real
+        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids.astype(self.type), mask)]
         self.writers[0].write_batch(pa.record_batch(columns, names=["ids", "mask"]))
 
     def close(self) -> None:
@@ -160,7 +162,7 @@ def write_token_files(docs: DataFrame, definition: str, folder: str, end: int =
         if opening is None:
             return
         shard, encoder = TaskContext.get().partitionId(), _encoder(shared.value)
-        writer, stop = _Writer(folder, f"part-{shard:06d}", length), np.array([end], dtype="<u4").tobytes()
+        writer, stop = _Writer(folder, f"part-{shard:06d}", length, max(end + 1, encoder.size)), np.array([end], dtype="<u4").tobytes()
         for batch in chain([opening], batches):
             texts = batch.column(1)
             sizes = np.cumsum(pa.compute.coalesce(pa.compute.utf8_length(texts), 0).to_numpy() + 1) // CHARACTERS
@@ -197,9 +199,9 @@ class TokenFile:
             self.reader = ipc.open_file(system.open_input_file(inner))
 
     def batch(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and masks of one batch, as rows of equal length."""
+        """The ids and masks of one batch, as rows of equal length; masks are unpacked from bits."""
         batch = self.reader.get_batch(number)
-        return tuple(c.flatten().to_numpy().reshape(batch.num_rows, -1) for c in batch.columns)
+        return tuple(c.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in batch.columns)
 
     def __getitem__(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids and the mask of a sequence; all batches but the last hold BATCH of them."""
@@ -210,7 +212,7 @@ class TokenFile:
         """The ids of each batch in order, without padding."""
         for number in range(self.reader.num_record_batches):
             ids, mask = self.batch(number)
-            yield ids.ravel()[: int(mask.sum())]
+            yield ids.ravel()[: int(mask.sum())].astype("<u4")
 
 
 def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
