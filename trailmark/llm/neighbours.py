@@ -3,7 +3,7 @@
 The tree is fitted on a bounded sample and sent to all tasks; every vector is
 filed under one leaf.  A query keeps the nodes it has seen in a priority queue and
 opens the nearest one next; how many leaves it opens is widened until sample queries, compared
-with a search of all rows, reach the wanted recall.  Leaves are cut into blocks of bounded
+with a search of all rows, reach the wanted recall.  Neighbouring leaves share a bin; bins are cut into blocks of bounded
 size, met by blocks of queries, so that a leaf or query of any frequency spreads over tasks.
 """
 
@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import small, stored
+from trailmark.llm.shared import drawn, small, stored
 
-#: Vectors and queries of one leaf that meet in one block, about.
+#: Vectors and queries of one bin that meet in one block, about.
 BLOCK = 2_000
+#: Bins of neighbouring leaves; a query has at most k rows of results for each block of a bin.
+BINS = 32
 
 
 @dataclass
@@ -35,6 +37,12 @@ class Tree:
     def leaves(self) -> list[int]:
         return [k for k, below in enumerate(self.children) if not below]
 
+    @property
+    def bins(self) -> dict[int, int]:
+        """The bin of each leaf; leaves of one parent have numbers in a row and mostly share it."""
+        leaves = self.leaves
+        return {leaf: k * min(BINS, len(leaves)) // len(leaves) for k, leaf in enumerate(leaves)}
+
     def file(self, vectors: np.ndarray) -> np.ndarray:
         """The leaf of each vector: the nearest child, level by level."""
         at = np.zeros(len(vectors), dtype=np.int64)
@@ -165,7 +173,7 @@ def calibrate(tree: Tree, truth: pd.DataFrame, sample: list, recall: float) -> i
     """The least number of leaf visits at which the sample's true neighbours are found at the wanted rate."""
     places = {r.vec_id: {leaf: n for n, leaf in enumerate(tree.visit(np.array(r.vector)), 1)} for r in sample}
     if truth.empty:
-        return 1
+        return len(tree.leaves)
     leaves = tree.file(np.array(truth["vector"].tolist()))
     needed = np.sort([places[q][leaf] for q, leaf in zip(truth["query"], leaves.tolist(), strict=True)])
     return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)])
@@ -188,8 +196,8 @@ def nearest(
     length take no part.  A query's own id is no candidate.  Equal distances go to the smaller id.  No
     usable rows or queries, no result.  Other columns are ignored.
 
-    Bounds: the tree is fitted on the `sample_rows` rows with the smallest hash of their id, and
-    the visits on `calibration_queries` queries chosen likewise, whose true neighbours are found among all rows.
+    Bounds: the tree is fitted on about `sample_rows` rows with a small hash of their id, and
+    the visits on about `calibration_queries` queries chosen likewise, whose true neighbours are found among all rows.
     """
     spark = vectors.sparkSession
     clean = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
@@ -202,65 +210,90 @@ def nearest(
     clean = clean.filter(F.size("vector") == length.n)
     total = length["count"]
     chance = F.xxhash64("vec_id")
-    sample = clean.select("vec_id", "vector").orderBy(chance).limit(sample_rows)
+    sample = clean.select("vec_id", "vector").filter(drawn(chance, sample_rows / total)).dropDuplicates(["vec_id"])
     points = np.array([r.vector for r in sample.collect()])
     tree = grow(points, max(16.0, leaf_rows * len(points) / total))
 
+    shared = spark.sparkContext.broadcast((tree, tree.bins))
+
     def file(batches):
+        tree, bins = shared.value
         for batch in batches:
-            leaf = tree.file(_rows(batch, "vector")) if batch.num_rows else np.empty(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], [*batch.schema.names, "leaf"])
+            leaf = tree.file(_rows(batch, "vector")).tolist() if batch.num_rows else []
+            placed = [pa.array(leaf, pa.int64()), pa.array([bins[x] for x in leaf], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *placed], [*batch.schema.names, "leaf", "bin"])
 
-    index = stored(clean.mapInArrow(file, "vec_id long, vector array<double>, asked boolean, leaf long"))
+    index = stored(clean.mapInArrow(file, "vec_id long, vector array<double>, asked boolean, leaf long, bin int"))
     tree.rows = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    probes = index.filter("asked").select("vec_id", "vector").orderBy(chance).limit(calibration_queries).collect()
-    if not probes:
+    asking = index.filter("asked").count()
+    if not asking:
         return spark.createDataFrame([], schema)
+    probes = index.filter("asked").select("vec_id", "vector").filter(drawn(F.xxhash64("vec_id", F.lit(1)), calibration_queries / asking))
+    probes = probes.dropDuplicates(["vec_id"]).collect()
     visits = calibrate(tree, _exact(index, probes, k), probes, recall)
-    shared = spark.sparkContext.broadcast(tree)
+    shared_rows = spark.sparkContext.broadcast((tree, tree.bins))
 
     def open_leaves(batches):
+        tree, bins = shared_rows.value
         for batch in batches:
-            rows = _rows(batch, "vector") if batch.num_rows else np.empty((0, length.n))
-            opened = [shared.value.opened(row, visits, k + 1) for row in rows]
-            times = [len(x) for x in opened]
-            ids = np.repeat(batch.column(0).to_numpy(), times)
-            where = pa.array(np.repeat(np.arange(len(rows)), times))
+            rows, ids = (_rows(batch, "vector"), batch.column(0).to_pylist()) if batch.num_rows else ((), ())
+            out, where = [], []
+            for k, (row, vec_id) in enumerate(zip(rows, ids, strict=True)):
+                by_bin: dict[int, list[int]] = {}
+                for leaf in tree.opened(row, visits, k_rows):
+                    by_bin.setdefault(bins[leaf], []).append(leaf)
+                out.extend((vec_id, number, leaves) for number, leaves in by_bin.items())
+                where.extend([k] * len(by_bin))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), batch.column(1).take(where), pa.array([leaf for x in opened for leaf in x], pa.int64())],
-                ["query_id", "point", "leaf"],
+                [
+                    pa.array([x for x, _, _ in out], pa.int64()),
+                    batch.column(1).take(pa.array(where, pa.int64())),
+                    pa.array([x for _, x, _ in out], pa.int32()),
+                    pa.array([x for _, _, x in out], pa.list_(pa.int64())),
+                ],
+                ["query_id", "point", "bin", "leaves"],
             )
 
+    k_rows = k + 1
     asked = index.filter("asked").select("vec_id", "vector")
-    opened = stored(asked.mapInArrow(open_leaves, "query_id long, point array<double>, leaf long"))
-    # blocks of each leaf: one row per leaf that is opened
-    sizes = index.groupBy("leaf").agg(F.count("*").alias("_n")).join(opened.groupBy("leaf").agg(F.count("*").alias("_q")), "leaf")
-    blocks = small(
-        stored(sizes.select("leaf", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_parts"), F.ceil(F.col("_q") / BLOCK).cast("int").alias("_turns")))
-    )
+    opened = stored(asked.mapInArrow(open_leaves, "query_id long, point array<double>, bin int, leaves array<long>"))
+    # one row per bin that is opened: into how many parts its vectors and its queries are dealt
+    sizes = index.groupBy("bin").agg(F.count("*").alias("_n")).join(opened.groupBy("bin").agg(F.count("*").alias("_q")), "bin")
+    parts = [F.ceil(F.col(c) / BLOCK).cast("int").alias(name) for c, name in (("_n", "_parts"), ("_q", "_turns"))]
+    blocks = small(stored(sizes.select("bin", *parts)))
 
     def dealt(rows, names, own, key, other):
-        """Each row goes to its own part of its leaf, once for each part of the other side."""
+        """Each row goes to its own part of its bin, once for each part of the other side."""
         part = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
         rest = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        return rows.join(blocks, "leaf").select(*names, "leaf", part.alias(own + "_k"), rest.alias(other + "_k"))
+        return rows.join(blocks, "bin").select(*names, "bin", part.alias(own + "_k"), rest.alias(other + "_k"))
 
-    left = dealt(index, ["vec_id", "vector"], "_parts", "vec_id", "_turns")
-    right = dealt(opened, ["query_id", "point"], "_turns", "query_id", "_parts")
-    keys = ["leaf", "_parts_k", "_turns_k"]
+    left = dealt(index, ["vec_id", "vector", "leaf"], "_parts", "vec_id", "_turns")
+    right = dealt(opened, ["query_id", "point", "leaves"], "_turns", "query_id", "_parts")
+    keys = ["bin", "_parts_k", "_turns_k"]
 
     def search(rows: pa.Table, asking: pa.Table) -> pa.Table:
-        found = []
+        best: dict[int, list[tuple[float, int]]] = {}
         vec_ids, ids = rows["vec_id"].to_numpy(), asking["query_id"].to_numpy()
         if len(vec_ids) and len(ids):
             block = rows["vector"].combine_chunks().flatten().to_numpy().reshape(len(vec_ids), -1)
             points = asking["point"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            found = _nearest(points, ids, block, vec_ids, k)
+            askers: dict[int, list[int]] = {}
+            for number, leaves in enumerate(asking["leaves"].to_pylist()):
+                for leaf in leaves:
+                    askers.setdefault(leaf, []).append(number)
+            own = rows["leaf"].to_numpy()
+            for leaf in np.unique(own).tolist():
+                here, who = np.flatnonzero(own == leaf), askers.get(leaf, [])
+                if who:
+                    for i, j, score in _nearest(points[who], ids[who], block[here], vec_ids[here], k):
+                        best.setdefault(int(ids[who[i]]), []).append((float(score), int(vec_ids[here[j]])))
+        found = [(query, vec_id, score) for query, near in best.items() for score, vec_id in heapq.nsmallest(k, near)]
         return pa.table(
             {
-                "query_id": pa.array([int(ids[i]) for i, _, _ in found], pa.int64()),
-                "vec_id": pa.array([int(vec_ids[j]) for _, j, _ in found], pa.int64()),
-                "score": pa.array([float(d) for _, _, d in found], pa.float64()),
+                "query_id": pa.array([x for x, _, _ in found], pa.int64()),
+                "vec_id": pa.array([x for _, x, _ in found], pa.int64()),
+                "score": pa.array([x for _, _, x in found], pa.float64()),
             }
         )
 

@@ -40,6 +40,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
+def drawn(chance: Column, share: float) -> Column:
+    """Whether a row is in a sample of about `share` of all; `chance` is a 64-bit hash of the row."""
+    return F.pmod(chance, F.lit(2**40)) < int(min(share, 1.0) * 2**40)
+
+
 def fraction(digest: Column) -> Column:
     """A number in [0, 1) that rises with a hex digest."""
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
