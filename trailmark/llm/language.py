@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import stored
+from trailmark.llm.shared import drawn, stored
 
 #: Cells of the hashed n-gram vectors.
 DIMENSIONS = 1 << 13
@@ -109,8 +109,8 @@ def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int =
     """Learn from the columns text and lang; rows without language or letters are left out.
 
     Document frequencies and the reach of the centroids are taken over all rows.
-    The centroids are fitted on the `sample_rows` rows with the smallest hash of
-    their text, the only sample.  Without any row there is no model.
+    The centroids are fitted on about `sample_rows` rows, those whose text has a
+    small hash, copies counted once; this is the only sample.  Without any row there is no model.
     `slack` is the share of the smallest cosine learned that is still accepted.
     """
     known = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
@@ -127,7 +127,8 @@ def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int =
     if seen is None:
         return None
     idf = (np.log((1 + seen[-1]) / (1 + seen[:-1])) + 0.05).astype(np.float32)
-    sample = stored(known.orderBy(F.xxhash64("text"), "lang").limit(sample_rows))
+    share = sample_rows / max(seen[-1], 1)
+    sample = stored(known.filter(drawn(F.xxhash64("text"), share)).dropDuplicates())
 
     # farthest texts would be odd ones: start from sums over random parts of each language
     def begin(batches):
