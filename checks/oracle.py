@@ -4,7 +4,10 @@ import math
 
 from trailmark.functions.seeded import WORD, weight
 
-FIRST_TARGET = "1998-04"  # the fourth of the ten months
+# The months of the test tables; the fourth is the first target.
+FIRST, LAST = (1995, 1), (2001, 11)
+MONTHS = [f"{y}-{m:02d}" for y in range(FIRST[0], LAST[0] + 1) for m in range(1, 13) if FIRST <= (y, m) <= LAST]
+FIRST_TARGET = MONTHS[3]
 
 _PREV = "CASE WHEN s_nationkey % 6 = 0 THEN 'other-' || n_name ELSE n_name END"
 
@@ -14,8 +17,7 @@ CTE = {
                CASE l_returnflag WHEN 'R' THEN 'link' WHEN 'A' THEN 'external' ELSE 'other' END AS type,
                CAST(l_quantity AS INT) AS n, strftime(l_shipdate, '%Y-%m') AS month
         FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-        JOIN part ON p_partkey = l_partkey
-        WHERE strftime(l_shipdate, '%Y-%m') BETWEEN '1998-01' AND '1998-10'""",
+        JOIN part ON p_partkey = l_partkey""",
     "clicks": "SELECT * FROM raw WHERE n >= 10",
     "months": "SELECT DISTINCT month FROM clicks",
     "targets": f"SELECT month FROM months WHERE month >= '{FIRST_TARGET}'",
@@ -51,8 +53,7 @@ CTE = {
         FROM em""",
     "views": """
         SELECT p_type AS page, CAST(l_shipdate AS DATE) AS date, CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS views
-        FROM lineitem JOIN part ON p_partkey = l_partkey
-        WHERE l_shipdate >= '1997-12-01' AND l_shipdate < '1998-12-01' GROUP BY ALL""",
+        FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL""",
     "truth": """
         SELECT CASE WHEN n_nationkey % 6 = 0 THEN 'other-' || n_name ELSE n_name END AS page
         FROM nation WHERE n_regionkey = 0""",
@@ -113,7 +114,7 @@ def _mix(place: str, confidence: str) -> str:
         WHERE changed OR change >= 0.2"""
 
 
-CTE["mix"] = _mix("place", "least(0.5 + 0.5 * (change - 0.2) / 0.8, 1.0)")
+CTE["mix"] = _mix("place1", "least(0.5 + 0.5 * (change - 0.2) / 0.8, 1.0)")
 CTE["anomalies"] = "SELECT * FROM spikes UNION ALL SELECT * FROM mix"
 
 CTE["last3"] = """
@@ -182,20 +183,20 @@ CTE["changes"] = """
     FROM latest_top l LEFT JOIN usual u USING (curr)"""
 
 # graph of the last month
-CTE["oct"] = "SELECT * FROM clicks WHERE month = '1998-10'"
+CTE["oct"] = "SELECT * FROM clicks WHERE month = (SELECT max(month) FROM months)"
 CTE["links"] = "SELECT prev, curr, CAST(sum(n) AS DOUBLE) AS weight FROM oct GROUP BY ALL"
 CTE["nodes"] = "SELECT prev AS node FROM links UNION SELECT curr FROM links"
 CTE["degrees"] = """
     SELECT node, count(*) AS degree FROM (SELECT prev AS node FROM links UNION ALL SELECT curr FROM links) GROUP BY ALL"""
 CTE["shares"] = "SELECT prev, curr, weight / sum(weight) OVER (PARTITION BY prev) AS share FROM links"
-CTE["rank0"] = "SELECT node, 1.0 / (SELECT count(*) FROM nodes) AS r FROM nodes"
-RANK_ROUNDS = 5
-for _k in range(RANK_ROUNDS):
-    CTE[f"rank{_k + 1}"] = f"""
-        SELECT node, 0.85 * coalesce(s, 0) + 0.15 / (SELECT count(*) FROM nodes) AS r
-        FROM nodes LEFT JOIN (SELECT curr AS node, sum(r * share) AS s
-                              FROM shares JOIN rank{_k} ON node = prev GROUP BY ALL) USING (node)"""
-CTE["ranks"] = f"SELECT node, r / (SELECT sum(r) FROM rank{RANK_ROUNDS}) AS r FROM rank{RANK_ROUNDS}"
+CTE["rank"] = """
+    SELECT 0 AS k, node, 1.0::DOUBLE / (SELECT count(*) FROM nodes) AS r FROM nodes
+    UNION ALL
+    SELECT lost.k + 1, nodes.node, (0.15 + 0.85 * lost.r) / (SELECT count(*) FROM nodes) + 0.85 * coalesce(s, 0)
+    FROM nodes LEFT JOIN (SELECT curr AS node, sum(r * share) AS s FROM shares JOIN rank ON node = prev GROUP BY ALL) USING (node),
+         (SELECT max(k) AS k, coalesce(sum(r) FILTER (node NOT IN (SELECT prev FROM links)), 0) AS r FROM rank) lost
+    WHERE lost.k < 150"""
+CTE["ranks"] = "SELECT node, r FROM rank WHERE k = 150"
 CTE["oct_edges"] = "SELECT DISTINCT prev, curr, type FROM oct"
 
 
@@ -213,11 +214,11 @@ def normal(key: str, index: int, seed: int = 42) -> str:
 
 def _flagged(distances: str) -> str:
     return f"""
-        SELECT prev, curr, type, '1998-10' AS month, round(s, 6) AS gnn_score,
+        SELECT prev, curr, type, (SELECT max(month) FROM months) AS month, round(s, 6) AS gnn_score,
                s >= (SELECT quantile_cont(s, 0.95) FROM scaled) AS gnn_flag FROM scaled"""
 
 
-STRUCT_DIM = 6
+STRUCT_DIM = 64
 _noise = " + ".join(f"pow({normal('prev', i)} - {normal('curr', i)}, 2)" for i in range(STRUCT_DIM - 2))
 CTE["struct_dist"] = f"""
     SELECT e.*, sqrt(pow(dp.degree - dc.degree, 2) + pow(rp.r - rc.r, 2) + {_noise}) AS d
@@ -306,7 +307,7 @@ CTE["vec"] = """
 CTE["centre"] = "SELECT label, i, avg(x) AS c FROM vec GROUP BY ALL"
 CTE["vec_dist"] = "SELECT vec_id, label, sqrt(sum(pow(x - c, 2))) AS d FROM vec JOIN centre USING (label, i) GROUP BY ALL"
 
-_RECURSIVE = {"walk", "holt"}
+_RECURSIVE = {"walk", "holt", "rank"}
 
 
 def with_(final: str, extra: dict[str, str] | None = None) -> str:
@@ -342,7 +343,7 @@ FULL = (
     ANOMALY[1] + " forecast_n forecast_lower forecast_upper forecast_error forecast_ratio",
 )
 _PIVOT = ", ".join(
-    f"CAST(coalesce(sum(n) FILTER (month = '1998-{m:02d}'), 0) AS BIGINT) AS \"1998-{m:02d}\"" for m in range(1, 11)
+    f"CAST(coalesce(sum(n) FILTER (month = '{m}'), 0) AS BIGINT) AS \"{m}\"" for m in MONTHS
 )
 _TOP = "SELECT * FROM anomalies ORDER BY confidence DESC, anomaly_id LIMIT {k}"
 _FIRST_ROWS = """
@@ -397,9 +398,8 @@ CTE["daily"] = "SELECT page, month, count(*) AS days, CAST(sum(views) AS BIGINT)
 
 
 def oracle_sql() -> dict[str, str]:
-    month_names = [f"1998-{m:02d}" for m in range(1, 11)]
     feature_ratios = ", ".join(
-        f"round(CASE WHEN baseline_median > 0 THEN \"{m}\" / baseline_median ELSE 0.0 END, 6) AS \"ratio_{m}\"" for m in month_names
+        f"round(CASE WHEN baseline_median > 0 THEN \"{m}\" / baseline_median ELSE 0.0 END, 6) AS \"ratio_{m}\"" for m in MONTHS
     )
     out = {
         "read_raw_months": "SELECT * FROM raw",
@@ -437,14 +437,16 @@ def oracle_sql() -> dict[str, str]:
         "spikes_prior_history": rounded("found", *ANOMALY),
         "spikes_last_six": rounded("found", *ANOMALY),
         "spikes_plus_epsilon_ratio": rounded("found", *ANOMALY),
-        "mix_shifts_all_ties": rounded("mix", *ANOMALY),
+        "mix_shifts_all_ties": rounded("found", *ANOMALY),
         "mix_shifts_first": rounded("found", *ANOMALY),
-        "mix_shifts_with_js": """SELECT m.curr, m.month, m.js FROM (
-              SELECT curr, month, bool_or(place_changed) AS js FROM (SELECT 1 AS curr, 1 AS month, true AS place_changed) GROUP BY ALL) m""",
+        "mix_shifts_with_js": rounded("found", *ANOMALY),
         "all_anomalies": rounded("anomalies", *ANOMALY),
         "stored_anomalies": rounded("anomalies", *ANOMALY) + " WHERE month = '1998-07' AND anomaly_type = 'mix_shift'",
+        "all_stored_anomalies": rounded("anomalies", *ANOMALY),
+        "flat_anomalies": rounded("anomalies", *ANOMALY),
+        "truth_pages": "SELECT DISTINCT page FROM truth",
         "edge_features": f"""SELECT prev, curr, type, round(baseline_median, 6) AS baseline_median, round(baseline_mean, 6) AS baseline_mean,
-            round(baseline_mad, 6) AS baseline_mad, {', '.join(f'"{m}"' for m in month_names)}, {feature_ratios},
+            round(baseline_mad, 6) AS baseline_mad, {', '.join(f'"{m}"' for m in MONTHS)}, {feature_ratios},
             CASE WHEN type = 'link' THEN 1.0 ELSE 0.0 END::DOUBLE AS type_link, CASE WHEN type = 'external' THEN 1.0 ELSE 0.0 END::DOUBLE AS type_external,
             CASE WHEN type = 'other' THEN 1.0 ELSE 0.0 END::DOUBLE AS type_other
             FROM (SELECT prev, curr, type, {_PIVOT} FROM em GROUP BY ALL) JOIN base USING (prev, curr, type)""",
@@ -455,10 +457,10 @@ def oracle_sql() -> dict[str, str]:
         "top_ten_referrers": "SELECT curr, month, CAST(rank AS INT) AS rank, prev, n, total, proportion FROM top10",
         "dated_series": """SELECT prev, curr, type, string_agg(month || '-01' || '=' || n, ',' ORDER BY month) AS points FROM em GROUP BY ALL""",
         "forecast_moving_average": rounded("found", *FORECAST),
-        "forecast_trend": rounded("compared", *FORECAST) + " WHERE month = '1998-10'",
+        "forecast_trend": rounded("compared", *FORECAST) + f" WHERE month >= '{FIRST_TARGET}'",
         "forecast_smoothing": rounded("found", *FORECAST),
         "forecast_ahead": rounded("found", *FORECAST),
-        "forecast_flag_counts": "SELECT count(*) AS rows, count(*) FILTER (forecast_flag) AS flagged FROM compared WHERE month = '1998-10'",
+        "forecast_flag_counts": "SELECT count(*) AS rows, count(*) FILTER (forecast_flag) AS flagged FROM compared WHERE month >= '" + FIRST_TARGET + "'",
         "enriched_anomalies": rounded("enriched", *FULL),
         "enriched_stored_anomalies": rounded("enriched", *FULL),
         "node_degree": "SELECT node, degree FROM degrees",
@@ -511,7 +513,7 @@ def oracle_sql() -> dict[str, str]:
         "edge_history": """SELECT month, n, round(baseline_median, 6) AS baseline_median, round(baseline_mad, 6) AS baseline_mad
             FROM em JOIN base USING (prev, curr, type) WHERE prev = 'NATION_1' AND curr = 'ECONOMY' AND type = 'link'""",
         "page_distribution": """SELECT month, prev, n / sum(n) OVER (PARTITION BY month) AS proportion, n
-            FROM pm WHERE curr = 'ECONOMY' AND month IN ('1998-08', '1998-09', '1998-10')""",
+            FROM pm WHERE curr = 'ECONOMY' AND month IN (SELECT month FROM months ORDER BY month DESC LIMIT 3)""",
         "filled_series": f"""SELECT a.prev, a.curr, a.type, m.month, coalesce(e.n, 0) AS traffic, round(a.baseline_median, 6) AS baseline_median,
             round(a.forecast_n, 6) AS forecast_n, round(a.forecast_lower, 6) AS forecast_lower, round(a.forecast_upper, 6) AS forecast_upper
             FROM ({_FIRST_ROWS}) a JOIN (SELECT DISTINCT prev, curr, type FROM em) k USING (prev, curr, type), months m
@@ -536,12 +538,10 @@ def oracle_sql() -> dict[str, str]:
             round(z, 6) AS z_score FROM (SELECT *, CASE WHEN baseline_median > 0 THEN n / baseline_median ELSE 0 END AS r,
             (n - baseline_median) / (baseline_mad + 0.01) AS z FROM hours JOIN hour_base USING (prev, curr)) WHERE r >= 10 OR abs(z) >= 3.5""",
     }
-    del out["mix_shifts_with_js"]
-    out["mix_shifts_with_js"] = rounded("found", *ANOMALY)
     prior = {"past": _history_base("h.month < t.month", "mean_abs")}
     six = {
         "past": _history_base(
-            "h.month < t.month AND CAST(right(h.month, 2) AS INT) >= CAST(right(t.month, 2) AS INT) - 6", "median_abs"
+            "h.month < t.month AND date_diff('month', CAST(h.month || '-01' AS DATE), CAST(t.month || '-01' AS DATE)) <= 6", "median_abs"
         )
     }
 
@@ -565,16 +565,18 @@ def oracle_sql() -> dict[str, str]:
         "spikes_prior_history": {**prior, "rows_": with_mad("mean_abs"), "found": _spike_rows("rows_", _GUARDED)},
         "spikes_last_six": {**six, "rows_": with_mad("median_abs"), "found": _spike_rows("rows_", _GUARDED)},
         "spikes_plus_epsilon_ratio": {"found": _spike_rows("against", "n / (baseline_median + 0.01)", "steep")},
+        "mix_shifts_all_ties": {"found": _mix("place", "least(0.5 + 0.5 * (change - 0.2) / 0.8, 1.0)")},
         "mix_shifts_first": {"found": _mix("place1", "least(change / 0.5, 1.0)")},
         "mix_shifts_with_js": {"js": out["js_shift"], "found": js},
-        "forecast_moving_average": {"found": _metrics("average", "WHERE month = '1998-10'")},
-        "forecast_smoothing": {"found": _metrics("smooth", "WHERE month = '1998-10'")},
+        "forecast_moving_average": {"found": _metrics("average", f"WHERE month >= '{FIRST_TARGET}'")},
+        "forecast_smoothing": {"found": _metrics("smooth", f"WHERE month >= '{FIRST_TARGET}'")},
         "forecast_ahead": {
             "ahead": ahead,
-            "found": """SELECT *, n - forecast_n AS forecast_error, n / (forecast_n + 1e-6) AS forecast_ratio,
-                n > forecast_upper OR n / (forecast_n + 1e-6) >= 2 AS forecast_flag FROM ahead WHERE month >= '1998-04'""",
+            "found": f"""SELECT *, n - forecast_n AS forecast_error, n / (forecast_n + 1e-6) AS forecast_ratio,
+                n > forecast_upper OR n / (forecast_n + 1e-6) >= 2 AS forecast_flag FROM ahead WHERE month >= '{FIRST_TARGET}'""",
         },
         "structural_scores": {"scaled": "SELECT *, d / (SELECT max(d) FROM struct_dist) AS s FROM struct_dist"},
         "neighbour_scores": {"scaled": "SELECT *, d / (SELECT max(d) FROM near_dist) AS s FROM near_dist"},
     }
+    out["clean_table"] = out["clean_clicks"]
     return {name: with_(sql, extra.get(name)) for name, sql in out.items()}

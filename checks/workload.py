@@ -6,24 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.functions.lineage import scratch_path
+from trailmark.functions.lineage import cut_lineage, scratch_path
 from trailmark.functions.text import decode_title, encode_title
 from trailmark.operators import clusters, edges, forecasts, graph, mixshift, referrers, spikes
 from trailmark.operators.cleaning import clean_clicks, page_category
 from trailmark.plans import explain, pageviews, reports, rolling
 from trailmark.schema import EDGE
 from trailmark.sources import derived
-from trailmark.sources.anomalies import read_anomalies, write_anomalies
-from trailmark.sources.clicks import read_months
-from trailmark.sources.derived import MONTHS
+from trailmark.sources.anomalies import read_anomalies, write_anomalies, write_flat
+from trailmark.sources.clicks import clean_or_load, read_months
 from trailmark.sources.pageviews import flatten_responses
+from trailmark.sources.truth import ground_truth_pages
 from trailmark.streaming import replay, windows
 
-TARGETS = MONTHS[3:]
-LAST = MONTHS[-1]
+_MONTHS: dict[str, list[str]] = {}
+
+
+def months(spark: SparkSession, folder: str) -> list[str]:
+    """The months of the data, in order; read once per folder."""
+    if folder not in _MONTHS:
+        found = derived.order_clicks(spark, folder).filter("n >= 10").select("month").distinct().collect()
+        _MONTHS[folder] = sorted(r.month for r in found)
+    return _MONTHS[folder]
+
+
+def targets(spark: SparkSession, folder: str) -> list[str]:
+    return months(spark, folder)[3:]
+
+
+def last_month(spark: SparkSession, folder: str) -> str:
+    return months(spark, folder)[-1]
+
 
 # As in oracle.py
-RANK_ROUNDS, STRUCT_DIM, NEAR_DIM = 5, 6, 4
+STRUCT_DIM, NEAR_DIM = 64, 4
 WALKS, WALK_LENGTH, CONTEXT_DIM, CONTEXT_WINDOW = 2, 5, 4, 2
 
 
@@ -32,19 +48,34 @@ def clicks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series(spark, folder):
-    return edges.edge_series(clicks(spark, folder), MONTHS)
+    return edges.edge_series(clicks(spark, folder), months(spark, folder))
 
 
 def pair_rows(spark, folder):
-    return referrers.pair_targets(referrers.pair_series(clicks(spark, folder), MONTHS), MONTHS, TARGETS)
+    return referrers.pair_targets(referrers.pair_series(clicks(spark, folder), months(spark, folder)), months(spark, folder), targets(spark, folder))
+
+
+def anomalies_run(spark, folder):
+    return rolling.rolling_run(clicks(spark, folder), months(spark, folder))
+
+
+def enriched_run(spark, folder):
+    return rolling.rolling_run(clicks(spark, folder), months(spark, folder), forecasts={"method": "trend"})
+
+
+def as_stored(spark, rows: DataFrame) -> DataFrame:
+    """Written to an anomaly table and read back, so that reports do not detect again."""
+    path = scratch_path(spark, "anomalies")
+    write_anomalies(rows, path, mode="overwrite")
+    return read_anomalies(spark, path)
 
 
 def anomalies(spark, folder):
-    return rolling.rolling_run(clicks(spark, folder), MONTHS)
+    return as_stored(spark, anomalies_run(spark, folder))
 
 
 def enriched(spark, folder):
-    return rolling.rolling_run(clicks(spark, folder), MONTHS, forecasts={"method": "trend"})
+    return as_stored(spark, enriched_run(spark, folder))
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -68,7 +99,7 @@ def read_raw_months(spark, folder):
     path = scratch_path(spark, "raw")
     raw = derived.order_clicks(spark, folder)
     raw.write.partitionBy("month").option("sep", "\t").option("header", True).csv(path)
-    return read_months(spark, [(f"{path}/month={m}", m) for m in MONTHS])
+    return read_months(spark, [(f"{path}/month={m}", m) for m in months(spark, folder)])
 
 
 def clean(spark, folder):
@@ -93,63 +124,88 @@ def median_abs(spark, folder):
 
 
 def spikes_against(spark, folder):
-    traffic = edges.edge_month(clicks(spark, folder).filter(F.col("month").isin(TARGETS)))
+    traffic = edges.edge_month(clicks(spark, folder).filter(F.col("month").isin(targets(spark, folder))))
     return found(spikes.spikes_against(traffic, edges.edge_baselines(series(spark, folder))))
 
 
 def spikes_variant(spark, folder, **options):
-    return found(spikes.traffic_spikes(series(spark, folder), MONTHS, **options))
+    return found(spikes.traffic_spikes(series(spark, folder), months(spark, folder), **options))
 
 
 def mix_variant(spark, folder, **options):
-    return found(mixshift.mix_shifts(clicks(spark, folder), MONTHS, **options))
+    return found(mixshift.mix_shifts(clicks(spark, folder), months(spark, folder), **options))
 
 
 def stored_anomalies(spark, folder):
     path = scratch_path(spark, "anomalies")
-    write_anomalies(anomalies(spark, folder), path, mode="overwrite")
+    write_anomalies(anomalies_run(spark, folder), path, mode="overwrite")
     return found(read_anomalies(spark, path, {"month": "1998-07", "anomaly_type": "mix_shift"}))
 
 
+def flat_anomalies(spark, folder):
+    path = scratch_path(spark, "flat")
+    write_flat(anomalies_run(spark, folder), path)
+    return found(spark.read.parquet(path))
+
+
+def clean_table(spark, folder):
+    """Raw months to the cleaned table, which is then found and read."""
+    raw, path = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    derived.order_clicks(spark, folder).write.partitionBy("month").option("sep", "\t").option("header", True).csv(raw)
+    files = [(f"{raw}/month={m}", m) for m in months(spark, folder)]
+    clean_or_load(spark, path, files)
+    return clean_or_load(spark, path, [])
+
+
+def truth_pages(spark, folder):
+    path = scratch_path(spark, "truth")
+    pages = derived.known_pages(spark, folder)
+    pages.unionAll(pages).write.parquet(path)
+    return ground_truth_pages(spark, path)
+
+
 def centroid_outliers(spark, folder):
     vectors = derived.table(spark, folder, "embeddings")
     return rounded(clusters.centroid_outliers(vectors, "vec_id", "embedding", "label"))
 
 
 def kmeans_outliers(spark, folder):
-    return found(clusters.navigation_edges(series(spark, folder), MONTHS, TARGETS, k=50))
+    return found(clusters.navigation_edges(series(spark, folder), months(spark, folder), targets(spark, folder), k=50))
 
 
 def full_run(spark, folder):
-    run = rolling.rolling_run(clicks(spark, folder), MONTHS, clusters={"k": 50}, forecasts={"method": "trend"})
+    run = rolling.rolling_run(clicks(spark, folder), months(spark, folder), clusters={"k": 50}, forecasts={"method": "trend"})
     return rounded(run)
 
 
-def forecast(spark, folder, **options):
-    return rounded(forecasts.forecast_metrics(series(spark, folder), MONTHS, **options))
+def forecast(spark, folder, every=False, **options):
+    """Forecasts of the last month, or of every target month."""
+    if every:
+        options["targets"] = targets(spark, folder)
+    return rounded(forecasts.forecast_metrics(series(spark, folder), months(spark, folder), **options))
 
 
 def dated_series(spark, folder):
-    rows = forecasts.dated_series(series(spark, folder), MONTHS)
+    rows = forecasts.dated_series(series(spark, folder), months(spark, folder))
     text = F.transform("points", lambda p: F.concat(p["date"].cast("string"), F.lit("="), p["n"].cast("string")))
     return rows.select(*EDGE, F.array_join(text, ",").alias("points"))
 
 
 def enrich_stored(spark, folder):
     stored = anomalies(spark, folder)
-    return rounded(rolling.enrich_stored(stored, clicks(spark, folder), MONTHS, method="trend"))
+    return rounded(rolling.enrich_stored(stored, clicks(spark, folder), months(spark, folder), method="trend"))
 
 
 def month_graph(spark, folder):
-    return graph.page_graph(clicks(spark, folder).filter(F.col("month") == LAST))
+    return graph.page_graph(clicks(spark, folder).filter(F.col("month") == last_month(spark, folder)))
 
 
 def pagerank(spark, folder):
-    return rounded(graph.pagerank(month_graph(spark, folder), iterations=RANK_ROUNDS, tol=None))
+    return rounded(graph.pagerank(month_graph(spark, folder), tol=1e-12))
 
 
 def graph_method(spark, folder, **options):
-    return rounded(graph.graph_scores(clicks(spark, folder), LAST, **options))
+    return rounded(graph.graph_scores(clicks(spark, folder), last_month(spark, folder), **options))
 
 
 def walks(spark, folder):
@@ -171,7 +227,7 @@ def walk_embeddings(spark, folder):
 
 
 def browse_two_tier(spark, folder):
-    rows = reports.browse_two_tier(anomalies(spark, folder))
+    rows = reports.browse_two_tier(anomalies(spark, folder), limit=5000)
     # the page itself is at most 5000 rows, so numbering it in one task is bounded
     ordered = rows.select("anomaly_id", F.monotonically_increasing_id().alias("_place"))
     from pyspark.sql import Window
@@ -193,7 +249,7 @@ def edge_history(spark, folder):
 
 def page_distribution(spark, folder):
     shares = referrers.referrer_distribution(clicks(spark, folder))
-    return referrers.page_distribution(shares, KNOWN_EDGE[1], MONTHS[-3:])
+    return referrers.page_distribution(shares, KNOWN_EDGE[1], months(spark, folder)[-3:])
 
 
 def known_anomaly(spark, folder):
@@ -219,17 +275,17 @@ def signal_status(spark, folder):
 
 
 def filled_series(spark, folder):
-    return rounded(explain.filled_series(enriched(spark, folder), series(spark, folder), MONTHS))
+    return rounded(explain.filled_series(enriched(spark, folder), series(spark, folder), months(spark, folder)))
 
 
 def referrer_changes(spark, folder):
-    shares = referrers.nested_top_referrers(referrers.top_referrers(clicks(spark, folder), MONTHS))
+    shares = referrers.nested_top_referrers(referrers.top_referrers(clicks(spark, folder), months(spark, folder)))
     return explain.referrer_changes(shares).drop("referrer_shares")
 
 
 def details(spark, folder):
     return explain.anomaly_details(
-        enriched(spark, folder), clicks(spark, folder), MONTHS, derived.daily_views(spark, folder)
+        enriched(spark, folder), clicks(spark, folder), months(spark, folder), derived.daily_views(spark, folder)
     )
 
 
@@ -281,19 +337,16 @@ def hourly_baselines(spark, folder):
     return edges.period_baselines(windows.window_counts(derived.event_transitions(spark, folder)), ["prev", "curr"])
 
 
-SLICES = [f"2024-01-{d:02d}" for d in range(1, 32, 7)]
-
-
 def replayed(spark, folder):
     """The event transitions as a stream: written week by week, then read back in order.
 
     The delay of ten days covers a week's files in any order, so nothing is dropped.
     """
     path = scratch_path(spark, "replay")
-    week = F.date_add(F.lit(SLICES[0]).cast("date"), (F.floor(F.datediff("day", F.lit(SLICES[0]).cast("date")) / 7) * 7).cast("int"))
-    rows = derived.event_transitions(spark, folder).withColumn("day", week.cast("string"))
-    rows = rows.select("ts", "prev", "curr", F.col("n").cast("bigint").alias("n"), "day")
-    replay.write_replay(rows, path, "day", SLICES, files_per_slice=2)
+    week = F.date_trunc("week", "day").cast("date").cast("string")
+    rows = derived.event_transitions(spark, folder).withColumn("day", week)
+    rows = cut_lineage(rows.select("ts", "prev", "curr", F.col("n").cast("bigint").alias("n"), "day"))
+    replay.write_replay(rows, path, "day", files_per_slice=2)
     replay.end_replay(rows, path, "ts")
     return windows.window_counts(replay.open_replay(spark, path, rows.schema, 2), delay="10 days")
 
@@ -309,7 +362,7 @@ def stream_window_counts(spark, folder):
 
 
 def stream_alerts(spark, folder):
-    base = hourly_baselines(spark, folder)
+    base = cut_lineage(hourly_baselines(spark, folder))
     rows = streamed(spark, windows.alerts(windows.score_windows(replayed(spark, folder), base)))
     return rounded(rows.select("window_start", "prev", "curr", "n", "deviation_ratio", "z_score"))
 
@@ -319,6 +372,11 @@ def _on(rows, make):
     return lambda spark, folder: make(rows(spark, folder))
 
 
+def _monthly(rows, make):
+    """As ``_on``, with the months of the data."""
+    return lambda spark, folder: make(rows(spark, folder), months(spark, folder))
+
+
 def queries():
     by = functools.partial
     trend = {"method": "trend"}
@@ -328,7 +386,7 @@ def queries():
         "page_categories": page_categories,
         "title_codec": title_codec,
         "edge_month": _on(clicks, edges.edge_month),
-        "month_pivot": _on(series, lambda s: edges.month_pivot(s, MONTHS)),
+        "month_pivot": _monthly(series, lambda s, m: edges.month_pivot(s, m)),
         "edge_baselines": _on(series, lambda s: rounded(edges.edge_baselines(s))),
         "edge_baselines_median_abs": median_abs,
         "raw_row_baselines": _on(clicks, lambda c: rounded(edges.raw_row_baselines(c))),
@@ -338,36 +396,40 @@ def queries():
             pair_rows,
             lambda r: referrers.aligned_distributions(r).select("curr", "prev", "month", "proportion", "baseline_proportion"),
         ),
-        "js_shift": _on(clicks, lambda c: rounded(mixshift.js_shift(c, MONTHS))),
+        "js_shift": _monthly(clicks, lambda c, m: rounded(mixshift.js_shift(c, m))),
         "traffic_spikes": spikes_variant,
         "spikes_against_baselines": spikes_against,
         "spikes_prior_history": by(spikes_variant, history="prior"),
         "spikes_last_six": by(spikes_variant, history=6, mad="median_abs"),
         "spikes_plus_epsilon_ratio": by(spikes_variant, ratio_rule="plus_epsilon", curve="steep"),
-        "mix_shifts_all_ties": mix_variant,
-        "mix_shifts_first": by(mix_variant, ties="first", confidence="proportional"),
+        "mix_shifts_all_ties": by(mix_variant, ties="all"),
+        "mix_shifts_first": by(mix_variant, confidence="proportional"),
         "mix_shifts_with_js": by(mix_variant, use_js=True, js_threshold=0.1),
-        "all_anomalies": _on(anomalies, found),
+        "all_anomalies": _on(anomalies_run, found),
+        "all_stored_anomalies": _on(anomalies, found),
+        "flat_anomalies": flat_anomalies,
+        "clean_table": clean_table,
+        "truth_pages": truth_pages,
         "stored_anomalies": stored_anomalies,
-        "edge_features": _on(series, lambda s: rounded(edges.edge_features(s, MONTHS))),
+        "edge_features": _monthly(series, lambda s, m: rounded(edges.edge_features(s, m))),
         "centroid_outliers": centroid_outliers,
         "kmeans_outliers": kmeans_outliers,
         "full_run": full_run,
-        "last_six_months": _on(series, lambda s: edges.last_months(s, MONTHS)),
-        "top_ten_referrers": _on(clicks, lambda c: referrers.top_referrers(c, MONTHS)),
+        "last_six_months": _monthly(series, lambda s, m: edges.last_months(s, m)),
+        "top_ten_referrers": _monthly(clicks, lambda c, m: referrers.top_referrers(c, m)),
         "dated_series": dated_series,
-        "forecast_moving_average": by(forecast, method="moving_avg"),
-        "forecast_trend": by(forecast, **trend),
-        "forecast_smoothing": by(forecast, method="exponential"),
-        "forecast_arima": by(forecast, method="arima"),
-        "forecast_ahead": by(forecast, method="moving_avg", targets=TARGETS, include_target=False),
-        "forecast_flag_counts": _on(series, lambda s: reports.flagged_counts(forecasts.forecast_metrics(s, MONTHS, **trend))),
-        "enriched_anomalies": _on(enriched, rounded),
+        "forecast_moving_average": by(forecast, every=True, method="moving_avg"),
+        "forecast_trend": by(forecast, every=True, **trend),
+        "forecast_smoothing": by(forecast, every=True, method="exponential"),
+        "forecast_arima": by(forecast, every=True, method="arima"),
+        "forecast_ahead": by(forecast, method="moving_avg", include_target=False, every=True),
+        "forecast_flag_counts": _monthly(series, lambda s, m: reports.flagged_counts(forecasts.forecast_metrics(s, m, targets=m[3:], **trend))),
+        "enriched_anomalies": _on(enriched_run, rounded),
         "enriched_stored_anomalies": enrich_stored,
         "node_degree": _on(month_graph, graph.node_degrees),
         "pagerank": pagerank,
-        "heaviest_edges": lambda s, f: graph.page_graph(clicks(s, f).filter(F.col("month") == LAST), max_edges=50),
-        "structural_scores": by(graph_method, method="deepwalk", dim=STRUCT_DIM, iterations=RANK_ROUNDS, tol=None),
+        "heaviest_edges": lambda s, f: graph.page_graph(clicks(s, f).filter(F.col("month") == last_month(s, f)), max_edges=50),
+        "structural_scores": by(graph_method, method="deepwalk", dim=STRUCT_DIM, tol=1e-12),
         "neighbour_scores": by(graph_method, method="gnn", dim=NEAR_DIM),
         "walk_scores": by(graph_method, method="node2vec", dim=16, walks=WALKS, length=WALK_LENGTH, window=CONTEXT_WINDOW),
         "random_walks": random_walks,
@@ -376,7 +438,7 @@ def queries():
         "anomaly_stats": _on(anomalies, lambda a: rounded(reports.anomaly_stats(a))),
         "type_by_month": _on(enriched, lambda a: reports.type_by_month(a, flag_only=False)),
         "top_confident": _on(anomalies, lambda a: found(reports.top_by_confidence(a, 10))),
-        "browse": _on(anomalies, lambda a: found(reports.browse(a, min_confidence=0.6))),
+        "browse": _on(anomalies, lambda a: found(reports.browse(a, limit=1000, min_confidence=0.6))),
         "browse_two_tier": browse_two_tier,
         "interest_product": by(interest, rule="product"),
         "interest_weighted": by(interest, rule="weighted"),

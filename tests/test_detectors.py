@@ -57,11 +57,10 @@ def test_baselines_leave_absent_months_out(clicks_of):
     assert single["baseline_std"] == 0.01 and single["baseline_mad"] == 0.0
 
 
-def test_long_and_wide_series_agree(clicks_of, monkeypatch):
-    rows = steady() + [("C", "B", "other", "2024-02", 7)]
-    wide = sorted(map(tuple, edges.edge_series(clicks_of(rows), MONTHS).collect()))
-    monkeypatch.setattr(edges, "WIDE_MONTHS", 2)
-    assert sorted(map(tuple, edges.edge_series(clicks_of(rows), MONTHS).collect())) == wide
+def test_pairs_are_sums_over_types(clicks_of):
+    rows = clicks_of(steady() + [("A", "B", "other", "2024-02", 7), ("C", "B", "other", "2024-02", 7)])
+    own = sorted(map(tuple, edges.monthly_series(rows, ["curr", "prev"], MONTHS).collect()))
+    assert sorted(map(tuple, edges.pairs_of(edges.edge_series(rows, MONTHS), MONTHS).collect())) == own
 
 
 def test_period_baselines(spark, clicks_of):
@@ -125,12 +124,13 @@ def test_mix_shift_by_share(clicks_of):
     assert found["description"] == "Top referrer proportion changed by 0.30"
 
 
-def test_blocks_of_targets_agree(clicks_of, monkeypatch):
+def test_plan_does_not_grow_with_months(clicks_of):
     clicks = clicks_of(ties())
-    options = {"min_baseline_months": 1, "use_js": True, "js_threshold": 0.0}
-    want = sorted(map(tuple, mix_shifts(clicks, MONTHS, **options).collect()))
-    monkeypatch.setattr(referrers, "BLOCK", 1)
-    assert len(want) >= 6 and sorted(map(tuple, mix_shifts(clicks, MONTHS, **options).collect())) == want
+    long = [f"{y}-{m:02d}" for y in range(2017, 2025) for m in range(1, 13)]
+    few, many = (mix_shifts(clicks, m)._jdf.queryExecution().optimizedPlan().toString().count("\n") for m in (MONTHS, long))
+    assert few == many
+    want = sorted(map(tuple, mix_shifts(clicks, MONTHS, targets=["2024-04"], min_baseline_months=1, use_js=True, js_threshold=0.0).collect()))
+    assert want == sorted(map(tuple, mix_shifts(clicks, long, targets=["2024-04"], use_js=True, js_threshold=0.0).collect()))
 
 
 def shift(clicks_of, before, now):

@@ -137,8 +137,12 @@ def test_empty_scores(clicks):
         graph.graph_scores(clicks, "2024-01", "magic")
 
 
-def test_large_vocabulary_leaves_word2vec(spark, edges):
+def test_too_large_a_vocabulary_is_an_error(edges):
     walks = graph.random_walks(edges, walks=3, length=4)
-    small = graph.walk_embeddings(walks, dim=4, window=2, vocabulary_limit=2).collect()
-    direct = graph.context_embeddings(walks, dim=4, window=2).collect()
-    assert sorted(map(str, small)) == sorted(map(str, direct)) and len(small) == 6
+    with pytest.raises(ValueError, match="context"):
+        graph.walk_embeddings(walks, dim=4, window=2, vocabulary_limit=2)
+
+
+def test_scores_of_context_sums(clicks):
+    rows = graph.graph_scores(clicks, "2024-01", "context", dim=8, walks=3, length=4).collect()
+    assert len(rows) == len(EDGES) and max(r["gnn_score"] for r in rows) == pytest.approx(1.0)

@@ -21,7 +21,7 @@ ROWS = [
 
 def replayed(spark, path, end=True):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    replay.write_replay(df, path, "day", ["2024-01-01", "2024-01-02", "2024-01-03"])
+    replay.write_replay(df, path, "day")
     if end:
         replay.end_replay(df, path, "ts")
     return replay.open_replay(spark, path, df.schema)
@@ -73,7 +73,7 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     df = spark.createDataFrame(ROWS, SCHEMA)
     path = str(tmp_path / "in")
     # newest first; a batch is judged by the watermark its predecessor ran with, so the third is late
-    replay.write_replay(df, path, "day", ["2024-01-03", "2024-01-02", "2024-01-01"])
+    replay.write_replay(df, path, "day", newest_first=True)
     stream = windows.window_counts(replay.open_replay(spark, path, df.schema))
     query = replay.run_to_end(replay.append_to(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
     assert replay.dropped_rows(query) > 0

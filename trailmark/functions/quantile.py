@@ -2,45 +2,49 @@
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL = 100_000
-ACCURACY = 10_000
+#: Ranges in which values are counted at a time; so many rows come to the driver, whatever the data.
+BINS = 1_000
+
+
+def _order_statistic(values: DataFrame, rank: int, low: float, high: float) -> tuple[float, int]:
+    """The value at a rank counted from 0, and how many values do not exceed it.
+
+    Values are counted in equal ranges between ``low`` and ``high``; the range that
+    holds the rank, shrunk to the least and largest value in it, is taken next.
+    """
+    below = 0
+    while True:
+        place = F.floor((F.col("v") - F.lit(low)) / F.lit(high - low) * BINS) if high > low else F.lit(0)
+        bins = (
+            values.filter(F.col("v").between(low, high))
+            .groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
+            .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        )
+        for row in sorted(bins.collect(), key=lambda r: r["bin"]):
+            if below + row["n"] > rank:
+                low, high = row["low"], row["high"]
+                break
+            below += row["n"]
+        if low == high:
+            return low, below + row["n"]
 
 
 def exact_percentile(df: DataFrame, value: str, p: float) -> float | None:
     """Percentile with linear interpolation; ``p`` in 0..1, null values left out.
 
-    Up to ``SMALL`` values Spark's own ``percentile`` is used.  Beyond that an
-    approximate sketch brackets the wanted rank, rows below the bracket are only
-    counted, and the exact order statistics come from the value counts inside
-    the bracket (a fraction 4 / ``ACCURACY`` of the rows).  ``df`` is read a few
-    times: hand in a stored table if it is costly.
+    ``df`` is read a few times: hand in a stored table if it is costly.
     """
     values = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    margin = 2.0 / ACCURACY
-    low_p, high_p = max(p - margin, 0.0), min(p + margin, 1.0)
-    head = values.agg(
-        F.count("*").alias("rows"),
-        F.percentile_approx("v", [low_p, high_p], ACCURACY).alias("bracket"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
-    ).first()
+    head = values.agg(F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")).first()
     if head["rows"] == 0:
         return None
-    if head["rows"] <= SMALL:
-        return float(values.agg(F.percentile("v", F.lit(p)).alias("q")).first()["q"])
-    low = head["least"] if low_p == 0.0 else head["bracket"][0]
-    high = head["most"] if high_p == 1.0 else head["bracket"][1]
     rank = p * (head["rows"] - 1)
     first, second = math.floor(rank), math.ceil(rank)
-    below = values.filter(F.col("v") < low).count()
-    counted = values.filter(F.col("v").between(low, high)).groupBy("v").agg(F.count("*").alias("c"))
-    running = counted.withColumn("upto", F.lit(below) + F.sum("c").over(Window.orderBy("v")))
-    picked = running.agg(
-        F.min(F.when(F.col("upto") > first, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("upto") > second, F.col("v"))).alias("b"),
-    ).first()
-    upper = picked["b"] if picked["b"] is not None else picked["a"]
-    return float(picked["a"] + (rank - first) * (upper - picked["a"]))
+    at_first, upto = _order_statistic(values, first, head["low"], head["high"])
+    if second < upto:
+        return float(at_first)
+    at_second = values.filter(F.col("v") > at_first).agg(F.min("v")).first()[0]
+    return float(at_first + (rank - first) * (at_second - at_first))

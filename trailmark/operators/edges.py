@@ -7,10 +7,6 @@ from trailmark.functions import series as S
 from trailmark.functions.skew import salted_join
 from trailmark.schema import EDGE
 
-# Beyond this many months one column per month stops paying off.
-WIDE_MONTHS = 80
-
-
 def edge_month(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*EDGE, "month").agg(F.sum("n").alias("n"))
 
@@ -18,15 +14,16 @@ def edge_month(clicks: DataFrame) -> DataFrame:
 def monthly_series(clicks: DataFrame, keys: list[str], months: list[str]) -> DataFrame:
     """One row per key with ``series``: monthly sums in list order, null where absent.
 
-    One shuffle with map-side sums, so raw rows of a hot key never meet in one
-    task; everything per key is then computed from the row itself.
+    Raw rows are summed map-side per key and month, so those of a hot key never
+    meet in one task; the plan does not grow with the months.
     """
     position = F.array_position(S.text_array(months), F.col("month"))
     rows = clicks.filter(F.col("month").isin(months)).select(*keys, position.alias("_m"), "n")
-    if len(months) <= WIDE_MONTHS:
-        slots = [f"_{i + 1}" for i in range(len(months))]
-        sums = [F.expr(f"sum(CASE WHEN _m = {i + 1} THEN n END) AS {slot}") for i, slot in enumerate(slots)]
-        return rows.groupBy(*keys).agg(*sums).select(*keys, F.array(*slots).alias("series"))
+    return _assembled(rows, keys, months)
+
+
+def _assembled(rows: DataFrame, keys: list[str], months: list[str]) -> DataFrame:
+    """``series`` of each key from rows (keys, _m counted from 1, n)."""
     summed = rows.groupBy(*keys, "_m").agg(F.sum("n").alias("n"))
     found = summed.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_m", "n"))).alias("_found")
@@ -35,6 +32,13 @@ def monthly_series(clicks: DataFrame, keys: list[str], months: list[str]) -> Dat
     return found.select(*keys, F.transform(slots, lambda m: F.col("_found")[m]).alias("series"))
 
 
+def pairs_of(series: DataFrame, months: list[str]) -> DataFrame:
+    """The series of (curr, prev) from those of edges, summed over the types."""
+    points = series.select("curr", "prev", F.posexplode("series").alias("_pos", "n")).filter(F.col("n").isNotNull())
+    rows = points.select("curr", "prev", (F.col("_pos") + 1).cast("bigint").alias("_m"), "n")
+    return _assembled(rows, ["curr", "prev"], months)
+
+
 def edge_series(clicks: DataFrame, months: list[str]) -> DataFrame:
     return monthly_series(clicks, EDGE, months)
 

@@ -14,7 +14,7 @@ from trailmark.functions.seeded import normals, uniform, weight
 from trailmark.functions.skew import salted_join
 from trailmark.schema import EDGE, GRAPH_SCORES
 
-METHODS = ("auto", "gnn", "node2vec", "deepwalk", "none")
+METHODS = ("auto", "gnn", "node2vec", "context", "deepwalk", "none")
 
 
 def page_graph(clicks: DataFrame, max_edges: int | None = None) -> DataFrame:
@@ -253,10 +253,12 @@ def walk_embeddings(
     partitions: int = 8,
     vocabulary_limit: int = VOCABULARY_LIMIT,
 ) -> DataFrame:
-    """Node vectors from walks: Word2Vec while the node count is checked to fit, and
-    beyond that seeded context sums, which never leave the executors."""
+    """Node vectors from walks by Word2Vec; an error if there are too many nodes for its vocabulary.
+
+    ``context_embeddings`` is the method for graphs of any size.
+    """
     if paths.select(F.explode("path")).distinct().limit(vocabulary_limit + 1).count() > vocabulary_limit:
-        return context_embeddings(paths, dim, window, seed)
+        raise ValueError(f"Word2Vec is for at most {vocabulary_limit} nodes; use context embeddings")
     laid_out = paths.repartition(partitions, "start", "walk").sortWithinPartitions("start", "walk")
     model = Word2Vec(
         vectorSize=dim,
@@ -324,7 +326,7 @@ def graph_scores(
     """Score every edge of a month by how far apart its endpoints are embedded.
 
     ``deepwalk`` (also ``auto``) uses degree and PageRank, ``gnn`` neighbour
-    means, ``node2vec`` random walks; ``none`` gives an empty table.  The graph
+    means, ``node2vec`` random walks and Word2Vec, ``context`` random walks and context sums; ``none`` gives an empty table.  The graph
     is whole unless ``max_edges`` asks for the heaviest edges only.
     """
     if method not in METHODS:
@@ -336,9 +338,10 @@ def graph_scores(
     edges = rows.select(*EDGE).distinct()
     if method == "gnn":
         distances = embedding_distances(edges, neighbour_embeddings(graph, dim, seed=seed))
-    elif method == "node2vec":
+    elif method in ("node2vec", "context"):
         paths = cut_lineage(random_walks(graph, walks, length, seed))
-        distances = embedding_distances(edges, walk_embeddings(paths, dim, window, seed))
+        embed = walk_embeddings if method == "node2vec" else context_embeddings
+        distances = embedding_distances(edges, embed(paths, dim, window, seed))
     else:
         distances = structural_distances(edges, structural_stats(graph, **ranking), dim, seed)
     scored = flag_distances(distances, percentile).withColumn("month", F.lit(month))

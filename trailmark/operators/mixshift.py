@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.scores import divergence_term, mix_confidence
 from trailmark.functions.text import fixed
-from trailmark.operators.referrers import leading_pairs, pair_series, target_blocks, with_page_totals
+from trailmark.operators.referrers import aligned_distributions, page_tops, pair_series, pair_targets
 from trailmark.schema import anomaly_id, as_anomalies
 
 
@@ -19,63 +19,40 @@ def js_shift(
     """Jensen-Shannon distance of a page's referrer shares in a month and in all months before.
 
     ``js_score`` is half the distance (0 to about 0.416); fewer referrers than
-    ``min_referrers`` in the union give 0.  All targets are summed side by side,
-    map-side first; no lists are collected and no row is repeated per target.
+    ``min_referrers`` in the union give 0.
     """
     targets = target_months(months) if targets is None else targets
-    pairs = pair_series(clicks, months)
-    return _union([_js_block(pairs, months, block, min_referrers) for block in target_blocks(months, targets)])
-
-
-def _js_block(pairs: DataFrame, months: list[str], block: list[int], min_referrers: int) -> DataFrame:
-    shares = with_page_totals(pairs, block)
-    sums = []
-    for i in block:
-        p = F.expr(f"CASE WHEN tn_{i} > 0 THEN coalesce(n_{i}, 0L) / tn_{i} ELSE 0D END")
-        q = F.expr(f"CASE WHEN tb_{i} > 0 THEN b_{i} / tb_{i} ELSE 0D END")
-        sums += [
-            F.expr(f"count_if(n_{i} > 0 OR b_{i} > 0) AS k_{i}"),
-            F.sum(divergence_term(p, q)).alias(f"p_{i}"),
-            F.sum(divergence_term(q, p)).alias(f"q_{i}"),
-            F.expr(f"sum(n_{i}) AS total_{i}"),
-            F.expr(f"sum(b_{i}) AS base_{i}"),
-        ]
-    slots = ", ".join(
-        f"""named_struct('month', '{months[i]}', 'referrers', k_{i}, 'total_n', total_{i}, 'base_total', base_{i},
-            'js_distance', CASE WHEN k_{i} >= {min_referrers} THEN sqrt(greatest((p_{i} + q_{i}) / 2, 0D)) ELSE 0D END)"""
-        for i in block
+    return js_of_rows(pair_targets(pair_series(clicks, months), months, targets), min_referrers)
+
+
+def js_of_rows(rows: DataFrame, min_referrers: int = 3) -> DataFrame:
+    """``js_shift`` from rows of ``pair_targets``."""
+    p, q = F.col("proportion"), F.col("baseline_proportion")
+    both = aligned_distributions(rows).filter("total_n > 0 AND base_total > 0")
+    sums = both.groupBy("curr", "month").agg(
+        F.count("*").alias("referrers"),
+        F.sum("n").alias("total_n"),
+        F.sum(divergence_term(p, q)).alias("_p"),
+        F.sum(divergence_term(q, p)).alias("_q"),
     )
-    rows = shares.groupBy("curr").agg(*sums).select("curr", F.expr(f"inline(array({slots}))"))
-    return rows.filter("total_n > 0 AND base_total > 0").selectExpr(
-        "curr", "month", "referrers", "total_n", "js_distance", "js_distance / 2 AS js_score"
+    distance = F.when(F.col("referrers") >= min_referrers, F.sqrt(F.greatest((F.col("_p") + F.col("_q")) / 2, F.lit(0.0))))
+    return sums.withColumn("js_distance", F.coalesce(distance, F.lit(0.0))).select(
+        "curr", "month", "referrers", "total_n", "js_distance", (F.col("js_distance") / 2).alias("js_score")
     )
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-PAGE_MEASURES = ["total_n", "base_total", "top_n", "base_top_n"]
-
-
-def top_pairings(pairs: DataFrame, months: list[str], targets: list[str], ties: str) -> DataFrame:
+def top_pairings(rows: DataFrame, ties: str) -> DataFrame:
     """Top referrer of each page now and before, with the page's totals.
 
-    ``all``: a row per combination of equally large referrers; ``first``: the
-    alphabetically first on each side.
+    ``first``: the alphabetically first of equally large ones on each side;
+    ``all``: a row per combination of them, which grows with the product of the ties.
     """
-    leading = _union([leading_pairs(pairs, months, block) for block in target_blocks(months, targets)])
+    tops = page_tops(rows)
     if ties == "first":
-        return leading.groupBy("curr", "month").agg(
-            F.expr("min(CASE WHEN leads THEN prev END) AS top_ref"),
-            F.expr("min(CASE WHEN led THEN prev END) AS base_top_ref"),
-            *[F.max(c).alias(c) for c in PAGE_MEASURES],
-        )
-    now = leading.filter("leads").select("curr", "month", F.col("prev").alias("top_ref"), *PAGE_MEASURES)
-    before = leading.filter("led").select("curr", "month", F.col("prev").alias("base_top_ref"))
+        return tops
+    held = rows.join(tops.drop("top_ref", "base_top_ref"), ["curr", "month"])
+    now = held.filter("n = top_n").drop("n", "base_n").withColumnRenamed("prev", "top_ref")
+    before = held.filter("base_n = base_top_n").select("curr", "month", F.col("prev").alias("base_top_ref"))
     return now.join(before, ["curr", "month"])
 
 
@@ -85,22 +62,25 @@ def mix_shifts(
     targets: list[str] | None = None,
     min_baseline_months: int = 3,
     share_change: float = 0.2,
-    ties: str = "all",
+    ties: str = "first",
     confidence: str = "interpolated",
     use_js: bool = False,
     js_threshold: float = 0.3,
     min_referrers: int = 3,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Pages whose top referrer changed or whose top share moved, for all targets at once.
 
-    ``ties``: ``"all"`` gives a row per combination of tied top referrers,
-    ``"first"`` the alphabetically first of them.  ``use_js`` also reports pages
+    ``ties``: ``"first"`` takes the alphabetically first of tied top referrers, a row per
+    page-month; ``"all"`` gives a row per combination of them.  ``pairs`` are the
+    series of (curr, prev) if they are at hand; ``clicks`` is then not read.  ``use_js`` also reports pages
     whose divergence score reaches ``js_threshold``.
     """
     if ties not in ("all", "first"):
         raise ValueError(f"unknown ties: {ties}")
     targets = target_months(months, min_baseline_months) if targets is None else targets
-    tops = top_pairings(pair_series(clicks, months), months, targets, ties)
+    rows = pair_targets(pair_series(clicks, months) if pairs is None else pairs, months, targets)
+    tops = top_pairings(rows, ties)
     compared = tops.withColumns(
         {
             "_share": F.col("top_n") / F.col("total_n"),
@@ -110,7 +90,7 @@ def mix_shifts(
     ).withColumn("_change", F.abs(F.col("_share") - F.col("_base_share")))
     shifted = F.col("_changed") | (F.col("_change") >= share_change)
     if use_js:
-        scores = js_shift(clicks, months, targets, min_referrers).select("curr", "month", "js_score")
+        scores = js_of_rows(rows, min_referrers).select("curr", "month", "js_score")
         compared = compared.join(scores, ["curr", "month"], "left")
         shifted = shifted | F.coalesce(F.col("js_score") >= js_threshold, F.lit(False))
     # The two description texts.

@@ -3,19 +3,20 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmark.functions.skew import salted_join
+from trailmark.functions import series as S
 from trailmark.operators.edges import monthly_series
 
 
 def referrer_distribution(clicks: DataFrame) -> DataFrame:
     """Share of each referrer in a page's traffic of a month.
 
-    Totals are aggregated and joined back in salted form: a window per
-    page-month would put all referrers of a hot page in one task.
+    Totals are aggregated and joined back: a window per page-month would put all
+    referrers of a hot page in one task, while a join of sorted sides is split
+    where adaptive execution measures skew.
     """
     counts = clicks.groupBy("curr", "prev", "month").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("curr", "month").agg(F.sum("n").alias("total_n"))
-    joined = salted_join(counts, totals, ["curr", "month"], ["prev"])
+    joined = counts.join(totals, ["curr", "month"])
     return joined.select(
         "curr", "prev", "month", "n", (F.col("n") / F.col("total_n")).alias("proportion"), "total_n"
     )
@@ -31,68 +32,47 @@ def pair_series(clicks: DataFrame, months: list[str]) -> DataFrame:
     return monthly_series(clicks, ["curr", "prev"], months)
 
 
-# Targets handled side by side in one row; longer lists are done in blocks.
-BLOCK = 24
-
-
-def target_blocks(months: list[str], targets: list[str]) -> list[list[int]]:
-    """Positions of the target months, in blocks."""
-    wanted = [i for i, m in enumerate(months) if m in targets]
-    return [wanted[i : i + BLOCK] for i in range(0, len(wanted), BLOCK)]
-
-
-def _running(i: int) -> str:
-    return " + ".join(f"coalesce(series[{k}], 0L)" for k in range(i)) or "0L"
-
-
-def with_page_totals(pairs: DataFrame, block: list[int]) -> DataFrame:
-    """Pairs beside the totals and largest counts of their page, for a block of targets.
+def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> DataFrame:
+    """One row per pair and target month: its count then (``n``, null if absent) and
+    its count pooled over all earlier months (``base_n``, 0 if absent).
 
-    Per target i: ``n_i`` and ``b_i`` (count then, and pooled before), ``tn_i``
-    and ``tb_i`` (the page's totals), ``mn_i`` and ``mb_i`` (its largest counts).
-    A pair stays one row whatever the number of targets; page sums are combined
-    map-side and joined back in salted form.
+    A pair's running sums are folded in one pass over its months; the plan is the
+    same for any number of months.
     """
-    wide = pairs.selectExpr(
-        "curr", "prev", *[f"series[{i}] AS n_{i}" for i in block], *[f"{_running(i)} AS b_{i}" for i in block]
+    wanted = ", ".join(str(i) for i, m in enumerate(months) if m in targets)
+    running = F.expr(
+        """aggregate(series, named_struct('sum', 0L, 'before', CAST(array() AS array<bigint>)),
+            (acc, n) -> named_struct('sum', acc.sum + coalesce(n, 0L), 'before', concat(acc.before, array(acc.sum)))
+        ).before"""
     )
-    measures = []
-    for i in block:
-        measures += [F.expr(f"sum(n_{i}) AS tn_{i}"), F.expr(f"max(n_{i}) AS mn_{i}")]
-        measures += [F.expr(f"sum(b_{i}) AS tb_{i}"), F.expr(f"max(b_{i}) AS mb_{i}")]
-    return salted_join(wide, wide.groupBy("curr").agg(*measures), ["curr"], ["prev"])
+    slots = f"transform(CAST(array({wanted}) AS array<int>), i -> named_struct('_pos', i, 'n', series[i], 'base_n', _before[i]))"
+    rows = pairs.withColumn("_before", running).select("curr", "prev", F.expr(f"inline({slots})"))
+    rows = rows.filter(F.col("n").isNotNull() | (F.col("base_n") > 0))
+    return rows.select("curr", "prev", S.month_at("_pos", months).alias("month"), "n", "base_n")
 
 
-def leading_pairs(pairs: DataFrame, months: list[str], block: list[int]) -> DataFrame:
-    """Rows (curr, month, prev) that hold their page's largest count then or before.
+def page_tops(rows: DataFrame) -> DataFrame:
+    """Each page-month's totals and largest counts, then and before, with the alphabetically first referrer that has them.
 
-    Only page-months with traffic both then and earlier are kept.
+    One aggregation, combined map-side; page-months without traffic on either side are left out.
     """
-    slots = ", ".join(
-        f"""named_struct('month', '{months[i]}', 'leads', coalesce(n_{i} = mn_{i}, false), 'led', b_{i} = mb_{i},
-            'total_n', tn_{i}, 'base_total', tb_{i}, 'top_n', mn_{i}, 'base_top_n', mb_{i})"""
-        for i in block
-    )
-    # few pairs lead anywhere, so the others go before rows are made per target
-    leaders = with_page_totals(pairs, block).filter(" OR ".join(f"n_{i} = mn_{i} OR b_{i} = mb_{i}" for i in block))
-    rows = leaders.select("curr", "prev", F.expr(f"inline(array({slots}))"))
-    return rows.filter("total_n > 0 AND base_total > 0 AND (leads OR led)")
 
+    def top(count, name):
+        return F.min(F.when(F.col(count) > 0, F.struct((-F.col(count)).alias("n"), "prev"))).alias(name)
 
-def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> DataFrame:
-    """One row per pair and target month: its count then (``n``, null if absent) and
-    its count pooled over all earlier months (``base_n``, 0 if absent).
-
-    The running sums share their terms, so a row costs one pass over its months.
-    """
-    slots = [
-        f"named_struct('month', '{m}', 'n', series[{i}], 'base_n', {_running(i)})"
-        for i, m in enumerate(months)
-        if m in targets
-    ]
-    rows = pairs.select("curr", "prev", F.expr(f"array({', '.join(slots)})").alias("_rows"))
-    rows = rows.select("curr", "prev", F.inline("_rows"))
-    return rows.filter(F.col("n").isNotNull() | (F.col("base_n") > 0))
+    tops = rows.groupBy("curr", "month").agg(
+        F.sum("n").alias("total_n"), F.sum("base_n").alias("base_total"), top("n", "_top"), top("base_n", "_base_top")
+    )
+    return tops.filter("total_n > 0 AND base_total > 0").select(
+        "curr",
+        "month",
+        "total_n",
+        "base_total",
+        (-F.col("_top.n")).alias("top_n"),
+        (-F.col("_base_top.n")).alias("base_top_n"),
+        F.col("_top.prev").alias("top_ref"),
+        F.col("_base_top.prev").alias("base_top_ref"),
+    )
 
 
 def aligned_distributions(rows: DataFrame) -> DataFrame:
@@ -100,7 +80,7 @@ def aligned_distributions(rows: DataFrame) -> DataFrame:
     totals = rows.groupBy("curr", "month").agg(
         F.sum("n").alias("total_n"), F.sum("base_n").alias("base_total")
     )
-    joined = salted_join(rows, totals, ["curr", "month"], ["prev"])
+    joined = rows.join(totals, ["curr", "month"])
     share = F.when(F.col("total_n") > 0, F.coalesce(F.col("n"), F.lit(0)) / F.col("total_n"))
     base = F.when(F.col("base_total") > 0, F.col("base_n") / F.col("base_total"))
     return joined.select(

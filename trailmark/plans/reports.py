@@ -31,7 +31,7 @@ def top_by_confidence(anomalies: DataFrame, k: int) -> DataFrame:
     return anomalies.orderBy(F.desc("confidence"), "anomaly_id").limit(k)
 
 
-def browse(anomalies: DataFrame, limit: int | None = 1000, **filters) -> DataFrame:
+def browse(anomalies: DataFrame, limit: int | None = None, **filters) -> DataFrame:
     """Filtered anomalies, most confident first."""
     found = matching(anomalies, **filters).orderBy(F.desc("confidence"), "anomaly_id")
     return found.limit(limit) if limit else found
@@ -40,10 +40,8 @@ def browse(anomalies: DataFrame, limit: int | None = 1000, **filters) -> DataFra
 def browse_two_tier(anomalies: DataFrame, limit: int | None = None, **filters) -> DataFrame:
     """Ratios above 1 first, by ratio then confidence; the rest by confidence.
 
-    Rows without a ratio drop out.  The limit defaults to 1000 for one month and
-    5000 over all months.
+    Rows without a ratio drop out.
     """
-    limit = (1000 if filters.get("month") else 5000) if limit is None else limit
     ratio = F.col("deviation_ratio")
     rows = matching(anomalies, **filters).filter(ratio.isNotNull())
     ordered = rows.orderBy(

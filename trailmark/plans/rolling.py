@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.functions.lineage import cut_lineage
 from trailmark.operators.clusters import navigation_edges
-from trailmark.operators.edges import edge_series
+from trailmark.operators.edges import edge_series, pairs_of
 from trailmark.operators.forecasts import forecast_metrics
 from trailmark.operators.mixshift import mix_shifts, target_months
 from trailmark.operators.spikes import traffic_spikes
@@ -58,17 +59,18 @@ def rolling_run(
     clusters: dict | None = None,
     forecasts: dict | None = None,
 ) -> DataFrame:
-    """All anomalies of all target months as one plan.
+    """All anomalies of all target months.
 
-    Each detector takes its options as a dict.  ``clusters=None`` leaves the
+    The clicks are read once, into a stored table of edge series; all
+    detectors and forecasts work on that.  Each detector takes its options as a dict.  ``clusters=None`` leaves the
     clustering detector out (fitting it runs Spark jobs), ``forecasts=None``
     leaves out the forecast columns' values.
     """
     targets = target_months(months, min_baseline_months)
-    series = edge_series(clicks, months)
+    series = cut_lineage(edge_series(clicks, months))
     parts = [
         traffic_spikes(series, months, targets, **(spikes or {})),
-        mix_shifts(clicks, months, targets, **(mix or {})),
+        mix_shifts(clicks, months, targets, **{"pairs": pairs_of(series, months), **(mix or {})}),
     ]
     if clusters is not None:
         parts.append(navigation_edges(series, months, targets, **clusters))

@@ -91,7 +91,7 @@ def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def clean_or_load(
     spark: SparkSession, path: str, files: Iterable[tuple[str, str]], min_transitions: int = 10
 ) -> DataFrame:
-    """The cleaned table: as stored if it is there, else read, cleaned and stored."""
-    if not path_exists(spark, path):
+    """The cleaned table: as stored if a write of it was finished, else read, cleaned and stored."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         write_clean(clean_clicks(read_months(spark, files), min_transitions), path)
     return read_clean(spark, path)

@@ -5,16 +5,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def write_replay(
-    df: DataFrame, path: str, slice_column: str, slices: list, files_per_slice: int = 1
-) -> None:
-    """Write event-time slices one after the other, oldest first.
+def write_replay(df: DataFrame, path: str, slice_column: str, files_per_slice: int = 1, newest_first: bool = False) -> None:
+    """Write event-time slices one after the other; every row is in one.
 
+    ``newest_first`` is for trying out late rows.
+
+    The slices are the distinct values of ``slice_column`` (days, weeks, ...), which may not be
+    null; ``df`` should be stored, since it is read once for each of them.
     File times then follow event time from slice to slice.  Rows are safe from
     the watermark if its delay covers one slice, or if a slice is one file (or
     all files of a slice are read in one trigger).
     """
-    for value in slices:
+    slices = sorted((r[0] for r in df.select(slice_column).distinct().collect()), key=lambda v: (v is None, v))
+    if slices and slices[-1] is None:
+        raise ValueError(f"rows without {slice_column} belong to no slice")
+    for value in reversed(slices) if newest_first else slices:
         part = df.filter(F.col(slice_column) == F.lit(value))
         part.repartition(files_per_slice).write.mode("append").parquet(path)
 
