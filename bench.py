@@ -30,6 +30,10 @@ HEADLINE = [
     "structural_scores",
     "top_ten_referrers",
     "anomaly_details",
+    "insights",
+    "pagerank",
+    "random_walks",
+    "stream_window_counts",
 ]
 
 
