@@ -31,15 +31,18 @@ def kind(dtype: str) -> str:
     return {"integer": "int", "int32": "int", "int64": "bigint", "hugeint": "hugeint"}.get(dtype, dtype)
 
 
-def rows_of(pdf: pd.DataFrame) -> list[tuple]:
+def rows_of(pdf: pd.DataFrame, whole: set[str]) -> list[tuple]:
+    """Rows as text; `whole` are the integer columns, which pandas turns to floats where they hold nulls."""
     names = sorted(pdf.columns)
 
-    def cell(v):
+    def cell(name, v):
         if v is None or (isinstance(v, float) and v != v) or v is pd.NA:
             return "NULL"
+        if name in whole:
+            return str(int(v))
         return repr(v + 0.0) if isinstance(v, float) else str(v)
 
-    return sorted(tuple(cell(v) for v in row) for row in pdf[names].astype(object).itertuples(index=False))
+    return sorted(tuple(map(cell, names, row)) for row in pdf[names].astype(object).itertuples(index=False))
 
 
 def compare(spark, folder: str, query, sql: str | None, con) -> str:
@@ -53,7 +56,8 @@ def compare(spark, folder: str, query, sql: str | None, con) -> str:
         return f"DIFFERS columns {sorted(df.columns)} {sorted(relation.columns)}"
     types = {n: kind(str(t)) for n, t in zip(relation.columns, relation.types)}
     odd = {n: (t, types[n]) for n, t in df.dtypes if kind(t) != types[n]}
-    a, b = rows_of(got), rows_of(want)
+    whole = {n for n, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
+    a, b = rows_of(got, whole), rows_of(want, whole)
     if a != b:
         only_a, only_b = sorted(set(a) - set(b))[:2], sorted(set(b) - set(a))[:2]
         return f"DIFFERS {len(a)} vs {len(b)} rows; {sorted(df.columns)}\n   spark {only_a}\n   sql   {only_b}"
