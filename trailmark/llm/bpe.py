@@ -20,9 +20,9 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Texts are encoded in groups of about so many characters, tokens decoded in groups of about so many rows.
-CHARACTERS, TOKENS = 3_000_000, 1_000_000
+CHARACTERS, TOKENS = 1_000_000, 250_000
 #: Pieces a worker remembers; at this number it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 
 # Letters, numbers and white space among the characters below U+02B0, for the quick form of the pattern.
 _LETTERS, _NUMBERS, _BLANKS = "A-Za-zªµºÀ-ÖØ-öø-ʯ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
@@ -37,21 +37,30 @@ WITH RECURSIVE step(round, pos, stop, id) AS (
   SELECT 0, pos, stop, id FROM start
   UNION ALL
   (WITH pairs AS (
-     SELECT a.pos, a.stop AS middle, b.stop, m.id, min(m.id) OVER (PARTITION BY a.pos >> 32) AS best
+     SELECT a.pos, a.stop AS middle, b.stop, m.id, a.pos >> 32 AS word
      FROM step a JOIN step b ON b.pos = a.stop JOIN merges m ON m.pair = a.id::BIGINT * 4294967296 + b.id),
-   hits AS (SELECT *, lag(middle, 1, -1) OVER (ORDER BY pos) <> pos AS head FROM pairs WHERE id = best),
-   runs AS (SELECT *, sum(head::INT) OVER (ORDER BY pos) AS run FROM hits),
+   best AS (SELECT word, min(id) AS id FROM pairs GROUP BY word),
+   hits AS (SELECT pos, middle, stop, p.id FROM pairs p JOIN best b ON b.word = p.word AND b.id = p.id),
+   overlapping AS (
+     SELECT * FROM hits WHERE pos IN (SELECT middle FROM hits) OR middle IN (SELECT pos FROM hits)),
+   runs AS (
+     SELECT *, sum(head::INT) OVER (ORDER BY pos) AS run
+     FROM (SELECT *, lag(middle, 1, -1) OVER (ORDER BY pos) <> pos AS head FROM overlapping)),
    -- of pairs that overlap, the first, third, ... are contracted: those that a walk from the left would take
-   chosen AS (SELECT pos, middle, stop, id
-              FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY pos) AS k FROM runs) WHERE k % 2 = 1),
-   live AS (SELECT DISTINCT pos >> 32 AS word FROM chosen)
+   chosen AS (
+     SELECT pos, middle, stop, id FROM hits
+     WHERE pos NOT IN (SELECT middle FROM hits) AND middle NOT IN (SELECT pos FROM hits)
+     UNION ALL
+     SELECT pos, middle, stop, id
+     FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY pos) AS k FROM runs) WHERE k % 2 = 1)
    SELECT (SELECT max(round) FROM step) + 1, s.pos, coalesce(c.stop, s.stop), coalesce(c.id, s.id)
-   FROM step s SEMI JOIN live l ON l.word = s.pos >> 32 LEFT JOIN chosen c ON c.pos = s.pos
+   FROM step s SEMI JOIN best l ON l.word = s.pos >> 32 LEFT JOIN chosen c ON c.pos = s.pos
    WHERE s.pos NOT IN (SELECT middle FROM chosen))
 )
-SELECT (pos >> 32)::INT AS word, list(id ORDER BY pos) AS ids
-FROM (SELECT *, max(round) OVER (PARTITION BY pos >> 32) AS last FROM step)
-WHERE round = last GROUP BY ALL ORDER BY word
+SELECT step.pos >> 32 AS word, id
+FROM step JOIN (SELECT pos >> 32 AS word, max(round) AS round FROM step GROUP BY 1) AS last
+  ON last.word = step.pos >> 32 AND last.round = step.round
+ORDER BY step.pos
 """
 
 _DECODE = """
@@ -66,14 +75,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, lines))}
 
 
-class Coder:
-    """The tables of one vocabulary in a DuckDB of the worker's own memory, and the pieces it knows."""
+class _Tables:
+    """A DuckDB in the worker's own memory."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, quick: bool):
+    def __init__(self):
         import duckdb
 
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+
+    def _table(self, name: str, **columns) -> None:
+        self.con.register("given", pa.table(columns))
+        self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        self.con.unregister("given")
+
+
+class Encoder(_Tables):
+    """The merges of one vocabulary, and the pieces the worker knows."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, quick: bool):
+        super().__init__()
         self.pattern, self.quick, self.known = regex.compile(pattern), quick, {}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         pairs = [
             (ranks[token[:i]] * 2**32 + ranks[token[i:]], rank)
             for token, rank in ranks.items()
@@ -81,16 +102,8 @@ class Coder:
             if token[:i] in ranks and token[i:] in ranks
         ]
         self._table("merges", pair=pa.array([p for p, _ in pairs], pa.int64()), id=pa.array([i for _, i in pairs], pa.int32()))
-        self._table(
-            "vocab", id=pa.array(ranks.values(), pa.int32()), hex=pa.array([token.hex() for token in ranks], pa.string())
-        )
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.whole = {token: np.int32(rank).tobytes() for token, rank in ranks.items()}
-
-    def _table(self, name: str, **columns) -> None:
-        self.con.register("given", pa.table(columns))
-        self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-        self.con.unregister("given")
+        self.whole = ranks
 
     def pieces(self, text: str) -> list[str]:
         if self.quick and not _BEYOND.search(text):
@@ -103,7 +116,7 @@ class Coder:
         for piece in pieces:
             raw = piece.encode("utf-8", "replace")
             if raw in self.whole:
-                self.known[piece] = self.whole[raw]
+                self.known[piece] = np.int32(self.whole[raw]).tobytes()
             else:
                 rest.append((piece, raw))
         size = 0
@@ -111,7 +124,7 @@ class Coder:
         for item in rest:
             group.append(item)
             size += len(item[1])
-            if size >= 400_000:
+            if size >= 300_000:
                 self._contract(group)
                 group, size = [], 0
         if group:
@@ -123,11 +136,12 @@ class Coder:
         pos = np.repeat((np.arange(len(group), dtype=np.int64) << 32) - first, lengths) + np.arange(lengths.sum())
         ids = self.single[np.frombuffer(b"".join(raw for _, raw in group), dtype=np.uint8)]
         self.con.register("start", pa.table({"pos": pos, "stop": pos + 1, "id": ids}))
-        found = self.con.sql(_CONTRACT).to_arrow_table().column("ids").combine_chunks()
+        found = self.con.sql(_CONTRACT).to_arrow_table()
         self.con.unregister("start")
-        values, ends = found.values.to_numpy(), found.offsets.to_numpy()
+        ids = found["id"].to_numpy()
+        ends = np.searchsorted(found["word"].to_numpy(), np.arange(len(group) + 1))
         for (piece, _), a, b in zip(group, ends, ends[1:], strict=False):
-            self.known[piece] = values[a:b].tobytes()
+            self.known[piece] = ids[a:b].tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as the bytes of int32."""
@@ -138,6 +152,16 @@ class Coder:
         known = self.known
         return [b"".join([known[piece] for piece in pieces]) for pieces in cut]
 
+
+class Decoder(_Tables):
+    """The bytes of one vocabulary's tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self._table(
+            "vocab", id=pa.array(ranks.values(), pa.int32()), hex=pa.array([token.hex() for token in ranks], pa.string())
+        )
+
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """The bytes of consecutive runs of ids."""
         out = [b""] * len(lengths)
@@ -152,16 +176,15 @@ class Coder:
         return out
 
 
-_CODERS: dict[tuple[int, str], Coder] = {}
+_OPEN: dict[tuple, _Tables] = {}
 
 
-def _coder(shared, pattern: str, quick: bool) -> Coder:
-    """One coder for each vocabulary and worker process."""
-    key = (shared.id, pattern) if hasattr(shared, "id") else (id(shared), pattern)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(shared.value, pattern, quick)
-    return _CODERS[key]
+def _once(key: tuple, make):
+    """One set of tables for each worker process and vocabulary."""
+    if key not in _OPEN:
+        _OPEN.clear()
+        _OPEN[key] = make()
+    return _OPEN[key]
 
 
 def _groups(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
@@ -185,12 +208,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     """
     import public_tokenizers
 
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    shared, key = docs.sparkSession.sparkContext.broadcast(read_ranks(path)), (path, pattern)
     quick = pattern == public_tokenizers.PATTERN
     kept = [c for c in docs.columns if c not in (text, ids)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared, pattern, quick)
+        coder = _once(key, lambda: Encoder(shared.value, pattern, quick))
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             sizes = pa.compute.coalesce(pa.compute.utf8_length(column), 0).to_pylist()
@@ -212,13 +235,11 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded
     A null array gives null, an empty one empty bytes; an id outside the
     vocabulary, or a null among the ids, is an error.  Other columns pass through.
     """
-    import public_tokenizers
-
     shared = rows.sparkSession.sparkContext.broadcast(read_ranks(path))
     kept = [c for c in rows.columns if c not in (ids, decoded)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared, public_tokenizers.PATTERN, True)
+        coder = _once((path,), lambda: Decoder(shared.value))
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             lengths = pa.compute.coalesce(pa.compute.list_value_length(column), 0).to_numpy()
