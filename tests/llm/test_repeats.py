@@ -95,9 +95,10 @@ def test_components_of_odd_documents(odd, none):
     assert jaccard.one_of_each(odd).columns == odd.columns and jaccard.one_of_each(none).count() == 0
 
 
-@pytest.mark.parametrize("least", [0.5, 0.75, 0.9])
-def test_chains_of_near_copies_and_a_common_passage(spark, least, monkeypatch):
+@pytest.mark.parametrize(("least", "gathered"), [(0.5, 8_000), (0.75, 8_000), (0.75, 10), (0.9, 0)])
+def test_chains_of_near_copies_and_a_common_passage(spark, least, gathered, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 6)  # so that long lists are cut
+    monkeypatch.setattr(jaccard, "GATHERED", gathered)
     rows, words = [], invented(80, 11).split()
     passage = invented(30, 12)
     for k in range(24):  # each differs a little more from the first
@@ -111,17 +112,15 @@ def test_chains_of_near_copies_and_a_common_passage(spark, least, monkeypatch):
 
 def test_divide_skip_finds_what_counting_finds():
     rng = np.random.default_rng(3)
-    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(200)]
-    index = {}
-    for k, x in enumerate(sets):
-        for s in x.tolist():
-            index.setdefault(s, []).append(k)
-    sizes = [len(x) for x in sets]
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(200)]
+    index, sizes = jaccard.Inverted(sets), np.array([len(x) for x in sets])
     for least in (0.4, 0.75):
-        for x in sets:
-            common = Counter(k for s in x.tolist() for k in index[s])
-            want = {k: n for k, n in common.items() if n >= least * (len(x) + sizes[k] - n) - 1e-9}
-            assert jaccard.divide_skip(x, index, sizes, least) == want
+        for own, x in enumerate(sets):
+            common = Counter({k: len(np.intersect1d(x, y)) for k, y in enumerate(sets)})
+            want = {k: n for k, n in common.items() if n and n >= least * (len(x) + sizes[k] - n) - 1e-9}
+            found = jaccard.divide_skip(index.shared(x), len(x), sizes, least)
+            # shingles that no other set holds are no lists, so a set finds itself only if it shares enough
+            assert {k: n for k, n in found.items() if k != own} == {k: n for k, n in want.items() if k != own}
 
 
 def test_hash_of_a_run_does_not_depend_on_its_place():

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 2**64)
 
-#: A bitmap has two to this power bits, 8 MB, whatever the data.
-BITS = 26
+#: A bitmap has two to this power bits, 16 MB, whatever the data.
+BITS = 27
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

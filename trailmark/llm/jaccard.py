@@ -3,13 +3,13 @@
 A text is the set of its word shingles.  Two sets link if their Jaccard similarity
 reaches `least`.  Equal sets are one class.  A class of n shingles must share one
 of its first n - ceil(least * n) + 1 shingles, in an order that all classes have in common,
-with any class it links with: shingles that many texts hold come last in that order,
-so that common passages bring few classes together.
+with any class it links with.  Shingles found to stand in several classes come last in that order,
+so that texts that merely have a passage in common seldom meet.
 
 1. Each class is compared in full with one other class of its lists, the one with which it shares
    most of these shingles and which comes before it; that makes large groups of copies one component at little cost.
-2. The lists that still hold several components are searched: classes meet per
-   list, in blocks of bounded size, with their whole sets.  Inside a block the classes
+2. The lists that still hold several components are searched: classes whose lists
+   overlap meet in blocks of bounded size, with their whole sets.  Inside a block the classes
    outside its largest component are looked up by DivideSkip: the short inverted lists are
    merged by a heap, candidates are then probed for in the long ones by binary search, and those reaching the
    required overlap are links.
@@ -27,16 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.hashing import Words, bitmap, long, mixed, no_id_last, perhaps
+from trailmark.llm.hashing import BITS, Words, bitmap, long, mixed, no_id_last, perhaps
 from trailmark.llm.shared import stored
 
 #: Texts are taken in groups of about so many characters.
 CHARACTERS = 3_000_000
-#: Classes of one list that meet in one block, about.
-BLOCK = 1_000
-#: One text in so many is looked at to learn which shingles are common, and how often these must hold one.
-#: This orders shingles and so sets the cost; any order gives the same links.
-LOOKED_AT, COMMON = 8, 12
+#: Classes that meet in one block, about, and how many classes of overlapping lists are searched together.
+BLOCK, GATHERED = 2_500, 10_000
+#: Rounds in which shingles of several classes are found and put last in the order.
+#: The order sets the cost only; any order gives the same links.
+ROUNDS = 2
 
 
 def _sets(batch: pa.RecordBatch, text: int, width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -75,23 +75,22 @@ def required(a: int, b: int, least: float) -> int:
     return ceil(round(least * (a + b) / (1 + least), 9))
 
 
-def divide_skip(query: np.ndarray, index: dict[int, list[int]], sizes: list[int], least: float) -> dict[int, int]:
-    """Positions of the sets that link with `query`, and their overlap.
+def divide_skip(lists: list[np.ndarray], n: int, sizes: np.ndarray, least: float) -> dict[int, int]:
+    """Positions of the sets that link with a query of n shingles, and their overlap.
 
-    `index` has for each shingle the ascending positions of the sets holding it, `sizes` the sets' sizes.
-    No partner needs less than `floor` common shingles, so the floor - 1 longest
-    lists can be left to binary search.
+    `lists` has, for each shingle of the query that other sets hold, the ascending positions of
+    these sets; `sizes` the sets' sizes.  No partner needs less than `floor` common
+    shingles, so the floor - 1 longest lists can be left to binary search.
     """
-    n = len(query)
     floor = ceil(round(least * n, 9))
-    lists = sorted((held for s in query.tolist() if (held := index.get(s))), key=len)
     if len(lists) < floor:
         return {}
-    long_lists = lists[len(lists) - (floor - 1) :] if floor > 1 else []
-    short = lists[: len(lists) - len(long_lists)]
+    lists = sorted(lists, key=len)
+    short = lists[: len(lists) - floor + 1]
+    long_lists = lists[len(short) :]
     found = {}
-    for position, same in groupby(heapq.merge(*short)):
-        size = sizes[position]
+    for position, same in groupby(heapq.merge(*[held.tolist() for held in short])):
+        size = int(sizes[position])
         if size < least * n - 1e-9 or n < least * size - 1e-9:
             continue
         overlap, wanted = sum(1 for _ in same), required(n, size, least)
@@ -105,6 +104,26 @@ def divide_skip(query: np.ndarray, index: dict[int, list[int]], sizes: list[int]
     return found
 
 
+class Inverted:
+    """For each shingle the ascending positions of the sets that hold it, in three arrays."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        self.holders = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])[order]
+        values = values[order]
+        self.starts = np.flatnonzero(np.diff(values, prepend=values[:1] - 1))
+        self.shingles = values[self.starts]
+        self.ends = np.append(self.starts[1:], len(values))
+
+    def shared(self, query: np.ndarray) -> list[np.ndarray]:
+        """The lists of an indexed set's shingles that some other set holds too."""
+        at = np.searchsorted(self.shingles, query)
+        first, after = self.starts[at], self.ends[at]
+        several = after - first > 1
+        return [self.holders[a:b] for a, b in zip(first[several].tolist(), after[several].tolist(), strict=True)]
+
+
 def _search_block(rows: list[tuple[int, int, np.ndarray]], least: float) -> list[tuple[int, int]]:
     """Links between components among (class, component, shingles); links that join nothing new are left out."""
     parent: dict[int, int] = {}
@@ -119,15 +138,12 @@ def _search_block(rows: list[tuple[int, int, np.ndarray]], least: float) -> list
     for _, component, _ in rows:
         members[component] = members.get(component, 0) + 1
     largest = max(members, key=lambda c: (members[c], c))
-    index: dict[int, list[int]] = {}
-    for position, (_, _, shingles) in enumerate(rows):
-        for s in shingles.tolist():
-            index.setdefault(s, []).append(position)
-    sizes, links = [len(x) for _, _, x in rows], []
+    index = Inverted([x for _, _, x in rows])
+    sizes, links = np.array([len(x) for _, _, x in rows]), []
     for cls, component, shingles in rows:
         if component == largest:
             continue  # a link between components has an end outside the largest one
-        for position in divide_skip(shingles, index, sizes, least):
+        for position in divide_skip(index.shared(shingles), len(shingles), sizes, least):
             other, there, _ = rows[position]
             if root(component) != root(there):
                 parent[root(component)] = root(there)
@@ -169,19 +185,6 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n long, cls long")
 
 
-def _common(docs: DataFrame, width: int) -> np.ndarray:
-    """A bitmap of the shingles that many of the texts looked at hold."""
-
-    def run(batches):
-        for batch in batches:
-            for _, sets in _sets(batch, 1, width):
-                yield pa.RecordBatch.from_arrays([pa.array(long(np.concatenate(sets)))], ["shingle"])
-
-    some = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(LOOKED_AT)) == 0)
-    counts = some.mapInArrow(run, "shingle long").groupBy("shingle").count()
-    return bitmap(stored(counts.filter(F.col("count") >= COMMON).select("shingle")), "shingle")
-
-
 def _lists(docs: DataFrame, width: int, least: float, common) -> DataFrame:
     """(shingle, cls): the first shingles of every set."""
 
@@ -196,6 +199,12 @@ def _lists(docs: DataFrame, width: int, least: float, common) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, cls long")
 
 
+def _in_several(docs: DataFrame, width: int, least: float, common) -> np.ndarray:
+    """A bitmap of the first shingles that stand in several classes."""
+    classes = _lists(docs, width, least, common).groupBy("shingle").agg(F.min("cls").alias("a"), F.max("cls").alias("b"))
+    return bitmap(stored(classes.filter("a < b").select("shingle")), "shingle")
+
+
 def _candidates(docs: DataFrame, width: int, least: float, common, shared) -> DataFrame:
     """(cls, n, shingles, heads) of the sets that perhaps have a first shingle in common with another class."""
 
@@ -246,25 +255,41 @@ def _first_links(classes: DataFrame, postings: DataFrame, least: float) -> DataF
 
 
 def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """(a, b): links between components, found in the lists that hold several."""
+    """(a, b): links between components, found in the lists that hold several.
+
+    Lists that overlap make a neighbourhood, in which each class is sent once; only
+    where neighbourhoods grow beyond GATHERED classes do classes meet list by list.
+    """
     labelled = postings.join(roots.withColumnRenamed("id", "cls"), "cls", "left").select(
         "shingle", "cls", F.coalesce("root", "cls").alias("component")
     )
     lists = labelled.groupBy("shingle").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
+        F.min("cls").alias("lead"),
         F.count("*").alias("members"),
         F.sum(F.xxhash64("cls").cast("decimal(38, 0)")).alias("who"),
     )
-    # lists of the same classes are one; a long list is cut into parts, every two of which meet
-    lists = lists.filter("low != high").groupBy("who", "members").agg(F.min("shingle").alias("shingle"))
-    lists = lists.select("shingle", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+    # lists of the same classes are one
+    lists = lists.filter("low != high").groupBy("who", "members", "lead").agg(F.min("shingle").alias("shingle"))
+    held = stored(labelled.join(lists, "shingle").select("shingle", "cls", "component", "lead", "members"))
+    around = connected(held.filter("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")))
+    sizes = around.groupBy("root").agg(F.count("*").alias("classes"))
+    placed = held.join(around.join(sizes, "root").withColumnRenamed("id", "cls"), "cls")
+    gathered = F.col("classes") <= GATHERED
+    groups = placed.select(
+        gathered.alias("gathered"),
+        F.when(gathered, F.col("root")).otherwise(F.col("shingle")).alias("place"),
+        F.ceil(F.when(gathered, F.col("classes")).otherwise(F.col("members")) / BLOCK).cast("int").alias("parts"),
+        "cls",
+        "component",
+    ).distinct()
+    # a large group is cut into parts, every two of which meet
     part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     dealt = (
-        labelled.join(stored(lists), "shingle")
-        .withColumn("part", part)
+        groups.withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("shingle", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "component")
+        .select("gathered", "place", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "component")
     )
 
     def search(table: pa.Table) -> pa.Table:
@@ -277,7 +302,7 @@ def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, le
         links = _search_block(rows, least) if rows else []
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    met = dealt.join(classes.select("cls", "shingles"), "cls").groupBy("shingle", "i", "j")
+    met = dealt.join(classes.select("cls", "shingles"), "cls").groupBy("gathered", "place", "i", "j")
     return met.applyInArrow(search, "a long, b long").distinct()
 
 
@@ -292,11 +317,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.75) -> Dat
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(no_id_last(F.col("doc_id")).alias("doc"), "text")
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     described = stored(_described(rows, width))
-    common = spark.sparkContext.broadcast(_common(rows, width))
-    shared = _lists(rows, width, least, common).groupBy("shingle").agg(F.min("cls").alias("a"), F.max("cls").alias("b"))
-    shared = spark.sparkContext.broadcast(bitmap(stored(shared.filter("a < b").select("shingle")), "shingle"))
+    common = np.zeros(2 ** (BITS - 6), dtype=np.uint64)
+    for _ in range(ROUNDS):
+        common = common | _in_several(rows, width, least, context.broadcast(common))
+    common = context.broadcast(common)
+    shared = context.broadcast(_in_several(rows, width, least, common))
     classes = stored(_candidates(rows, width, least, common, shared))
     postings = stored(classes.select(F.explode("heads").alias("shingle"), "cls", "n"))
     first = stored(_first_links(classes, postings, least))
