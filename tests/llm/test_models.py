@@ -18,6 +18,24 @@ def test_language_of_held_out_documents(spark):
     assert all(r.rejected for r in language.identify(far, model).collect())
 
 
+def test_rare_language_keeps_its_centroids_in_a_small_sample(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("text", "lang")
+    words = "и это русский текст о погоде городе реке доме книге дороге".split()
+    rare = [(" ".join(words[(k * j) % len(words)] for j in range(1, 9 + k % 5)), "ru") for k in range(20)]
+    repeated = [("ένα ελληνικό κείμενο", "el")] * 300 + [("άλλο κείμενο στα ελληνικά", "el")]
+    both = docs.unionAll(spark.createDataFrame(rare + repeated, "text string, lang string"))
+    model = language.fit(both, sample_rows=10)
+    assert set(model.languages) == {"de", "el", "en", "es", "fr", "ru"} and model.languages.count("ru") > 1
+    rows = language.identify(both, model).collect()
+    assert all(r.lang_pred == r.lang for r in rows if r.lang in ("ru", "el"))
+    assert sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
+
+
+def test_sample_level_of_languages():
+    assert language._level([5, 100, 1000], 2000) >= 1000
+    assert language._level([5, 100, 1000], 305) == 200 and language._level([50, 50], 10) == 5
+
+
 def test_language_of_odd_documents(odd, none):
     model = language.fit(odd)
     rows = {(r.doc_id, r.text): r for r in language.identify(odd, model).collect()}

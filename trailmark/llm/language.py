@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import drawn, stored
+from trailmark.llm.shared import stored
 
 #: Cells of the hashed n-gram vectors.
 DIMENSIONS = 1 << 13
 #: Texts turned into vectors at a time.
 ROWS = 256
+#: Different texts of a language in the sample of the centroids, if it has so many.
+LEAST = 64
 
 _LETTER = re.compile(r"[^\W\d_]")
 # ASCII letters stay, the bytes of other characters too, the rest becomes blank
@@ -105,16 +107,42 @@ def _dense(part) -> np.ndarray:
     return row
 
 
+def _different_texts(known: DataFrame) -> dict[str, int]:
+    """The number of different texts with letters of each language, over all rows; one number per language is collected."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.select(["lang", "hash"]).filter(pa.array([has_letter(t) for t in texts], pa.bool_()))
+
+    hashes = known.withColumn("hash", F.xxhash64("text")).mapInArrow(run, "lang string, hash long").distinct()
+    return {r["lang"]: r["n"] for r in hashes.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+
+
+def _level(counts, total: int) -> float:
+    """The size to which the largest counts must be cut for the sum to be `total`."""
+    left, waiting = float(total), sorted(counts)
+    for k, n in enumerate(waiting):
+        if n * (len(waiting) - k) >= left:
+            return left / (len(waiting) - k)
+        left -= n
+    return float(total)
+
+
 def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int = 20_000, slack: float = 0.25) -> Model | None:
     """Learn from the columns text and lang; rows without language or letters are left out.
 
     Document frequencies and the reach of the centroids are taken over all rows.
-    The centroids are fitted on about `sample_rows` rows, those whose text has a
-    small hash, copies counted once; this is the only sample.  Without any row there is no model.
+    The centroids are fitted on about `sample_rows` different texts, those with a
+    small hash; this is the only sample.  Every language has its own share of it: the
+    largest ones are cut to one size, at least LEAST texts, those below it are taken whole.
+    Without any row there is no model.
     `slack` is the share of the smallest cosine learned that is still accepted.
     """
+    spark = docs.sparkSession
     known = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    languages = [r.lang for r in known.select("lang").distinct().orderBy("lang").collect()]
+    texts_of = _different_texts(known)
+    languages = sorted(texts_of)
     place = {lang: k for k, lang in enumerate(languages)}
 
     def frequencies(batches):
@@ -127,8 +155,13 @@ def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int =
     if seen is None:
         return None
     idf = (np.log((1 + seen[-1]) / (1 + seen[:-1])) + 0.05).astype(np.float32)
-    share = sample_rows / max(seen[-1], 1)
-    sample = stored(known.filter(drawn(F.xxhash64("text"), share)).dropDuplicates())
+    most = max(_level(texts_of.values(), sample_rows), LEAST)
+    shares = spark.createDataFrame(
+        [(lang, int(min(1.0, most / n) * 2**40)) for lang, n in texts_of.items()], "lang string, _below long"
+    )
+    of_its_language = known.join(F.broadcast(shares), "lang")
+    hashed = F.pmod(F.xxhash64("text"), F.lit(2**40))
+    sample = stored(of_its_language.filter(hashed < F.col("_below")).select("text", "lang").dropDuplicates())
 
     # farthest texts would be odd ones: start from sums over random parts of each language
     def begin(batches):
