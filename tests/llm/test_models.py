@@ -18,6 +18,20 @@ def test_language_of_held_out_documents(spark):
     assert all(r.rejected for r in language.identify(far, model).collect())
 
 
+def test_a_mislabelled_text_does_not_switch_rejection_off(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    odd = ["и это русский текст о погоде", "これは日本語の文章です。", "ελληνικό κείμενο", "q7"]
+    wrong = [(10_000_000 + 10 * k + j, t, x) for k, x in enumerate(["de", "en", "es", "fr"]) for j, t in enumerate(odd)]
+    model = language.fit(docs.unionAll(spark.createDataFrame(wrong, docs.schema)))
+    assert min(model.reach) > 0.02
+    far = spark.createDataFrame([(1, "Книга лежит на столе"), (2, "東京は日本の首都です"), (3, "Καλημέρα σας"), (4, "ja ty")], "id int, text string")
+    assert all(r.rejected for r in language.identify(far, model).collect())
+    judged = language.identify(docs, model).collect()
+    assert sum(r.rejected for r in judged) <= 0.01 * len(judged)
+    # the fitted texts are judged as well: those that lie far from their own label's centroids go
+    assert language.accepted(spark.createDataFrame(wrong, docs.schema), model).count() == 0
+
+
 def test_rare_language_keeps_its_centroids_in_a_small_sample(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("text", "lang")
     words = "и это русский текст о погоде городе реке доме книге дороге".split()

@@ -4,7 +4,7 @@ The n-grams are runs of 1 to 3 bytes of the lower-cased text, everything that is
 no letter being one blank; they are counted in DIMENSIONS hashed cells over the
 whole text.  Each language has several centroids, found by spherical k-means.
 A text gets the language of the centroid with the largest cosine; it is
-rejected if it lies farther from that centroid than any text it was learned from, by some slack.
+rejected if it lies farther from that centroid than all but a few of its own texts, by some slack.
 """
 
 import re
@@ -129,7 +129,7 @@ def _level(counts, total: int) -> float:
     return float(total)
 
 
-def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int = 20_000, slack: float = 0.25) -> Model | None:
+def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int = 20_000, slack: float = 0.25, outside: float = 0.02) -> Model | None:
     """Learn from the columns text and lang; rows without language or letters are left out.
 
     Document frequencies and the reach of the centroids are taken over all rows.
@@ -137,7 +137,9 @@ def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int =
     small hash; this is the only sample.  Every language has its own share of it: the
     largest ones are cut to one size, at least LEAST texts, those below it are taken whole.
     Without any row there is no model.
-    `slack` is the share of the smallest cosine learned that is still accepted.
+    Without odd texts a centroid would accept what it has learned from; so that these do
+    not set its limit, the share `outside` of its texts, those farthest off, is passed over.
+    `slack` is the share of the smallest cosine left that is still accepted.
     """
     spark = docs.sparkSession
     known = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
@@ -176,9 +178,10 @@ def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int =
     for _ in range(rounds):
         sums = _sums(sample, _assign(place, idf, centroids, owners))
         centroids, owners = _centres(sums, clusters, centroids, owners)
-    reach = _reach(known, place, idf, centroids, owners)
-    accepted = np.array([slack * reach[k] for k in owners], dtype=np.float32)
-    return Model([languages[k] for k in owners], idf, centroids, accepted)
+    reach = _reach(known, place, idf, centroids, owners, outside)
+    used = np.flatnonzero(~np.isnan(reach))  # a centroid that lost all its texts in the last round is no use
+    accepted = (slack * reach[used]).astype(np.float32)
+    return Model([languages[owners[k]] for k in used], idf, centroids[used], accepted)
 
 
 def _centres(sums, clusters, centroids=None, owners=None):
@@ -210,28 +213,33 @@ def _assign(place, idf, centroids, owners):
     return run
 
 
-def _reach(known, place, idf, centroids, owners) -> dict[int, float]:
-    """For each language the smallest cosine between a text and the nearest of the language's centroids."""
+def _reach(known, place, idf, centroids, owners, outside: float) -> np.ndarray:
+    """For each centroid a low quantile of the cosines of its texts, those of its language to which it is the nearest.
+
+    Cosines are counted in DIMENSIONS bins over all rows.  The share `outside` of a
+    centroid's texts is passed over, at least one text if it has several.  A
+    centroid without texts has NaN.
+    """
     own = np.array(owners)
 
     def run(batches):
-        least: dict[int, float] = {}
         for texts, langs in _texts(batches, ["text", "lang"]):
             keep = [(t, place[x]) for t, x in zip(texts, langs, strict=True) if has_letter(t)]
             if not keep:
                 continue
             cosine = vectors_of([t for t, _ in keep], idf) @ centroids.T
-            of = np.array([k for _, k in keep])
-            cosine[of[:, None] != own[None, :]] = -2
-            for k, value in zip(of.tolist(), cosine.max(axis=1).tolist(), strict=True):
-                least[k] = min(least.get(k, 1.0), value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(least), pa.int32()), pa.array(list(least.values()), pa.float64())], ["key", "value"]
-        )
-
-    rows = known.mapInArrow(run, "key int, value double").groupBy("key").agg(F.min("value").alias("value")).collect()
-    found = {r.key: r.value for r in rows}
-    return {k: found.get(k, 0.0) for k in range(len(place))}
+            cosine[np.array([k for _, k in keep])[:, None] != own[None, :]] = -2
+            best, value = cosine.argmax(axis=1), cosine.max(axis=1)
+            bins = np.clip((value * DIMENSIONS).astype(int), 0, DIMENSIONS - 1)
+            for k in np.unique(best):
+                yield int(k), np.bincount(bins[best == k], minlength=DIMENSIONS)
+
+    reach = np.full(len(owners), np.nan)
+    for k, counts in _sums(known, run).items():
+        upto = np.cumsum(counts[:DIMENSIONS])
+        passed = min(np.ceil(outside * upto[-1]), upto[-1] - 1)
+        reach[k] = np.searchsorted(upto, passed, side="right") / DIMENSIONS
+    return reach
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
