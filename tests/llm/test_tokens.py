@@ -95,3 +95,13 @@ def test_quick_and_whole_encoding_agree(definition):
     texts = ["x" + chr(c) + "B " + chr(c) * 2 + "1'S" + chr(c) for c in range(0x400)] + ["İSTANBUL ΣΑΣ", "<|endoftext|>"]
     want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(texts)] == want
+
+
+def test_added_tokens_in_texts_are_those_of_the_library(definition):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(definition)
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|><|endoftext|>y", "A <|EndOfText|> b", "<| endoftext |>", "a <|endoftext b", "é <|endoftext|> 中"]
+    found = [np.frombuffer(x, dtype="<u4").tolist() for x in token_files.Encoder(definition).encode(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found[0] == [320, 49407, 321]

@@ -36,7 +36,8 @@ class Encoder:
 
     If it lower-cases, drops white space and cuts by the pattern below, texts of
     Latin letters are cut here and each distinct piece is encoded by the
-    library once; all other texts go to the library as they are.
+    library once; all other texts go to the library as they are, also those
+    that may hold an added token, such as <|endoftext|>.
     """
 
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -52,8 +53,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         described = json.loads(definition)
+        # an added token is found in the text as it is or in the normalized one, hence in any case here
+        added = [x["content"] for x in described.get("added_tokens") or [] if x["content"]]
+        self.added = re.compile("|".join(r"\s+".join(map(re.escape, re.split(r"\s+", x))) for x in added), re.I) if added else None
         steps = [x["type"] for x in (described.get("normalizer") or {}).get("normalizers", [])]
         cuts = [
             (x.get("pattern", {}).get("Regex"), x.get("behavior"), x.get("invert"))
@@ -67,9 +70,12 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _by_pieces(self, text: str) -> bool:
+        return self.quick and not _BEYOND.search(text) and not (self.added and self.added.search(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
-        cut = [self.PIECES.findall(t.lower()) if self.quick and not _BEYOND.search(t) else None for t in texts]
+        cut = [self.PIECES.findall(t.lower()) if self._by_pieces(t) else None for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list({p for pieces in cut if pieces for p in pieces}.difference(self.known))
