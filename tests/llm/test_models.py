@@ -156,6 +156,25 @@ def test_shards_with_one_large_group(spark, rounds):
     laid_out(shards.balanced_shards(spark.createDataFrame(rows, "doc_id long, link string"), "link", 6, rounds).collect(), 6, 500)
 
 
+def test_shards_with_a_hot_third_cut_no_more_than_needed(spark):
+    rows = [(k, "hot" if k % 3 == 0 else f"g{k // 12}" if k % 3 == 1 else None) for k in range(4800)]
+    got = shards.balanced_shards(spark.createDataFrame(rows, "doc_id long, link string").repartition(4), "link", 24).collect()
+    laid_out(got, 24, 4800)
+    held = {}
+    for r in got:
+        held.setdefault(r.link, set()).add(r.shard)
+    assert len(held.pop("hot")) == 8
+    held.pop(None)
+    assert sum(len(x) > 1 for x in held.values()) == 0
+
+
+def test_shards_full_of_groups(spark):
+    rows = [(k, f"g{k // 5}") for k in range(600)]
+    got = shards.balanced_shards(spark.createDataFrame(rows, "doc_id long, link string").repartition(4), "link", 4).collect()
+    laid_out(got, 4, 600)
+    assert len({(r.link, r.shard) for r in got}) == 120
+
+
 def test_shards_of_odd_documents(odd, none):
     got = shards.balanced_shards(odd.withColumn("shard", F.lit("own")), "text", 4)
     laid_out(got.collect(), 4, odd.count())

@@ -1,15 +1,15 @@
 """Balanced label propagation: documents move to their neighbours' shards under quotas.
 
-Documents are linked by sharing a key.  Each round joins every document with the
-shards of its neighbours, counted per key, and moves it to the shard where most
-of them are, as far as that shard's quota reaches.  At the end shards that hold
-too many rows give the surplus, unlinked documents first, to those that hold too few.
+Documents are linked by sharing a key.  Each round counts the shards of a key's
+documents and moves them all to the shard where most of them are, of those whose
+quota still has room for them; keys of very many documents are placed before.  At the
+end shards that hold too many rows give unlinked documents to those that hold too few.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import BUCKET_ROWS, fraction, running_total, small, stored
+from trailmark.llm.shared import SMALL_ROWS, fraction, running_total, small, stored
 
 
 def _quota(shard: Column, total: int, shards: int) -> Column:
@@ -42,61 +42,124 @@ def _free(taken: DataFrame, total: int, shards: int, spark) -> DataFrame:
     )
 
 
+#: Groups of more than this part of a shard are placed first, largest first; there are about GREAT times shards of them.
+GREAT = 8
+
+
+def _pieces(groups: list[tuple[str, int]], room: dict[int, int]) -> list[tuple[str, int, int, int]]:
+    """(group, from, to, shard): the rows from … to of each group go to the shard; `room` is reduced.
+
+    The largest group first, into the shard it fills best; if none has room for the
+    rest of a group, the shard with the most room takes what it can.
+    """
+    placed = []
+    for group, size in sorted(groups, key=lambda g: (-g[1], g[0])):
+        at = 0
+        while at < size:
+            fitting = [(free, s) for s, free in room.items() if free >= size - at]
+            shard = min(fitting)[1] if fitting else max(room, key=lambda s: (room[s], -s))
+            count = min(room[shard], size - at)
+            placed.append((group, at, at + count, shard))
+            room[shard] -= count
+            at += count
+    return placed
+
+
+def _proposed(waiting: DataFrame, counts: DataFrame, room: dict[int, int], own: bool, turn: int) -> DataFrame:
+    """Of each waiting group the shard with most of its rows among those with room for all of it.
+
+    Besides the shards of its rows (if `own`), one that a hash draws for this turn is considered.
+    """
+    spark = waiting.sparkSession
+    free = sorted(s for s, n in room.items() if n > 0)
+    table = F.broadcast(spark.createDataFrame([(k, s, room[s]) for k, s in enumerate(free)], "_k int, shard int, _room long"))
+    drawn = F.pmod(F.xxhash64("_g", F.lit(turn)), F.lit(len(free))).cast("int")
+    other = waiting.withColumn("_k", drawn).join(table.select("_k", "shard"), "_k").select("_g", "_size", "shard", F.lit(0).cast("long").alias("n"))
+    seen = other.unionByName(waiting.join(counts, "_g").select("_g", "_size", "shard", "n")) if own else other
+    best = F.max(F.struct(F.col("n"), (-F.col("shard")).alias("s"), F.col("_room")))
+    fits = seen.join(table.drop("_k"), "shard").filter(F.col("_room") >= F.col("_size"))
+    return fits.groupBy("_g", "_size").agg(best.alias("_best")).select(
+        "_g", "_size", (-F.col("_best.s")).cast("int").alias("_to"), F.col("_best._room").alias("_room")
+    )
+
+
 def balanced_shards(rows: DataFrame, links: str, shards: int, rounds: int = 3, seed: int = 23) -> DataFrame:
     """The rows with `shard` (int) and `slot` (long, from 0 without gaps in each shard).
 
     Rows that share a value of the column `links` are linked; null links nothing.  The
     numbers of rows of any two shards differ by one at most.  Few links are cut:
-    rows start at random, then for `rounds` rounds those outside their
-    neighbours' favourite shard move there while its quota lasts.  A group
-    larger than a shard is spread over several.
+    rows start at random; groups that take a large part of a shard, or several,
+    are placed first, on as few shards as hold them.  Each other group moves whole to the
+    shard where most of its rows are, of those that still have room for it; for `rounds`
+    rounds its own shards are proposed, then drawn ones, until no group moves.  The
+    last groups are cut only where no shard has room for one.
 
     Only counts by (link, shard) and by shard meet in one place; ranks are
     running totals over ranges of a hash, so no group is ordered by one task.
+    The driver gets one number per shard, about GREAT times `shards` large groups and at most
+    SMALL_ROWS of the last ones.
     Repeated rows count each; no rows give no rows.  Columns named shard and
     slot are replaced, names that begin with `_` are the operator's own.
     """
     spark = rows.sparkSession
     kept = [c for c in rows.columns if c not in ("shard", "slot")]
-    link = F.col(links)
     drawn = rows.select(*kept).withColumn("_tie", F.xxhash64(*kept))
     drawn = drawn.withColumn("_draw", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_tie").cast("string"))))
     begun = drawn.withColumn("shard", F.floor(fraction(F.col("_draw")) * shards).cast("int"))
-    state = stored(begun.withColumn("_size", F.lit(None).cast("long")))
+    state = stored(begun.withColumn("_g", F.md5(F.col(links).cast("string"))))
     total = state.count()
-    for _ in range(rounds):
-        state = state.drop("_size")
-        # the favourite shard of each link that joins several rows: its count there is the largest
-        counts = state.filter(link.isNotNull()).groupBy(links, "shard").agg(F.count("*").alias("n"))
-        favourite = (
-            counts.groupBy(links)
-            .agg(F.sum("n").alias("_size"), F.max(F.struct(F.col("n"), (-F.col("shard")).alias("s"))).alias("_most"))
-            .filter("_size > 1")
-            .select(F.col(links).alias("_link"), "_size", (-F.col("_most.s")).alias("_wish"))
-        )
-        joined = state.join(favourite, F.col(links) == F.col("_link"), "left").drop("_link")
-        # the rows of a shard in order: linked ones at home, then linked ones that wish to come, then the rest
-        wish = F.coalesce("_wish", "shard").cast("int")
-        linked = F.col("_size").isNotNull()
-        place = F.when(linked & (wish == F.col("shard")), 0).when(linked, 1).otherwise(2)
-        wished = stored(joined.withColumn("_to", wish).withColumn("_class_of", place))
-        ranked = _numbered(wished, "_to", F.col("_class_of"), F.col("_draw"), "_rank")
-        fits = F.col("_rank") < _quota(F.col("_to"), total, shards)
-        moved = F.when(fits & (F.col("_class_of") == 1), F.col("_to")).otherwise(F.col("shard"))
-        state = stored(ranked.withColumn("shard", moved.cast("int")).select(*kept, "_tie", "_draw", "shard", "_size"))
-    return _even(state, links, kept, total, shards, spark)
-
-
-def _even(state: DataFrame, links: str, kept: list[str], total: int, shards: int, spark) -> DataFrame:
+    counts = stored(state.filter("_g IS NOT NULL").groupBy("_g", "shard").agg(F.count("*").alias("n")))
+    waiting = stored(counts.groupBy("_g").agg(F.sum("n").alias("_size")).filter("_size > 1"))
+    room = {s: total // shards + (s < total % shards) for s in range(shards)}
+    great = F.col("_size") * GREAT > max(1, total // shards)
+    pieces = _pieces([(r["_g"], r["_size"]) for r in waiting.filter(great).collect()], room)
+    waiting = stored(waiting.filter(~great))
+    left, turn, settled = waiting.count(), 0, []
+    while left and (turn < rounds or left > SMALL_ROWS) and any(room.values()):
+        wished = stored(_proposed(waiting, counts, room, turn < rounds, turn))
+        many = wished.groupBy("_to").agg(F.count("*").alias("_rows"))
+        ranked = running_total(wished.join(F.broadcast(many), "_to"), ["_to"], "_g", [], "_size", F.col("_rows"), "_before")
+        moved = stored(ranked.filter(F.col("_before") + F.col("_size") <= F.col("_room")).select("_g", "_size", "_to"))
+        for r in moved.groupBy("_to").agg(F.sum("_size").alias("rows")).collect():
+            room[r["_to"]] -= r["rows"]
+        settled.append(moved.select("_g", "_to"))
+        waiting = stored(waiting.join(moved.select("_g"), "_g", "left_anti"))
+        before, left, turn = left, waiting.count(), turn + 1
+        if left == before and turn >= rounds:
+            break
+    if 0 < left <= SMALL_ROWS:
+        pieces += _pieces([(r["_g"], r["_size"]) for r in waiting.collect()], room)
+    return _even(_at_home(state, pieces, settled, kept), kept, total, shards, spark)
+
+
+def _at_home(state: DataFrame, pieces: list, settled: list[DataFrame], kept: list[str]) -> DataFrame:
+    """The rows in the shards of their groups; `_home` is whether they were given one."""
+    spark = state.sparkSession
+    table = spark.createDataFrame(pieces, "_g string, _from long, _upto long, _to int")
+    table = small(stored(table))
+    sizes = small(stored(table.groupBy("_g").agg(F.max("_upto").alias("_rows"))))
+    columns = [*kept, "_tie", "_draw", "shard", "_home"]
+    apart = state.join(sizes, "_g").withColumn("_one", F.lit(1).cast("long"))
+    numbered = running_total(apart, ["_g"], "_draw", ["_tie"], "_one", F.col("_rows"), "_number")
+    inside = (F.col("_number") >= F.col("_from")) & (F.col("_number") < F.col("_upto"))
+    cut = numbered.join(table, "_g").filter(inside).withColumn("shard", F.col("_to")).withColumn("_home", F.lit(True))
+    rest = state.join(sizes, "_g", "left_anti")
+    moves = spark.createDataFrame([], "_g string, _to int")
+    for part in settled:
+        moves = moves.unionByName(part)
+    home = rest.join(moves, "_g", "left").withColumn("_home", F.col("_to").isNotNull())
+    home = home.withColumn("shard", F.coalesce("_to", "shard"))
+    return stored(cut.select(*columns).unionByName(home.select(*columns)))
+
+
+def _even(state: DataFrame, kept: list[str], total: int, shards: int, spark) -> DataFrame:
     """Bring every shard to its quota: surplus rows fill free slots.
 
-    Rows of small groups rank first, group by group, then those of groups too
-    large for one task's range, then unlinked rows; surplus is the end of that order.
+    Rows that were given their group's shard rank first and are never more than
+    its quota; surplus is the end of the others.
     """
-    size = F.col("_size")
-    place = F.when(size <= BUCKET_ROWS, 0).when(size.isNotNull(), 1).otherwise(2)
-    digest = F.when(size <= BUCKET_ROWS, F.md5(F.col(links).cast("string"))).otherwise(F.col("_draw"))
-    ranked = stored(_numbered(state, "shard", place, digest, "slot"))
+    place = F.when(F.col("_home"), 0).otherwise(1)
+    ranked = stored(_numbered(state, "shard", place, F.col("_draw"), "slot"))
     held = _free(ranked.groupBy("shard").agg(F.count("*").alias("held")), total, shards, spark)
     # one row per shard: where its free slots begin among all free slots, and how its surplus rows are numbered among all
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
