@@ -42,6 +42,36 @@ SELECT doc_id,
 FROM rows
 """
 
+op13_search = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+sized AS (SELECT row, doc_id, len(terms) AS n FROM found WHERE len(terms) > 0),
+whole AS (SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS terms FROM sized),
+postings AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM found) GROUP BY row, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, whole GROUP BY term, documents),
+asked AS (
+  SELECT row AS query, item_id, unnest(list_distinct(terms)) AS term
+  FROM (SELECT row_number() OVER () AS row, item_id,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM benchmark)),
+scored AS (
+  SELECT query, item_id, doc_id, row,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // terms))))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sized USING (row), whole
+  GROUP BY query, item_id, doc_id, row),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql():
     return {name: value for name, value in globals().items() if name.startswith("op") and isinstance(value, str)}

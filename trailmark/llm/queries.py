@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, jaccard, language, mixing, neighbours, quality, shards, substrings, token_files
+from trailmark.llm import bpe, exact, jaccard, language, mixing, neighbours, quality, search, shards, substrings, token_files, whitening
 
 
 def op1_mix_sources(spark, folder):
@@ -100,5 +100,14 @@ def op10_language(spark, folder):
     )
 
 
+def op11_whitening(spark, folder):
+    return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_search(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return search.search(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def queries():
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
