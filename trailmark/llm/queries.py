@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import scratch_path
-from trailmark.llm import bpe, exact, jaccard, language, mixing, neighbours, quality, search, shards, substrings, token_files, whitening
+from trailmark.llm import bpe, exact, jaccard, language, markov, mixing, neighbours, quality, search, shards, substrings, token_files, whitening
 
 
 def op1_mix_sources(spark, folder):
@@ -104,6 +104,13 @@ def op11_whitening(spark, folder):
     return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op12_markov(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    rows = markov.score_documents(docs, ~held_out)
+    return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_search(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return search.search(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
