@@ -45,8 +45,8 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*(w if len(w) <= WIDE else b"\xff" + sha256(w).digest() for w in words), _END]
 
 
-def ending(word: bytes) -> int:
-    return crc32(word[-3:]) % ENDINGS
+def ending(word: bytes, endings: int) -> int:
+    return crc32(word[-3:]) % endings
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -76,7 +76,7 @@ class Vocabulary:
     """What tasks need of the word counts: the commonest words in order, their counts, and the base mass of each class.
 
     `words` is the whole table of counts, `tokens` and `types` are its sums.
-    Class 0 is the end, classes up to OWN the next words, the others endings.
+    Class 0 is the end, the classes below `own` are the next words, the others are endings.
     """
 
     words: DataFrame
@@ -85,31 +85,36 @@ class Vocabulary:
     common: list[bytes]
     counts: np.ndarray
     mass: np.ndarray
+    own: int
+
+    @property
+    def endings(self) -> int:
+        return len(self.mass) - self.own
 
     @property
     def total(self) -> float:
         return self.tokens + LEAST * (self.types + 1)
 
 
-def vocabulary(words: DataFrame) -> Vocabulary:
+def vocabulary(words: DataFrame, own: int = OWN, endings: int = ENDINGS, sent: int = SENT) -> Vocabulary:
+    """Of a table of word counts; `sent` words, `own` of them at most with a class of their own, go to the driver and all tasks."""
     known = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
     tokens, types = known.tokens or 0, known.types
-    top = words.filter(F.length("word") > 0).orderBy(F.col("n").desc(), "word").limit(SENT - 1).collect()
+    top = words.filter(F.length("word") > 0).orderBy(F.col("n").desc(), "word").limit(sent - 1).collect()
     end = words.filter(F.length("word") == 0).first()
     common = [_END, *[bytes(r.word) for r in top]]
     counts = np.array([end.n if end else 0, *[r.n for r in top]], dtype=np.int64)
-    mass = np.full(OWN + ENDINGS, LEAST)
-    own = counts[:OWN]
-    mass[: len(own)] += own
-    mass[len(own) : OWN] = 0
-    by_ending = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(ENDINGS))
+    mass = np.full(own + endings, LEAST)
+    mass[: len(counts[:own])] += counts[:own]
+    mass[len(counts) : own] = 0
+    by_ending = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(endings))
     for r in words.filter(F.length("word") > 0).groupBy(by_ending.cast("int").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
-        mass[OWN + r.e] += r.n + LEAST * r.types
-    for word, n in zip(common[1:OWN], counts[1:OWN].tolist(), strict=False):
-        mass[OWN + ending(word)] -= n + LEAST
+        mass[own + r.e] += r.n + LEAST * r.types
+    for word, n in zip(common[1:own], counts[1:own].tolist(), strict=True):
+        mass[own + ending(word, endings)] -= n + LEAST
     # sums of tenths: what is left without words is the room for one unknown word
-    mass[OWN:] = np.maximum(mass[OWN:], LEAST)
-    return Vocabulary(words, tokens, types, common, counts, mass / (tokens + LEAST * (types + 1)))
+    mass[own:] = np.maximum(mass[own:], LEAST)
+    return Vocabulary(words, tokens, types, common, counts, mass / (tokens + LEAST * (types + 1)), own)
 
 
 def encode(docs: DataFrame, known: Vocabulary, text: str = "text") -> DataFrame:
@@ -120,13 +125,13 @@ def encode(docs: DataFrame, known: Vocabulary, text: str = "text") -> DataFrame:
     """
     kept = [f for f in docs.schema if f.name != text]
     names = [*[f.name for f in kept], "row", "n_tokens", "n_sent", "base_sent", "classes", "rare", "times"]
-    shared = docs.sparkSession.sparkContext.broadcast((known.common, known.counts, known.total))
+    shared = docs.sparkSession.sparkContext.broadcast((known.common, known.counts, known.total, known.own, known.endings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, counts, total = shared.value
+        common, counts, total, own, endings = shared.value
         place = {w: k for k, w in enumerate(common)}
         logs = np.log10((counts + LEAST) / total)
-        classes = np.array([k if k < OWN else OWN + ending(w) for k, w in enumerate(common)], dtype=np.int32)
+        classes = np.array([k if k < own else own + ending(w, endings) for k, w in enumerate(common)], dtype=np.int32)
         for batch in batches:
             n_tokens, n_sent, base, rare, times, codes = [], [], [], [], [], []
             for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
@@ -137,7 +142,7 @@ def encode(docs: DataFrame, known: Vocabulary, text: str = "text") -> DataFrame:
                 seen: Counter = Counter()
                 if len(others):
                     odd = [words[k] for k in others.tolist()]
-                    code[others] = [OWN + ending(w) for w in odd]
+                    code[others] = [own + ending(w, endings) for w in odd]
                     seen.update(odd)
                     at = at[at >= 0]
                 n_tokens.append(len(words))
@@ -370,7 +375,9 @@ def judge(encoded: DataFrame, known: Vocabulary, states: States) -> DataFrame:
     )
 
 
-def score_documents(docs: DataFrame, learn: Column, states: int = 8, rounds: int = 5) -> DataFrame:
+def score_documents(
+    docs: DataFrame, learn: Column, states: int = 8, rounds: int = 5, own: int = OWN, endings: int = ENDINGS, sent: int = SENT
+) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from all rows for which `learn` is true (null is false).  base_score sums the logarithms to base 10 of
@@ -381,7 +388,7 @@ def score_documents(docs: DataFrame, learn: Column, states: int = 8, rounds: int
     empty table gives no rows.
     """
     rows = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
-    known = vocabulary(count_words(rows.filter("learn")))
+    known = vocabulary(count_words(rows.filter("learn")), own, endings, sent)
     encoded = encode(rows, known)
     trained = train(encoded.filter("learn"), known.mass, states, rounds)
     return judge(encoded, known, trained).select(
