@@ -45,6 +45,91 @@ def test_rare_language_keeps_its_centroids_in_a_small_sample(spark):
     assert sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
 
 
+def test_letters():
+    for text in ("²", "½", "Ⅷ", "①", "12 34 _", "١٢", "!?", "", None):
+        assert not language.has_letter(text)
+    for text in ("é", "12 中", "_я", "ª", "ʰ", "3½x"):
+        assert language.has_letter(text)
+
+
+def test_texts_of_signs_have_no_language(spark, odd):
+    model = language.fit(odd)
+    signs = spark.createDataFrame([(k, t) for k, t in enumerate(["²", "½ ½", "Ⅷ", "① ②", "12"])], "doc_id long, text string")
+    assert {(r.lang_pred, r.score, r.rejected) for r in language.identify(signs, model).collect()} == {("und", 0.0, True)}
+
+
+def brute_language(train, texts, clusters=4, rounds=4, outside=0.02, smallest=0.05, slack=0.25):
+    """The same model in plain numpy over all training texts at once: (language, cosine, rejected) of each text."""
+
+    def vector(text):
+        raw = b" ".join([b"", *bytes(b if b > 127 or chr(b).isalpha() else 32 for b in text.lower().encode()).split(), b""])
+        row = np.zeros(language.DIMENSIONS)
+        for width in (1, 2, 3):
+            for k in range(len(raw) - width + 1):
+                code = 0
+                for at in range(width):
+                    code = (code * 257 + raw[k + at] + at + 1) % 2**32 if at else (raw[k] + 1) % 2**32
+                row[(code * 2654435761 % 2**32) >> (32 - 13)] += 1
+        return row
+
+    def unit(rows):
+        return rows / np.maximum(np.linalg.norm(rows, axis=-1, keepdims=True), 1e-12)
+
+    train = [(t, x) for t, x in train if t and x and any(map(str.isalpha, t))]
+    counts = np.array([vector(t) for t, _ in train])
+    idf = np.log((1 + len(train)) / (1 + (counts > 0).sum(axis=0))) + 0.05
+    vectors, names = unit(np.log1p(counts) * idf), sorted({x for _, x in train})
+    different = sorted({(t, x): k for k, (t, x) in enumerate(train)}.values())
+    owners = [k // clusters for k in range(clusters * len(names))]
+    own = np.array([names.index(x) for _, x in train])
+    part = [clusters * own[k] + sum(train[k][0].encode()) % clusters for k in different]
+    held = {key: [k for k, p in zip(different, part, strict=True) if p == key] for key in sorted(set(part))}
+    centroids, owners = unit(np.array([vectors[v].sum(axis=0) for v in held.values()])), np.array([owners[k] for k in held])
+
+    def nearest(rows, of):
+        cosine = rows @ centroids.T
+        cosine[of[:, None] != owners[None, :]] = -2
+        return cosine.argmax(axis=1), cosine.max(axis=1)
+
+    def limit(values):
+        bins = np.sort(np.clip((values * language.DIMENSIONS).astype(int), 0, None))
+        return bins[min(int(np.ceil(outside * len(bins))), len(bins) - 1)] / language.DIMENSIONS
+
+    limits = np.full(len(names), -1.0)
+    for _ in range(rounds):
+        best, value = nearest(vectors[different], own[different])
+        near = value >= limits[own[different]]
+        limits = np.array([limit(value[own[different] == k]) for k in range(len(names))])
+        held = {k: vectors[different][near & (best == k)] for k in range(len(centroids)) if (near & (best == k)).any()}
+        centroids, owners = unit(np.array([v.sum(axis=0) for v in held.values()])), owners[list(held)]
+    sizes = np.array([len(v) for v in held.values()])
+    used = sizes >= smallest * np.bincount(owners, weights=sizes)[owners]
+    centroids, owners = centroids[used], owners[used]
+    _, value = nearest(vectors, own)
+    reach = [slack * limit(value[own == k]) for k in range(len(names))]
+    out = []
+    for text in texts:
+        if not any(map(str.isalpha, text or "")):
+            out.append(("und", 0.0, True))
+            continue
+        cosine = centroids @ unit(np.log1p(vector(text)) * idf)
+        k = owners[cosine.argmax()]
+        out.append((names[k], float(cosine.max()), bool(cosine.max() < reach[k])))
+    return out
+
+
+def test_language_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) < 1500").select("doc_id", "text", "lang")
+    rows = docs.orderBy("doc_id").collect()
+    odd = ["Книга лежит на столе", "²", "", None, "zzz qqq", "東京は日本の首都です"]
+    got = {r.doc_id: (r.lang_pred, r.score, r.rejected) for r in language.identify(
+        docs.select("doc_id", "text").unionAll(spark.createDataFrame([(-k, t) for k, t in enumerate(odd, 1)], "doc_id long, text string")), language.fit(docs)
+    ).collect()}
+    want = brute_language([(r.text, r.lang) for r in rows], [*[r.text for r in rows], *odd])
+    for key, (lang, score, rejected) in zip([*[r.doc_id for r in rows], *[-k for k in range(1, 7)]], want, strict=True):
+        assert got[key][0] == lang and got[key][2] == rejected and got[key][1] == pytest.approx(score, abs=1e-4), key
+
+
 def test_sample_level_of_languages():
     assert language._level([5, 100, 1000], 2000) >= 1000
     assert language._level([5, 100, 1000], 305) == 200 and language._level([50, 50], 10) == 5

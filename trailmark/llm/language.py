@@ -4,10 +4,9 @@ The n-grams are runs of 1 to 3 bytes of the lower-cased text, everything that is
 no letter being one blank; they are counted in DIMENSIONS hashed cells over the
 whole text.  Each language has several centroids, found by spherical k-means.
 A text gets the language of the centroid with the largest cosine; it is
-rejected if it lies farther from that centroid than all but a few of its own texts, by some slack.
+rejected if it lies farther from that centroid than all but a few texts of the language from theirs, by some slack.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,24 +20,24 @@ from trailmark.llm.shared import stored
 #: Cells of the hashed n-gram vectors.
 DIMENSIONS = 1 << 13
 #: Texts turned into vectors at a time.
-ROWS = 256
+ROWS = 128
 #: Different texts of a language in the sample of the centroids, if it has so many.
 LEAST = 64
 
-_LETTER = re.compile(r"[^\W\d_]")
 # ASCII letters stay, the bytes of other characters too, the rest becomes blank
 _BLANKED = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a character is a letter of Unicode; signs made of letters or digits, as ² ½ Ⅷ ①, are none."""
+    return any(map(str.isalpha, text or ""))
 
 
 def counts_of(text: str) -> np.ndarray:
     """How often each cell's n-grams stand in a text."""
     raw = b" ".join([b"", *text.lower().encode("utf-8", "replace").translate(_BLANKED).split(), b""])
     codes = np.frombuffer(raw, dtype=np.uint8).astype(np.uint32)
-    total = np.zeros(DIMENSIONS, dtype=np.int64)
+    total = np.zeros(DIMENSIONS, dtype=np.float32)
     grams = np.zeros(len(codes), dtype=np.uint32)
     for width in (1, 2, 3):
         if len(codes) < width:
@@ -51,11 +50,15 @@ def counts_of(text: str) -> np.ndarray:
 
 def vectors_of(texts: list[str], idf: np.ndarray | None = None) -> np.ndarray:
     """One row per text: counts, or with `idf` normalised TF-IDF values."""
-    rows = np.stack([counts_of(t) for t in texts]).astype(np.float32)
+    rows = np.empty((len(texts), DIMENSIONS), dtype=np.float32)
+    for row, text in zip(rows, texts, strict=True):
+        row[:] = counts_of(text)
     if idf is None:
         return rows
-    rows = np.log1p(rows) * idf
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    np.log1p(rows, out=rows)
+    rows *= idf
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    return rows
 
 
 @dataclass
@@ -129,17 +132,29 @@ def _level(counts, total: int) -> float:
     return float(total)
 
 
-def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int = 20_000, slack: float = 0.25, outside: float = 0.02) -> Model | None:
+def fit(
+    docs: DataFrame,
+    clusters: int = 4,
+    rounds: int = 4,
+    sample_rows: int = 20_000,
+    slack: float = 0.25,
+    outside: float = 0.02,
+    smallest: float = 0.05,
+) -> Model | None:
     """Learn from the columns text and lang; rows without language or letters are left out.
 
-    Document frequencies and the reach of the centroids are taken over all rows.
+    Document frequencies and the reach of the languages are taken over all rows.
     The centroids are fitted on about `sample_rows` different texts, those with a
     small hash; this is the only sample.  Every language has its own share of it: the
     largest ones are cut to one size, at least LEAST texts, those below it are taken whole.
     Without any row there is no model.
-    Without odd texts a centroid would accept what it has learned from; so that these do
-    not set its limit, the share `outside` of its texts, those farthest off, is passed over.
-    `slack` is the share of the smallest cosine left that is still accepted.
+
+    Odd and mislabelled texts must neither draw centroids to themselves nor set the limit.  So the share `outside` of a
+    language's texts, those farthest from all its centroids, does not move centroids after the first
+    round and is passed over when the language's reach is measured; a centroid that in the
+    end holds less than the share `smallest` of its language's texts is dropped.  The reach is the cosine
+    to the nearest centroid that the rest of the language's texts have at least, and `slack`
+    is the share of it that is still accepted.
     """
     spark = docs.sparkSession
     known = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
@@ -174,51 +189,32 @@ def fit(docs: DataFrame, clusters: int = 4, rounds: int = 4, sample_rows: int =
                 for (t, k), row in zip(keep, rows, strict=True):
                     yield k * clusters + sum(t.encode("utf-8", "replace")) % clusters, np.append(row, 1)
 
-    centroids, owners = _centres(_sums(sample, begin), clusters)
+    sums = _sums(sample, begin)
+    centroids, owners, _ = _centres(sums, [key // clusters for key in range(clusters * len(languages))])
+    limits = np.full(len(languages), -1.0)
     for _ in range(rounds):
-        sums = _sums(sample, _assign(place, idf, centroids, owners))
-        centroids, owners = _centres(sums, clusters, centroids, owners)
-    reach = _reach(known, place, idf, centroids, owners, outside)
-    used = np.flatnonzero(~np.isnan(reach))  # a centroid that lost all its texts in the last round is no use
-    accepted = (slack * reach[used]).astype(np.float32)
-    return Model([languages[owners[k]] for k in used], idf, centroids[used], accepted)
-
-
-def _centres(sums, clusters, centroids=None, owners=None):
-    """Unit vectors of sums by key; a centroid that lost all its texts is dropped, but never a language's last."""
-    rows, of = [], []
-    for key in sorted(sums):
-        norm = np.linalg.norm(sums[key][:-1])
-        if norm > 0:
-            rows.append(sums[key][:-1] / norm)
-            of.append(key // clusters if centroids is None else owners[key])
-    return np.array(rows, dtype=np.float32), of
-
-
-def _assign(place, idf, centroids, owners):
-    own = np.array(owners)
+        sums = _sums(sample, _assign(place, idf, centroids, owners, limits))
+        limits = _limits(sums, len(languages), outside)
+        centroids, owners, held = _centres(sums, owners)
+    of = np.bincount(owners, weights=held, minlength=len(languages))
+    used = np.flatnonzero(held >= smallest * of[owners])
+    centroids, owners = centroids[used], owners[used]
+    reach = _limits(_sums(known, _assign(place, idf, centroids, owners)), len(languages), outside)
+    return Model([languages[k] for k in owners], idf, centroids, (slack * reach[owners]).astype(np.float32))
 
-    def run(batches):
-        for texts, langs in _texts(batches, ["text", "lang"]):
-            keep = [(t, place[x]) for t, x in zip(texts, langs, strict=True) if has_letter(t)]
-            if not keep:
-                continue
-            rows = vectors_of([t for t, _ in keep], idf)
-            cosine = rows @ centroids.T
-            cosine[np.array([k for _, k in keep])[:, None] != own[None, :]] = -2
-            best = cosine.argmax(axis=1)
-            for k in np.unique(best):
-                yield int(k), np.append(rows[best == k].sum(axis=0), (best == k).sum())
 
-    return run
+def _centres(sums, owners) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors of the sums under keys 0, 1, …, their languages and numbers of texts; one that lost all its texts is dropped."""
+    keys = [key for key in sorted(sums) if key >= 0 and np.linalg.norm(sums[key][:-1]) > 0]
+    rows = np.array([sums[key][:-1] / np.linalg.norm(sums[key][:-1]) for key in keys], dtype=np.float32)
+    return rows, np.array([owners[key] for key in keys]), np.array([sums[key][-1] for key in keys])
 
 
-def _reach(known, place, idf, centroids, owners, outside: float) -> np.ndarray:
-    """For each centroid a low quantile of the cosines of its texts, those of its language to which it is the nearest.
+def _assign(place, idf, centroids, owners, limits=None):
+    """For each centroid the sum and number of its texts; for each language, under -1, -2, …, its texts' cosines in bins.
 
-    Cosines are counted in DIMENSIONS bins over all rows.  The share `outside` of a
-    centroid's texts is passed over, at least one text if it has several.  A
-    centroid without texts has NaN.
+    A text goes to the nearest centroid of its language.  Below the language's limit it is not summed up;
+    without limits nothing is.  Cosines are counted in DIMENSIONS bins.
     """
     own = np.array(owners)
 
@@ -227,19 +223,31 @@ def _reach(known, place, idf, centroids, owners, outside: float) -> np.ndarray:
             keep = [(t, place[x]) for t, x in zip(texts, langs, strict=True) if has_letter(t)]
             if not keep:
                 continue
-            cosine = vectors_of([t for t, _ in keep], idf) @ centroids.T
-            cosine[np.array([k for _, k in keep])[:, None] != own[None, :]] = -2
+            rows, of = vectors_of([t for t, _ in keep], idf), np.array([k for _, k in keep])
+            cosine = rows @ centroids.T
+            cosine[of[:, None] != own[None, :]] = -2
             best, value = cosine.argmax(axis=1), cosine.max(axis=1)
             bins = np.clip((value * DIMENSIONS).astype(int), 0, DIMENSIONS - 1)
-            for k in np.unique(best):
-                yield int(k), np.bincount(bins[best == k], minlength=DIMENSIONS)
-
-    reach = np.full(len(owners), np.nan)
-    for k, counts in _sums(known, run).items():
-        upto = np.cumsum(counts[:DIMENSIONS])
-        passed = min(np.ceil(outside * upto[-1]), upto[-1] - 1)
-        reach[k] = np.searchsorted(upto, passed, side="right") / DIMENSIONS
-    return reach
+            for k in np.unique(of):
+                yield -1 - int(k), np.bincount(bins[of == k], minlength=DIMENSIONS + 1)
+            if limits is not None:
+                near = value >= limits[of]
+                for k in np.unique(best[near]):
+                    mine = near & (best == k)
+                    yield int(k), np.append(rows[mine].sum(axis=0), mine.sum())
+
+    return run
+
+
+def _limits(sums, languages: int, outside: float) -> np.ndarray:
+    """For each language the cosine below which the share `outside` of its texts lies, at least one text if it has several."""
+    limits = np.full(languages, -1.0)
+    for k in range(languages):
+        if -1 - k in sums:
+            upto = np.cumsum(sums[-1 - k][:DIMENSIONS])
+            passed = min(np.ceil(outside * upto[-1]), upto[-1] - 1)
+            limits[k] = np.searchsorted(upto, passed, side="right") / DIMENSIONS
+    return limits
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
