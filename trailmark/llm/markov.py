@@ -192,6 +192,7 @@ class Spans:
 
     def __init__(self, codes: np.ndarray, ends: np.ndarray, states: States):
         self.codes, self.states, self.k = codes, states, len(states.start)
+        self.by_class = np.ascontiguousarray(states.emission.T)
         sizes = np.diff(ends)
         spans = -(-sizes // SPAN)
         self.first_of = np.cumsum(spans) - spans  # the number of each text's first span
@@ -214,7 +215,7 @@ class Spans:
     def emitted(self, group: np.ndarray, steps: int) -> np.ndarray:
         """(step, span, state): what is emitted at each step; past a span's end the values have no meaning."""
         at = np.minimum(self.begin[group][None, :] + np.arange(steps)[:, None], len(self.codes) - 1)
-        return self.states.emission.T[self.codes[at]]
+        return self.by_class[self.codes[at]]
 
     def _carry(self) -> None:
         """Vectors before and after each span of the texts that have several, by the products of their spans."""
@@ -225,9 +226,11 @@ class Spans:
         place = np.searchsorted(several, np.arange(len(self.text) + 1))
         for group, active in self.groups(several):
             emitted, held = self.emitted(group, len(active)), np.tile(np.eye(self.k), (len(group), 1, 1))
+            other = np.empty_like(held)
             for step, n in enumerate(active.tolist()):
-                moved = (held[:n].reshape(-1, self.k) @ self.states.moves).reshape(n, self.k, self.k)
-                held[:n] = moved * emitted[step, :n, None, :]
+                moved = other[:n]
+                np.matmul(held[:n].reshape(-1, self.k), self.states.moves, out=moved.reshape(-1, self.k))
+                np.multiply(moved, emitted[step, :n, None, :], out=held[:n])
                 if step % 8 == 7:
                     held[:n] /= held[:n].sum(axis=(1, 2), keepdims=True)
             products[place[group]] = held / held.sum(axis=(1, 2), keepdims=True)
@@ -245,12 +248,14 @@ class Spans:
     def _forward(self, group, active, emitted):
         reached = np.zeros_like(emitted)
         scale = np.ones(emitted.shape[:2])
-        now = self.before[group]
+        now, every = self.before[group], np.ones(self.k)
         for step, n in enumerate(active.tolist()):
-            now = (now[:n] @ self.states.moves) * emitted[step, :n]
-            scale[step, :n] = now.sum(axis=1)
-            now /= scale[step, :n, None]
-            reached[step, :n] = now
+            here = reached[step, :n]
+            np.matmul(now[:n], self.states.moves, out=here)
+            here *= emitted[step, :n]
+            np.matmul(here, every, out=scale[step, :n])
+            here /= scale[step, :n, None]
+            now = here
         return reached, scale
 
     def likelihoods(self) -> np.ndarray:
@@ -269,17 +274,20 @@ class Spans:
             reached, scale = self._forward(group, active, emitted)
             last = reached[self.length[group] - 1, np.arange(len(group))]
             share = 1 / (last * self.after[group]).sum(axis=1)
+            returning = np.ascontiguousarray(self.states.moves.T)
             back, backs, ahead = self.after[group].copy(), np.zeros_like(emitted), np.zeros_like(emitted)
             for step in range(len(active) - 1, -1, -1):
                 n = active[step]
                 backs[step, :n] = back[:n]
-                ahead[step, :n] = emitted[step, :n] * back[:n] / scale[step, :n, None]
-                back[:n] = ahead[step, :n] @ self.states.moves.T
+                here = ahead[step, :n]
+                np.multiply(emitted[step, :n], back[:n], out=here)
+                here /= scale[step, :n, None]
+                np.matmul(here, returning, out=back[:n])
             held = reached * backs * share[None, :, None]
             inside = np.arange(len(active))[:, None] < self.length[group][None, :]
             codes = self.codes[(self.begin[group][None, :] + np.arange(len(active))[:, None])[inside]]
-            for s in range(self.k):
-                emission[s] += np.bincount(codes, weights=held[..., s][inside], minlength=emission.shape[1])
+            for s, weights in enumerate(np.ascontiguousarray(held[inside].T)):
+                emission[s] += np.bincount(codes, weights=weights, minlength=emission.shape[1])
             opening = self.first_of[self.text[group]] == group
             start += (self.before[group] * back * share[:, None])[opening].sum(axis=0)
             earlier = np.concatenate([self.before[group][None], reached[:-1]]).reshape(-1, self.k)
