@@ -25,12 +25,14 @@ def brute_base(rows):
     ]
 
 
-def brute_states(rows, states, rounds, own, endings, prior=500.0):
+def brute_states(rows, states, rounds, own, endings, sent=markov.SENT, prior=500.0):
     """Baum-Welch token by token, and the log10 probability of each text."""
     counts = Counter(t for _, text, learn in rows if learn for t in tokens(text))
     total = sum(counts.values()) + 0.1 * (len(counts) + 1)
     common = [b"", *sorted((w for w in counts if w), key=lambda w: (-counts[w], w))]
-    of = {w: k for k, w in enumerate(common[:own])}
+    whole = [n for n in set(counts.values()) if sum(c >= n for w, c in counts.items() if w) < sent]
+    common_enough = [w for w in common if not w or (whole and counts[w] >= min(whole))]
+    of = {w: k for k, w in enumerate(common_enough[:own])}
     cls = lambda w: of.get(w, own + crc32(w[-3:]) % endings)
     mass = np.zeros(own + endings)
     mass[own:] += 0.1
@@ -148,7 +150,7 @@ def test_odd_documents_against_brute_force(spark, odd, odd_rows, none):
     assert np.allclose([g[4] for g in got], [b[4] for b in base], rtol=1e-9)
     assert all(g[5] < 0 for g in got)
     narrow = scored(markov.score_documents(cut, (F.col("doc_id") % 5 != 4), states=3, rounds=2, **SMALL))
-    agree(narrow, rows, states=3, rounds=2, own=50, endings=16)
+    agree(narrow, rows, states=3, rounds=2, **SMALL)
     assert markov.score_documents(none, F.lit(True)).count() == 0
     unlearned = scored(markov.score_documents(cut, F.lit(False), states=2, rounds=1))
     assert len(unlearned) == len(rows) and all(g[2:5] == (0, 0, pytest.approx(0.0)) for g in unlearned)

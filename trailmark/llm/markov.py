@@ -97,10 +97,23 @@ class Vocabulary:
 
 
 def vocabulary(words: DataFrame, own: int = OWN, endings: int = ENDINGS, sent: int = SENT) -> Vocabulary:
-    """Of a table of word counts; `sent` words, `own` of them at most with a class of their own, go to the driver and all tasks."""
+    """Of a table of word counts; `sent` words at most, `own` of them with a class of their own, go to the driver and all tasks.
+
+    They are all words of the largest counts: a histogram of counts tells from which count on they are few enough.
+    """
     known = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
     tokens, types = known.tokens or 0, known.types
-    top = words.filter(F.length("word") > 0).orderBy(F.col("n").desc(), "word").limit(sent - 1).collect()
+    rest = words.filter(F.length("word") > 0)
+    # counts are told apart by their twelve leading bits, so that the histogram stays small
+    low = F.greatest(F.floor(F.log2("n")).cast("int") - 11, F.lit(0))
+    edge = F.expr("n") - F.pmod(F.col("n"), F.pow(F.lit(2.0), low).cast("long"))
+    found, held = None, 0
+    for r in sorted(rest.groupBy(edge.alias("edge")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r.edge):
+        held += r.words
+        if held >= sent:
+            break
+        found = r.edge
+    top = sorted(rest.filter(F.col("n") >= found).collect() if found else [], key=lambda r: (-r.n, r.word))
     end = words.filter(F.length("word") == 0).first()
     common = [_END, *[bytes(r.word) for r in top]]
     counts = np.array([end.n if end else 0, *[r.n for r in top]], dtype=np.int64)
@@ -108,7 +121,7 @@ def vocabulary(words: DataFrame, own: int = OWN, endings: int = ENDINGS, sent: i
     mass[: len(counts[:own])] += counts[:own]
     mass[len(counts) : own] = 0
     by_ending = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(endings))
-    for r in words.filter(F.length("word") > 0).groupBy(by_ending.cast("int").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
+    for r in rest.groupBy(by_ending.cast("int").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
         mass[own + r.e] += r.n + LEAST * r.types
     for word, n in zip(common[1:own], counts[1:own].tolist(), strict=True):
         mass[own + ending(word, endings)] -= n + LEAST
