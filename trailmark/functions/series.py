@@ -14,8 +14,8 @@ def present(series: str) -> Column:
 
 
 def lower_median(values: str) -> Column:
-    """The smallest value that at least half of the values do not exceed."""
-    return F.expr(f"try_element_at(array_sort({values}), CAST(ceil(size({values}) / 2) AS INT))")
+    """The smallest value that at least half of the values do not exceed; null for no values."""
+    return F.expr(f"get(sort_array({values}), CAST(ceil(size({values}) / 2) AS INT) - 1)")
 
 
 def mean(values: str) -> Column:
@@ -61,11 +61,105 @@ def number_array(values: list[float]) -> Column:
 
 
 def named_points(months: list[str]) -> Column:
-    """``series`` as an ordered list of (month, n), absent months left out."""
+    """``series`` as an ordered list of (month, n), absent months left out.
+
+    The lambda walks over ``series`` itself: an array indexed from outside of it would be
+    built anew for every month where its expression is part of the same plan.
+    """
     names = ", ".join(f"'{m}'" for m in months)
     return F.expr(
-        f"filter(transform(array({names}), (m, i) -> named_struct('month', m, 'n', series[i])), p -> p.n IS NOT NULL)"
+        f"filter(transform(series, (n, i) -> named_struct('month', get(array({names}), i), 'n', n)), p -> p.n IS NOT NULL)"
+    )
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _ordered_stats(ordered: Column, moments: Column, mad: str) -> Column:
+    """(months, median, mean, std, mad) of ascending values; ``moments`` is their (mean, squares around it)."""
+    size = F.size(ordered)
+    rank = F.ceil(size / 2).cast("int")
+    fold = lambda values: F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+
+    def with_median(median):
+        if mad == "median_abs":
+            off = F.sort_array(F.transform(ordered, lambda x: F.abs(x - median)))
+            deviation = F.get(off, rank - 1)
+        else:
+            # values up to the median lie below it, the others above
+            below, whole = fold(F.slice(ordered, 1, rank)), moments["mean"] * size
+            deviation = (median * (2 * rank - size) + whole - 2 * below) / F.nullif(size, F.lit(0))
+        return F.struct(
+            size.alias("months"),
+            median.alias("median"),
+            moments["mean"].alias("mean"),
+            F.when(size > 1, F.sqrt(moments["squares"] / (size - 1))).alias("std"),
+            deviation.alias("mad"),
+        )
+
+    return _let(F.get(ordered, rank - 1), with_median)
+
+
+def _add(moments: Column, x: Column, k: Column) -> Column:
+    """The moments with one more value, the k-th."""
+    off = x - moments["mean"]
+    mean = moments["mean"] + off / k
+    return F.struct(mean.alias("mean"), (moments["squares"] + off * (x - mean)).alias("squares"))
+
+
+def rolling_stats(series: Column, history: str | int, mad: str = "mean_abs", kind: str = "bigint") -> Column:
+    """For each present month of ``series``: (pos, n, stats), stats over the present months before it.
+
+    One fold over the months: it keeps the values before a month in ascending order with their
+    mean and squares, takes the statistics from them, then puts the month's own value in
+    its place.  ``history`` is ``"prior"`` (all months before) or the number of months that are
+    looked back.  ``stats`` holds months (0 without a history), median, mean, std and mad;
+    ``kind`` is the type of the counts.
+    """
+    if mad not in ("mean_abs", "median_abs"):
+        raise ValueError(f"unknown mad: {mad}")
+    points = F.filter(
+        F.transform(series, lambda x, i: F.struct(i.alias("pos"), x.alias("n"), x.cast("double").alias("value"))),
+        lambda p: p["n"].isNotNull(),
     )
+    none = F.struct(F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+    point = lambda p, stats: F.array(F.struct(p["pos"].alias("pos"), p["n"].alias("n"), stats.alias("stats")))
+    moment_of = lambda values: F.aggregate(
+        values,
+        F.struct(none.alias("m"), F.lit(0).alias("k")),
+        lambda acc, x: F.struct(_add(acc["m"], x, acc["k"] + 1).alias("m"), (acc["k"] + 1).alias("k")),
+    )["m"]
+    empty = F.array().cast("array<double>")
+    stats = "struct<months: int, median: double, mean: double, std: double, mad: double>"
+    out = F.array().cast(f"array<struct<pos: int, n: {kind}, stats: {stats}>>").alias("out")
+
+    if history == "prior":
+
+        def step(acc, p):
+            return F.struct(
+                F.sort_array(F.array_append(acc["ordered"], p["value"])).alias("ordered"),
+                _add(acc["moments"], p["value"], F.size(acc["ordered"]) + 1).alias("moments"),
+                F.concat(acc["out"], point(p, _ordered_stats(acc["ordered"], acc["moments"], mad))).alias("out"),
+            )
+
+        start = [empty.alias("ordered"), none.alias("moments")]
+    else:
+        k = int(history)
+
+        def step(acc, p):
+            def with_window(window):
+                ordered = F.sort_array(F.transform(window, lambda w: w["value"]))
+                stats = _let(ordered, lambda o: _let(moment_of(o), lambda m: _ordered_stats(o, m, mad)))
+                kept = F.array_append(window, F.struct(p["pos"].alias("pos"), p["value"].alias("value")))
+                return F.struct(kept.alias("window"), F.concat(acc["out"], point(p, stats)).alias("out"))
+
+            return _let(F.filter(acc["window"], lambda w: w["pos"] >= p["pos"] - k), with_window)
+
+        start = [F.array().cast("array<struct<pos: int, value: double>>").alias("window")]
+
+    return F.aggregate(points, F.struct(*start, out), step, lambda acc: acc["out"])
 
 
 def month_at(position: str, months: list[str]) -> Column:

@@ -30,7 +30,7 @@ def series_points(months: list[str]) -> Column:
     days = ", ".join(f"named_struct('x', {_day(m)}D, 'next', {_day(m, 1)}D)" for m in months)
     return F.expr(
         f"""transform(
-            filter(transform(array({days}), (d, i) -> named_struct('d', d, 'n', series[i])), p -> p.n IS NOT NULL),
+            filter(transform(series, (n, i) -> named_struct('d', get(array({days}), i), 'n', n)), p -> p.n IS NOT NULL),
             p -> named_struct('x', p.d.x, 'y', greatest(CAST(p.n AS DOUBLE), {FLOOR}D), 'next', p.d.next))"""
     )
 

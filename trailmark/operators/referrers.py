@@ -39,14 +39,14 @@ def pair_targets(pairs: DataFrame, months: list[str], targets: list[str]) -> Dat
     A pair's running sums are folded in one pass over its months; the plan is the
     same for any number of months.
     """
-    wanted = ", ".join(str(i) for i, m in enumerate(months) if m in targets)
-    running = F.expr(
-        """aggregate(series, named_struct('sum', 0L, 'before', CAST(array() AS array<bigint>)),
-            (acc, n) -> named_struct('sum', acc.sum + coalesce(n, 0L), 'before', concat(acc.before, array(acc.sum)))
-        ).before"""
+    wanted = [i for i, m in enumerate(months) if m in targets]
+    slots = F.expr(
+        """aggregate(series, named_struct('sum', 0L, 'pos', 0, 'out', CAST(array() AS array<struct<_pos: int, n: bigint, base_n: bigint>>)),
+            (acc, n) -> named_struct('sum', acc.sum + coalesce(n, 0L), 'pos', acc.pos + 1,
+                                     'out', concat(acc.out, array(named_struct('_pos', acc.pos, 'n', n, 'base_n', acc.sum))))
+        ).out"""
     )
-    slots = f"transform(CAST(array({wanted}) AS array<int>), i -> named_struct('_pos', i, 'n', series[i], 'base_n', _before[i]))"
-    rows = pairs.withColumn("_before", running).select("curr", "prev", F.expr(f"inline({slots})"))
+    rows = pairs.select("curr", "prev", F.inline(slots)).filter(F.col("_pos").isin(wanted))
     rows = rows.filter(F.col("n").isNotNull() | (F.col("base_n") > 0))
     return rows.select("curr", "prev", S.month_at("_pos", months).alias("month"), "n", "base_n")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from trailmark.functions import series as S
 from trailmark.functions.scores import guarded_ratio, robust_z, spike_confidence
 from trailmark.functions.text import fixed
-from trailmark.operators.edges import with_stats
+from trailmark.operators.edges import BASELINE_COLUMNS, with_stats
 from trailmark.schema import EDGE, anomaly_id, as_anomalies
 
 
@@ -70,14 +70,6 @@ def _as_spikes(scored: DataFrame, ratio_threshold: float) -> DataFrame:
     )
 
 
-def _history(history: str | int) -> Column:
-    """The months before position ``_pos``: all of them or the last few."""
-    if history == "prior":
-        return F.expr("slice(series, 1, _pos)")
-    k = int(history)
-    return F.expr(f"slice(series, greatest(_pos - {k}, 0) + 1, least(_pos, {k}))")
-
-
 def traffic_spikes(
     series: DataFrame,
     months: list[str],
@@ -96,13 +88,26 @@ def traffic_spikes(
     with the series row, so no join and no shuffle is added.
     """
     wanted = [i for i, m in enumerate(months) if (i >= min_baseline_months if targets is None else m in targets)]
-    source = with_stats(series, mad=mad) if history == "all" else series
-    keep = [c for c in source.columns if c != "series" or history != "all"]
-    exploded = source.select(*keep, F.posexplode("series").alias("_pos", "n"))
-    rows = exploded.filter(F.col("n").isNotNull() & F.col("_pos").isin(wanted))
-    if history != "all":
-        rows = rows.withColumn("_history", _history(history))
-        rows = with_stats(rows, "_history", mad).filter(F.col("history_months") > 0)
+    if history == "all":
+        keep = [c for c in series.columns if c != "series"]
+        source = with_stats(series, mad=mad)
+        rows = source.select(*keep, *BASELINE_COLUMNS, F.posexplode("series").alias("_pos", "n"))
+        rows = rows.filter(F.col("n").isNotNull() & F.col("_pos").isin(wanted))
+    else:
+        # the statistics are part of the exploded array: no filter can pull them apart
+        kind = series.schema["series"].dataType.elementType.simpleString()
+        found = S.rolling_stats(F.col("series"), history, mad, kind)
+        found = F.filter(found, lambda p: p["pos"].isin(wanted) & (p["stats"]["months"] > 0))
+        keep = [c for c in series.columns if c != "series"]
+        rows = series.select(*keep, F.inline(found).alias("_pos", "n", "_stats")).select(
+            *keep,
+            "_pos",
+            "n",
+            F.col("_stats.median").alias("baseline_median"),
+            F.col("_stats.mean").alias("baseline_mean"),
+            F.coalesce("_stats.std", F.lit(0.01)).alias("baseline_std"),
+            F.col("_stats.mad").alias("baseline_mad"),
+        )
     rows = rows.withColumn("month", S.month_at("_pos", months))
     return _as_spikes(score_traffic(rows, ratio_threshold=ratio_threshold, **scoring), ratio_threshold)
 
