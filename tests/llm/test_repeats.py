@@ -95,10 +95,9 @@ def test_components_of_odd_documents(odd, none):
     assert jaccard.one_of_each(odd).columns == odd.columns and jaccard.one_of_each(none).count() == 0
 
 
-@pytest.mark.parametrize(("least", "gathered"), [(0.5, 8_000), (0.75, 8_000), (0.75, 10), (0.9, 0)])
-def test_chains_of_near_copies_and_a_common_passage(spark, least, gathered, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 6)  # so that long lists are cut
-    monkeypatch.setattr(jaccard, "GATHERED", gathered)
+@pytest.mark.parametrize(("least", "block"), [(0.5, 400), (0.75, 1_000_000), (0.75, 200), (0.9, 400)])
+def test_chains_of_near_copies_and_a_common_passage(spark, least, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", block)  # so that neighbourhoods are cut
     rows, words = [], invented(80, 11).split()
     passage = invented(30, 12)
     for k in range(24):  # each differs a little more from the first
@@ -110,6 +109,30 @@ def test_chains_of_near_copies_and_a_common_passage(spark, least, gathered, monk
     assert components(docs, least) == brute_components(rows, least)
 
 
+def test_first_copies_of_rows_that_repeat_ids(spark):
+    words = invented(60, 21).split()
+    near = [*words[:30], "changed", *words[31:]]
+    texts = [" ".join(words), " ".join(near), "", None, "other text with nothing in common"]
+    rows = [(i, t, s, 1) for i, s in ((5, "a"), (None, "b"), (5, "c"), (2, "d")) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tie int").repartition(3)
+    kept = jaccard.one_of_each(docs).collect()
+    with_words = [r for r in kept if r.text]
+    assert len(with_words) == 2 and {r.doc_id for r in with_words} == {2}
+    assert {r.text for r in with_words} - set(texts[:2]) == {texts[4]}
+    assert sum(not r.text for r in kept) == 8
+
+
+def test_large_neighbourhood_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 5_000)
+    rows, words = [], invented(3_000, 31).split()
+    for k in range(30):  # three families that share passages, some members too far apart
+        part = [*words[: 2_000], *invented(300 + 150 * (k % 5), 60 + k % 3).split()]
+        part[k * 50 : k * 50 + 10] = [f"x{k}"] * 10
+        rows.append((k, " ".join(part)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert components(docs) == brute_components(rows)
+
+
 def test_divide_skip_finds_what_counting_finds():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(200)]

@@ -3,17 +3,20 @@
 A text is the set of its word shingles.  Two sets link if their Jaccard similarity
 reaches `least`.  Equal sets are one class.  A class of n shingles must share one
 of its first n - ceil(least * n) + 1 shingles, in an order that all classes have in common,
-with any class it links with.  Shingles found to stand in several classes come last in that order,
-so that texts that merely have a passage in common seldom meet.
+with any class it links with; linked classes of about one size must share many of them.
 
-1. Each class is compared in full with one other class of its lists, the one with which it shares
+1. Classes none of whose first shingles stands in another class are alone.  Of the others, shingles are
+   counted, and put in the order of their count: what only one class holds, then what few hold, then passages
+   that many have in common.  Most classes fall out here, since their own shingles come first.
+2. Each class is compared in full with one other class of its lists, the one with which it shares
    most of these shingles and which comes before it; that makes large groups of copies one component at little cost.
-2. The lists that still hold several components are searched: classes whose lists
-   overlap meet in blocks of bounded size, with their whole sets.  Inside a block the classes
-   outside its largest component are looked up by DivideSkip: the short inverted lists are
+3. The lists that still hold several components are searched, as far as their classes have enough first shingles in
+   common with classes of their size.  Classes whose lists overlap are a neighbourhood, cut into parts of bounded size
+   of which every two meet, with their whole sets.  There the classes
+   outside the largest component are looked up by DivideSkip: the short inverted lists are
    merged by a heap, candidates are then probed for in the long ones by binary search, and those reaching the
    required overlap are links.
-3. Components of all links, over classes, give every document its component.
+4. Components of all links, over classes, give every document its component.
 """
 
 import heapq
@@ -27,16 +30,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.functions.skew import salted_join
 from trailmark.llm.hashing import BITS, Words, bitmap, long, mixed, no_id_last, perhaps
-from trailmark.llm.shared import stored
+from trailmark.llm.shared import discard, stored
 
 #: Texts are taken in groups of about so many characters.
 CHARACTERS = 3_000_000
-#: Classes that meet in one block, about, and how many classes of overlapping lists are searched together.
-BLOCK, GATHERED = 2_500, 10_000
-#: Rounds in which shingles of several classes are found and put last in the order.
+#: Shingles of a part of a neighbourhood, about; two parts meet in one task.
+BLOCK = 1_000_000
+#: A shingle's place in the order is the number of these that its count reaches.
 #: The order sets the cost only; any order gives the same links.
-ROUNDS = 2
+LEVELS = (2, 3, 5, 9, 17, 65, 257)
+#: A table of the levels of common shingles has two to this power cells.
+CELLS = 22
+#: Rounds in which lists are cleared of classes that have too few first shingles in common with others of their size.
+CLEARED = 2
 
 
 def _sets(batch: pa.RecordBatch, text: int, width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -63,11 +71,15 @@ def _signature(shingles: np.ndarray) -> int:
         return int(mixed(shingles).sum(dtype=np.uint64).view(np.int64))
 
 
+def _first(n: int, least: float) -> int:
+    """How many shingles, from the front of the order, a set of n shares one of with every set it links with."""
+    return n - ceil(round(least * n, 9)) + 1
+
+
 def _prefix(shingles: np.ndarray, common: np.ndarray, least: float) -> np.ndarray:
-    """The first shingles of a set in the common order: rare before common, then by hash."""
-    n = len(shingles)
+    """The first shingles of a set where those not in `common` come first, then by hash."""
     order = np.argsort(perhaps(common, shingles), kind="stable")
-    return shingles[order[: n - ceil(round(least * n, 9)) + 1]]
+    return shingles[order[: _first(len(shingles), least)]]
 
 
 def required(a: int, b: int, least: float) -> int:
@@ -124,8 +136,11 @@ class Inverted:
         return [self.holders[a:b] for a, b in zip(first[several].tolist(), after[several].tolist(), strict=True)]
 
 
-def _search_block(rows: list[tuple[int, int, np.ndarray]], least: float) -> list[tuple[int, int]]:
-    """Links between components among (class, component, shingles); links that join nothing new are left out."""
+def _search_block(rows: list[tuple[int, int, int, np.ndarray]], least: float) -> list[tuple[int, int]]:
+    """Links between components among (class, component, size, shingles); links that join nothing new are left out.
+
+    Shingles that no other set holds may be missing: the size counts them.
+    """
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -135,16 +150,16 @@ def _search_block(rows: list[tuple[int, int, np.ndarray]], least: float) -> list
         return x
 
     members: dict[int, int] = {}
-    for _, component, _ in rows:
+    for _, component, *_ in rows:
         members[component] = members.get(component, 0) + 1
     largest = max(members, key=lambda c: (members[c], c))
-    index = Inverted([x for _, _, x in rows])
-    sizes, links = np.array([len(x) for _, _, x in rows]), []
-    for cls, component, shingles in rows:
+    index = Inverted([x for *_, x in rows])
+    sizes, links = np.array([n for _, _, n, _ in rows]), []
+    for cls, component, n, shingles in rows:
         if component == largest:
             continue  # a link between components has an end outside the largest one
-        for position in divide_skip(index.shared(shingles), len(shingles), sizes, least):
-            other, there, _ = rows[position]
+        for position in divide_skip(index.shared(shingles), n, sizes, least):
+            other, there, *_ = rows[position]
             if root(component) != root(there):
                 parent[root(component)] = root(there)
                 links.append((cls, other))
@@ -156,79 +171,109 @@ def connected(links: DataFrame) -> DataFrame:
 
     Labels fall to the smallest neighbour's and then to the label's own label,
     so long chains take a number of rounds that grows with the logarithm of their length.
+    A large component meets at the id that most of its links lead to: the joins are salted.
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("root")))
     while True:
-        around = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("root").alias("near"))
+        around = salted_join(both, labels.withColumnRenamed("id", "b"), ["b"], ["a"]).groupBy("a").agg(F.min("root").alias("near"))
         lower = labels.join(around, labels.id == around.a).select("id", "root", F.least("root", "near").alias("low"))
-        own = lower.select(F.col("id").alias("_id"), F.col("low").alias("_low"))
+        own = lower.select(F.col("id").alias("low"), F.col("low").alias("_low"))
         now = stored(
-            lower.join(own, lower.low == own._id, "left").select("id", F.least("low", "_low").alias("now"), "root")
+            salted_join(lower, own, ["low"], ["id"], "left").select("id", F.least("low", "_low").alias("now"), "root")
         )
+        discard(labels)
         if now.filter("now != root").isEmpty():
+            discard(both)
             return now.select("id", "root")
         labels = now.select("id", F.col("now").alias("root"))
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """(doc, n, cls): the size of each row's set and the signature that equal sets share."""
+    """(doc, tie, n, cls): the size of each row's set and the signature that equal sets share."""
 
     def run(batches):
         for batch in batches:
-            for part, sets in _sets(batch, 1, width):
+            for part, sets in _sets(batch, 2, width):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_signature(x) for x in sets], pa.int64())],
-                    ["doc", "n", "cls"],
+                    [*part.columns[:2], pa.array([len(x) for x in sets], pa.int64()), pa.array([_signature(x) for x in sets], pa.int64())],
+                    ["doc", "tie", "n", "cls"],
                 )
 
-    return docs.mapInArrow(run, "doc long, n long, cls long")
+    return docs.mapInArrow(run, "doc long, tie long, n long, cls long")
 
 
-def _lists(docs: DataFrame, width: int, least: float, common) -> DataFrame:
-    """(shingle, cls): the first shingles of every set."""
+def _in_several(docs: DataFrame, width: int, least: float, common) -> np.ndarray:
+    """A bitmap of the first shingles that stand in several classes."""
 
     def run(batches):
         for batch in batches:
-            for _, sets in _sets(batch, 1, width):
-                heads = [_prefix(x, common.value, least) for x in sets]
-                heads = [h if len(x) else x for h, x in zip(heads, sets, strict=True)]
+            for _, sets in _sets(batch, 0, width):
+                heads = [_prefix(x, common.value, least) if len(x) else x for x in sets]
                 classes = np.repeat(np.array([_signature(x) for x in sets], dtype=np.int64), [len(h) for h in heads])
                 yield pa.RecordBatch.from_arrays([pa.array(long(np.concatenate(heads))), pa.array(classes)], ["shingle", "cls"])
 
-    return docs.mapInArrow(run, "shingle long, cls long")
-
-
-def _in_several(docs: DataFrame, width: int, least: float, common) -> np.ndarray:
-    """A bitmap of the first shingles that stand in several classes."""
-    classes = _lists(docs, width, least, common).groupBy("shingle").agg(F.min("cls").alias("a"), F.max("cls").alias("b"))
-    return bitmap(stored(classes.filter("a < b").select("shingle")), "shingle")
+    lists = docs.mapInArrow(run, "shingle long, cls long")
+    several = stored(lists.groupBy("shingle").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a < b").select("shingle"))
+    found = bitmap(several, "shingle")
+    discard(several)
+    return found
 
 
 def _candidates(docs: DataFrame, width: int, least: float, common, shared) -> DataFrame:
-    """(cls, n, shingles, heads) of the sets that perhaps have a first shingle in common with another class."""
+    """(cls, shingles) of the sets that perhaps have a first shingle in common with another class."""
 
     def run(batches):
         for batch in batches:
-            for _, sets in _sets(batch, 1, width):
-                out = []
-                for x in sets:
-                    heads = _prefix(x, common.value, least) if len(x) else x
-                    heads = heads[perhaps(shared.value, heads)]
-                    if len(heads):
-                        out.append((_signature(x), len(x), long(x), long(heads)))
+            for _, sets in _sets(batch, 0, width):
+                out = [x for x in sets if len(x) and perhaps(shared.value, _prefix(x, common.value, least)).any()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([c for c, *_ in out], pa.int64()),
-                        pa.array([n for _, n, *_ in out], pa.int64()),
-                        pa.array([x for _, _, x, _ in out], pa.list_(pa.int64())),
-                        pa.array([h for *_, h in out], pa.list_(pa.int64())),
-                    ],
-                    ["cls", "n", "shingles", "heads"],
+                    [pa.array([_signature(x) for x in out], pa.int64()), pa.array([long(x) for x in out], pa.list_(pa.int64()))],
+                    ["cls", "shingles"],
                 )
 
-    found = docs.mapInArrow(run, "cls long, n long, shingles array<long>, heads array<long>")
-    return found.groupBy("cls").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("heads").alias("heads"))
+    return docs.mapInArrow(run, "cls long, shingles array<long>").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+
+
+def _levels(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """From (shingle, count): a bitmap of the shingles of several classes, and a table of the higher levels by leading bits."""
+    level = sum((F.col("count") >= k).cast("int") for k in LEVELS)
+    place = F.shiftrightunsigned("shingle", 64 - CELLS)
+    cells = counts.filter(F.col("count") >= LEVELS[2]).groupBy(place.alias("place")).agg(F.max(level).alias("level")).toArrow()
+    table = np.zeros(2**CELLS, dtype=np.uint8)
+    table[cells["place"].to_numpy()] = cells["level"].to_numpy()
+    return bitmap(counts, "shingle"), table
+
+
+def _ranked(classes: DataFrame, levels, least: float) -> DataFrame:
+    """(cls, n, shingles, heads): the size of each set, its shingles that others hold, and those of its first shingles that others hold.
+
+    The order is by level, then by hash.  Sets whose first shingles are all their own are left out.
+    """
+
+    def run(batches):
+        several, table = levels.value
+        for batch in batches:
+            column, out = batch.column(1), []
+            values = column.flatten().to_numpy().view(np.uint64)
+            ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+            for cls, a, b in zip(batch.column(0).to_pylist(), ends, ends[1:], strict=False):
+                held = perhaps(several, values[a:b])
+                own, n = int((~held).sum()), int(b - a)
+                first = _first(n, least) - own
+                if first > 0:
+                    shingles = values[a:b][held]
+                    level = table[(shingles >> np.uint64(64 - CELLS)).astype(np.int64)]
+                    out.append((cls, n, long(shingles), long(shingles[np.argsort(level, kind="stable")[:first]])))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[pa.array([row[k] for row in out], pa.int64()) for k in (0, 1)],
+                    *[pa.array([row[k] for row in out], pa.list_(pa.int64())) for k in (2, 3)],
+                ],
+                ["cls", "n", "shingles", "heads"],
+            )
+
+    return classes.mapInArrow(run, "cls long, n long, shingles array<long>, heads array<long>")
 
 
 def _first_links(classes: DataFrame, postings: DataFrame, least: float) -> DataFrame:
@@ -254,15 +299,39 @@ def _first_links(classes: DataFrame, postings: DataFrame, least: float) -> DataF
     )
 
 
-def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """(a, b): links between components, found in the lists that hold several.
+def _common_firsts(n, m, least: float):
+    """How many first shingles linked sets of n and m have in common at least: what overlap they need, less what can lie behind the first ones."""
+    return F.ceil(F.round(least * (n + m) / (1 + least), 9)) - F.ceil(F.round(least * F.greatest(n, m), 9)) + 1
+
 
-    Lists that overlap make a neighbourhood, in which each class is sent once; only
-    where neighbourhoods grow beyond GATHERED classes do classes meet list by list.
+def _open_lists(postings: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """(shingle, cls, n, component) of the lists that hold several components, without classes that can link with none there.
+
+    Of the sizes a class can link with in a list, the farthest from its own ask for the fewest common first shingles; a class that
+    has fewer in all its lists leaves this one.
     """
-    labelled = postings.join(roots.withColumnRenamed("id", "cls"), "cls", "left").select(
-        "shingle", "cls", F.coalesce("root", "cls").alias("component")
+    held = stored(
+        postings.join(roots.withColumnRenamed("id", "cls"), "cls", "left").select("shingle", "cls", "n", F.coalesce("root", "cls").alias("component"))
     )
+    for _ in range(CLEARED):
+        lists = held.groupBy("shingle").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("small"), F.max("n").alias("large")
+        )
+        n = F.col("n")
+        near = F.greatest(F.col("small"), F.ceil(F.round(least * n, 9)))
+        far = F.least(F.col("large"), F.floor(F.round(n / least, 9)))
+        wanted = F.least(_common_firsts(n, near, least), _common_firsts(n, far, least))
+        several = held.join(lists.filter("low != high"), "shingle").select(*held.columns, wanted.alias("wanted"))
+        owned = several.groupBy("cls").agg(F.count("*").alias("owned"))
+        cleared = stored(several.join(owned, "cls").filter("owned >= wanted").select(*held.columns))
+        discard(held)
+        held = cleared
+    return held
+
+
+def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """(a, b): links between components, found in the lists that hold several."""
+    labelled = _open_lists(postings, roots, least)
     lists = labelled.groupBy("shingle").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
@@ -272,38 +341,56 @@ def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, le
     )
     # lists of the same classes are one
     lists = lists.filter("low != high").groupBy("who", "members", "lead").agg(F.min("shingle").alias("shingle"))
-    held = stored(labelled.join(lists, "shingle").select("shingle", "cls", "component", "lead", "members"))
+    held = stored(labelled.join(lists, "shingle").select("cls", "component", "lead"))
+    discard(labelled)
     around = connected(held.filter("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")))
-    sizes = around.groupBy("root").agg(F.count("*").alias("classes"))
-    placed = held.join(around.join(sizes, "root").withColumnRenamed("id", "cls"), "cls")
-    gathered = F.col("classes") <= GATHERED
-    groups = placed.select(
-        gathered.alias("gathered"),
-        F.when(gathered, F.col("root")).otherwise(F.col("shingle")).alias("place"),
-        F.ceil(F.when(gathered, F.col("classes")).otherwise(F.col("members")) / BLOCK).cast("int").alias("parts"),
-        "cls",
-        "component",
-    ).distinct()
-    # a large group is cut into parts, every two of which meet
-    part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    placed = stored(
+        held.select("cls", "component").distinct().join(around.withColumnRenamed("id", "cls"), "cls").join(classes.select("cls", "n", "shingles"), "cls")
+    )
+    sizes = placed.groupBy("root").agg(F.sum(F.size("shingles")).alias("total"))
+    # a large neighbourhood is cut into parts, every two of which meet
+    parts = F.ceil(F.col("total") / BLOCK).cast("int")
     dealt = (
-        groups.withColumn("part", part)
+        salted_join(placed.select("cls", "root"), sizes, ["root"], ["cls"])
+        .withColumn("parts", parts)
+        .withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("gathered", "place", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "component")
+        .select("cls", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     )
 
     def search(table: pa.Table) -> pa.Table:
         sets = table["shingles"].combine_chunks()
         values, ends = sets.values.to_numpy(), sets.offsets.to_numpy()
         rows = [
-            (c, k, values[a:b])
-            for c, k, a, b in zip(table["cls"].to_pylist(), table["component"].to_pylist(), ends, ends[1:], strict=False)
+            (c, k, n, values[a:b])
+            for c, k, n, a, b in zip(*[table[x].to_pylist() for x in ("cls", "component", "n")], ends, ends[1:], strict=False)
         ]
         links = _search_block(rows, least) if rows else []
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    met = dealt.join(classes.select("cls", "shingles"), "cls").groupBy("gathered", "place", "i", "j")
-    return met.applyInArrow(search, "a long, b long").distinct()
+    met = placed.join(dealt, "cls").groupBy("root", "i", "j")
+    found = stored(met.applyInArrow(search, "a long, b long").distinct())
+    discard(held, placed)
+    return found
+
+
+def _grouped(rows: DataFrame, width: int, least: float) -> DataFrame:
+    """(doc, tie, n, component) of rows (doc, tie, text); a component is a class or the root of linked ones, null without shingles."""
+    context, texts = rows.sparkSession.sparkContext, rows.select("text")
+    described = stored(_described(rows, width))
+    common = context.broadcast(_in_several(texts, width, least, context.broadcast(np.zeros(2 ** (BITS - 6), dtype=np.uint64))))
+    shared = context.broadcast(_in_several(texts, width, least, common))
+    sets = stored(_candidates(texts, width, least, common, shared))
+    counts = stored(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= LEVELS[0]))
+    classes = stored(_ranked(sets, context.broadcast(_levels(counts)), least))
+    discard(sets, counts)
+    postings = stored(classes.select(F.explode("heads").alias("shingle"), "cls", "n"))
+    first = stored(_first_links(classes, postings, least))
+    further = _further_links(classes, postings, connected(first), least)
+    roots = connected(first.union(further))
+    discard(classes, postings, first, further)
+    joined = described.join(roots.withColumnRenamed("id", "cls"), "cls", "left")
+    return joined.select("doc", "tie", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("component"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.75) -> DataFrame:
@@ -316,22 +403,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.75) -> Dat
     Shingles, and sets of equal size, are compared by 64-bit hashes.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(no_id_last(F.col("doc_id")).alias("doc"), "text")
-    context = docs.sparkSession.sparkContext
-    described = stored(_described(rows, width))
-    common = np.zeros(2 ** (BITS - 6), dtype=np.uint64)
-    for _ in range(ROUNDS):
-        common = common | _in_several(rows, width, least, context.broadcast(common))
-    common = context.broadcast(common)
-    shared = context.broadcast(_in_several(rows, width, least, common))
-    classes = stored(_candidates(rows, width, least, common, shared))
-    postings = stored(classes.select(F.explode("heads").alias("shingle"), "cls", "n"))
-    first = stored(_first_links(classes, postings, least))
-    further = stored(_further_links(classes, postings, connected(first), least))
-    roots = connected(first.union(further))
-    label = F.coalesce("root", F.col("cls"))
-    joined = described.join(roots.withColumnRenamed("id", "cls"), "cls", "left")
-    joined = joined.select("doc", "n", F.when(F.col("n") > 0, label).alias("component"))
+    rows = docs.select(no_id_last(F.col("doc_id")).alias("doc"), F.lit(0).cast("long").alias("tie"), "text")
+    joined = _grouped(rows, width, least)
     least_doc = joined.filter("n > 0").groupBy("component").agg(F.min("doc").alias("first"))
     given = F.when(F.col("doc") < 2**63 - 1, F.col("doc"))
     lead = F.coalesce("first", "doc")
@@ -343,7 +416,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.75) -> Dat
 
 
 def one_of_each(docs: DataFrame, width: int = 5, least: float = 0.75) -> DataFrame:
-    """The rows of `docs` whose id is that of their component; doc_id must identify a row."""
-    kept = near_duplicates(docs, width, least).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_llm_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left_semi")
+    """Of each component the row with the smallest id, null last; rows without shingles all stay.
+
+    Of rows that share an id inside a component, the one whose columns have the smallest hash stays; rows that
+    are equal in every column are told apart by nothing and stay together.
+    """
+    own = [no_id_last(F.col("doc_id")).alias("_llm_doc"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_llm_tie")]
+    rows = docs.select(*own, "text").toDF("doc", "tie", "text")
+    joined = stored(_grouped(rows, width, least))
+    kept = joined.filter("n > 0").groupBy("component").agg(F.min(F.struct("doc", "tie")).alias("first")).select("first.*")
+    kept = kept.union(joined.filter("n = 0").select("doc", "tie")).toDF("_llm_doc", "_llm_tie")
+    return docs.select("*", *own).join(kept, ["_llm_doc", "_llm_tie"], "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -35,6 +35,15 @@ def stored(df: DataFrame) -> DataFrame:
         conf.set(_TIDY, before or "false")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables from the shared folder; no later plan may read them."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def small(df: DataFrame) -> DataFrame:
     """A stored table, marked for broadcast only if it has at most SMALL_ROWS rows."""
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
