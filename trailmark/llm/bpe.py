@@ -187,6 +187,13 @@ def _once(key: tuple, make):
     return _OPEN[key]
 
 
+def _let_go() -> None:
+    """Close what `_once` holds, so that a worker that goes on to other stages keeps no vocabulary."""
+    for tables in _OPEN.values():
+        tables.con.close()
+    _OPEN.clear()
+
+
 def _groups(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive groups of about `most` together."""
     first = total = last = 0
@@ -199,12 +206,13 @@ def _groups(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         yield first, last
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: bool = True) -> DataFrame:
     """The rows of `docs` with `text` replaced by `ids` (array of int), as the tiktoken library encodes ordinary text.
 
     `path` is a rank file, read by the driver; its size bounds what is sent to
     the executors.  Null and empty texts give an empty array; repeated
     rows stay, other columns pass through, an empty table gives no rows.
+    Workers keep the vocabulary and known pieces for their next task, unless `keep` is false.
     """
     import public_tokenizers
 
@@ -224,12 +232,14 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(ends), values)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], lists], [*kept, ids])
+        if not keep:
+            _let_go()
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept], f"`{ids}` array<int>"])
     return docs.select(*kept, text).mapInArrow(run, schema)
 
 
-def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded", keep: bool = True) -> DataFrame:
     """The rows with `ids` replaced by `decoded` (binary), the tokens' bytes in order.
 
     A null array gives null, an empty one empty bytes; an id outside the
@@ -252,6 +262,8 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded
                 empty = pa.compute.is_null(part).to_pylist()
                 out = pa.array([None if no else x for no, x in zip(empty, found, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in kept], out], [*kept, decoded])
+        if not keep:
+            _let_go()
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept], f"`{decoded}` binary"])
     return rows.select(*kept, ids).mapInArrow(run, schema)

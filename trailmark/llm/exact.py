@@ -65,13 +65,18 @@ def exact_groups(docs: DataFrame, salts: int = SALTS, digest=_sha256) -> DataFra
 
 
 def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of `docs` that stay, one for each text; of rows that repeat both id and text, one."""
+    """The rows of `docs` that stay, one for each text.
+
+    Of rows that repeat both id and text, the one whose columns have the smallest hash stays.
+    """
     kept = exact_groups(docs, salts).filter("kept")
     kept = kept.select(F.col("doc_id").alias("_llm_id"), F.col("digest").alias("_llm_digest")).distinct()
     named = docs.withColumn("_llm_own", _sha256(squeezed(F.col("text"))))
+    same = F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_own") == F.col("_llm_digest"))
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
     return (
-        named.join(kept, F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_own") == F.col("_llm_digest")))
-        .drop("_llm_id", "_llm_digest")
-        .dropDuplicates(["doc_id", "_llm_own"])
-        .drop("_llm_own")
+        named.join(kept, same, "left_semi")
+        .groupBy(F.col("doc_id").alias("_llm_id"), "_llm_own")
+        .agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("_llm_row"))
+        .select(*[F.col(f"_llm_row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
     )

@@ -7,6 +7,7 @@ pass after pass in a fixed random order, meet its cumulative demand; inverting
 that demand gives the time at which each copy of a document is trained on.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,14 +115,23 @@ def allocate(docs: DataFrame, schedules=in_turn, cap: float = 3.0, seed: int = 1
     its own, in the last place; an empty table gives no rows; rows with the same
     id count each, in the order of their sizes.  Other columns are ignored.
     """
-    sized = stored(
-        docs.select(
-            F.col("doc_id"),
-            F.col("source"),
-            word_count(F.col("text")).alias("size"),
-            F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))).alias("_draw"),
-        )
+    return _allocated(stored(_sized(docs, seed)), schedules, cap, whole)
+
+
+def _sized(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
+    """(doc_id, source, size, _draw, _tie, …): _draw orders the rows of a source by chance, those without id by their text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"))
+    return docs.select(
+        F.col("doc_id"),
+        F.col("source"),
+        word_count(F.col("text")).alias("size"),
+        F.md5(F.concat_ws(":", F.lit(str(seed)), key)).alias("_draw"),
+        F.xxhash64("text").alias("_tie"),
+        *more,
     )
+
+
+def _allocated(sized: DataFrame, schedules, cap: float, whole: bool, *more: str) -> DataFrame:
     sources = stored(
         sized.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
     )
@@ -133,7 +143,7 @@ def allocate(docs: DataFrame, schedules=in_turn, cap: float = 3.0, seed: int = 1
         .withColumn("_of", F.coalesce("source", F.lit(""))),
         ["_named", "_of"],
         "_draw",
-        ["doc_id", "size"],
+        ["doc_id", "size", "_tie"],
         "size",
         F.col("docs"),
         "_before",
@@ -163,6 +173,7 @@ def allocate(docs: DataFrame, schedules=in_turn, cap: float = 3.0, seed: int = 1
         "target",
         F.aggregate("copies", F.lit(0).cast("long"), lambda n, c: n + c["words"]).alias("taken"),
         "copies",
+        *more,
     )
 
 
@@ -181,13 +192,32 @@ def mix_sources(docs: DataFrame, schedules=in_turn, cap: float = 3.0, seed: int
 def mixed_documents(docs: DataFrame, schedules=in_turn, cap: float = 3.0, seed: int = 17) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it whole, in training order.
 
-    doc_id must identify a row; rows with a null id are not in the result's mix.
+    Every row carries its own copies, so ids may be null or repeat.  Rows without words are in no mix.
+    `docs` must give the same rows whenever it is read, as stored tables do.
     """
-    order = mix_sources(docs, schedules, cap, seed, whole=True).select(
-        F.col("doc_id").alias("_llm_id"), F.col("position").alias("_llm_at"), F.col("pass").alias("_llm_pass")
-    )
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("_llm_row")
+    placed = _allocated(_sized(docs, seed, row), schedules, cap, True, "_llm_row")
     return (
-        docs.join(order, F.col("doc_id") == F.col("_llm_id"))
-        .orderBy("_llm_at", "_llm_id", "_llm_pass")
-        .select(*[docs[c] for c in docs.columns])
+        placed.select("_llm_row", "doc_id", F.inline("copies"))
+        .orderBy("position", "doc_id", "pass", F.xxhash64("_llm_row"))
+        .select(*[F.col(f"_llm_row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
     )
+
+
+def in_training_order(docs: DataFrame, name: str = "position") -> DataFrame:
+    """The rows of a stored mix with `name`, a long that rises along the training order, from 0 without gaps.
+
+    A range-sorted table is stored in files whose numbers rise with the order, and rows keep their
+    places inside a file; both are read back.  A table that does not come from files has
+    its rows numbered as they come, with gaps.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_llm_file"), F.col("_metadata.row_index").alias("_llm_at"))
+    except AnalysisException:
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    numbers = [F.regexp_extract("_llm_file", pattern, 1).cast("int") for pattern in (r"part-(\d+)", r"-c(\d+)\.")]
+    before = Window.orderBy(*numbers, "_llm_file").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each file
+    files = placed.groupBy("_llm_file").agg(F.count("*").alias("_llm_rows"))
+    starts = small(stored(files.select("_llm_file", F.coalesce(F.sum("_llm_rows").over(before), F.lit(0)).alias("_llm_start"))))
+    return placed.join(starts, "_llm_file").select(*[placed[f"`{c}`"] for c in docs.columns if c != name], (F.col("_llm_start") + F.col("_llm_at")).alias(name))

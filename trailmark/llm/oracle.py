@@ -3,7 +3,7 @@
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 op1_mix_sources = rf"""
-WITH sized AS (SELECT doc_id, source, {_WORDS} AS size, md5('17:' || doc_id) AS draw FROM documents),
+WITH sized AS (SELECT doc_id, source, {_WORDS} AS size, md5(concat_ws(':', '17', coalesce(doc_id::VARCHAR, md5(text)))) AS draw FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size)::BIGINT AS held,
          ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS w
