@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -42,7 +43,10 @@ _END = b""
 def tokens_of(text: str | None) -> list[bytes]:
     """The words of a text, long ones by their digest, and the end."""
     words = (text or "").encode().lower().split()
-    return [*(w if len(w) <= WIDE else b"\xff" + sha256(w).digest() for w in words), _END]
+    if words and max(map(len, words)) > WIDE:
+        words = [w if len(w) <= WIDE else b"\xff" + sha256(w).digest() for w in words]
+    words.append(_END)
+    return words
 
 
 def ending(word: bytes, endings: int) -> int:
@@ -149,7 +153,7 @@ def encode(docs: DataFrame, known: Vocabulary, text: str = "text") -> DataFrame:
             n_tokens, n_sent, base, rare, times, codes = [], [], [], [], [], []
             for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 words = tokens_of(t)
-                at = np.array([place.get(w, -1) for w in words], dtype=np.int64)
+                at = np.fromiter(map(place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
                 others = np.flatnonzero(at < 0)
                 code = classes[at]
                 seen: Counter = Counter()
