@@ -39,3 +39,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, columns: list[str], buckets: int | None = None) -> tuple[DataFrame, str]:
+    """The rows, written once in buckets of the columns' hash, and the name of the table, for ``drop_bucketed``.
+
+    A join on just these columns leaves the stored side where it is and shuffles only the other.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"trailmark_{uuid.uuid4().hex}"
+    dealt = df.repartition(count, *columns)
+    dealt.write.bucketBy(count, *columns).sortBy(*columns).option("path", scratch_path(spark, "buckets")).saveAsTable(name)
+    return spark.table(name), name
+
+
+def drop_bucketed(spark: SparkSession, name: str) -> None:
+    """Take the table out of the catalog; its files go with the shared folder."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
