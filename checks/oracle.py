@@ -182,22 +182,28 @@ CTE["changes"] = """
                 WHERE t.curr = l.curr AND t.prev = l.prev AND t.month < e.last_month), 0)) > 0.2 AS major_mix_shift
     FROM latest_top l LEFT JOIN usual u USING (curr)"""
 
-# graph of the last month
-CTE["oct"] = "SELECT * FROM clicks WHERE month = (SELECT max(month) FROM months)"
-CTE["links"] = "SELECT prev, curr, CAST(sum(n) AS DOUBLE) AS weight FROM oct GROUP BY ALL"
-CTE["nodes"] = "SELECT prev AS node FROM links UNION SELECT curr FROM links"
+# one graph for each target month
+CTE["target_rows"] = f"SELECT * FROM clicks WHERE month >= '{FIRST_TARGET}'"
+CTE["links"] = "SELECT month, prev, curr, CAST(sum(n) AS DOUBLE) AS weight FROM target_rows GROUP BY ALL"
+CTE["nodes"] = "SELECT month, prev AS node FROM links UNION SELECT month, curr FROM links"
 CTE["degrees"] = """
-    SELECT node, count(*) AS degree FROM (SELECT prev AS node FROM links UNION ALL SELECT curr FROM links) GROUP BY ALL"""
-CTE["shares"] = "SELECT prev, curr, weight / sum(weight) OVER (PARTITION BY prev) AS share FROM links"
+    SELECT month, node, count(*) AS degree
+    FROM (SELECT month, prev AS node FROM links UNION ALL SELECT month, curr FROM links) GROUP BY ALL"""
+CTE["shares"] = "SELECT month, prev, curr, weight / sum(weight) OVER (PARTITION BY month, prev) AS share FROM links"
+CTE["sized"] = """
+    SELECT n.month, n.node, count(*) OVER (PARTITION BY n.month) AS total, l.prev IS NULL AS sink
+    FROM nodes n LEFT JOIN (SELECT DISTINCT month, prev FROM links) l ON l.month = n.month AND l.prev = n.node"""
 CTE["rank"] = """
-    SELECT 0 AS k, node, 1.0::DOUBLE / (SELECT count(*) FROM nodes) AS r FROM nodes
+    SELECT 0 AS k, month, node, total, sink, 1.0::DOUBLE / total AS r FROM sized
     UNION ALL
-    SELECT lost.k + 1, nodes.node, (0.15 + 0.85 * lost.r) / (SELECT count(*) FROM nodes) + 0.85 * coalesce(s, 0)
-    FROM nodes LEFT JOIN (SELECT curr AS node, sum(r * share) AS s FROM shares JOIN rank ON node = prev GROUP BY ALL) USING (node),
-         (SELECT max(k) AS k, coalesce(sum(r) FILTER (node NOT IN (SELECT prev FROM links)), 0) AS r FROM rank) lost
+    SELECT lost.k + 1, n.month, n.node, n.total, n.sink, (0.15 + 0.85 * lost.r) / n.total + 0.85 * coalesce(s, 0)
+    FROM sized n JOIN (SELECT month, max(k) AS k, coalesce(sum(r) FILTER (sink), 0) AS r FROM rank GROUP BY month) lost USING (month)
+    LEFT JOIN (SELECT s.month, s.curr AS node, sum(r * share) AS s
+               FROM shares s JOIN rank ON rank.month = s.month AND rank.node = s.prev GROUP BY ALL) g
+           ON g.month = n.month AND g.node = n.node
     WHERE lost.k < 150"""
-CTE["ranks"] = "SELECT node, r FROM rank WHERE k = 150"
-CTE["oct_edges"] = "SELECT DISTINCT prev, curr, type FROM oct"
+CTE["ranks"] = "SELECT month, node, r FROM rank WHERE k = 150"
+CTE["month_edges"] = "SELECT DISTINCT month, prev, curr, type FROM target_rows"
 
 
 def _word(text: str, word: int) -> str:
@@ -213,64 +219,78 @@ def normal(key: str, index: int, seed: int = 42) -> str:
 
 
 def _flagged(distances: str) -> str:
-    return f"""
-        SELECT prev, curr, type, (SELECT max(month) FROM months) AS month, round(s, 6) AS gnn_score,
-               s >= (SELECT quantile_cont(s, 0.95) FROM scaled) AS gnn_flag FROM scaled"""
+    return """
+        SELECT prev, curr, type, month, round(s, 6) AS gnn_score,
+               s >= quantile_cont(s, 0.95) OVER (PARTITION BY month) AS gnn_flag FROM scaled"""
+
 
+def _scaled(distances: str) -> dict[str, str]:
+    return {"scaled": f"SELECT *, d / max(d) OVER (PARTITION BY month) AS s FROM {distances}"}
 
-STRUCT_DIM = 64
+
+STRUCT_DIM = NEAR_DIM = CONTEXT_DIM = 64
 _noise = " + ".join(f"pow({normal('prev', i)} - {normal('curr', i)}, 2)" for i in range(STRUCT_DIM - 2))
 CTE["struct_dist"] = f"""
     SELECT e.*, sqrt(pow(dp.degree - dc.degree, 2) + pow(rp.r - rc.r, 2) + {_noise}) AS d
-    FROM oct_edges e JOIN degrees dp ON dp.node = prev JOIN degrees dc ON dc.node = curr
-    JOIN ranks rp ON rp.node = prev JOIN ranks rc ON rc.node = curr"""
+    FROM month_edges e JOIN degrees dp ON dp.month = e.month AND dp.node = prev JOIN degrees dc ON dc.month = e.month AND dc.node = curr
+    JOIN ranks rp ON rp.month = e.month AND rp.node = prev JOIN ranks rc ON rc.month = e.month AND rc.node = curr"""
 
-NEAR_DIM = 4
+# seeded normals of every node, one row per dimension
+_part = "(CAST('0x' || substr(md5(concat_ws('|', '42', i // 4, node)), 8 * {} + 1, 8) AS BIGINT) + 0.5) / " + repr(WORD)
+_first, _second = _part.format("(2 * ((i % 4) // 2))"), _part.format("(2 * ((i % 4) // 2) + 1)")
+CTE["noise"] = f"""
+    SELECT node, i, sqrt(-2 * ln({_first})) * CASE WHEN i % 2 = 0 THEN cos({2 * math.pi!r} * {_second}) ELSE sin({2 * math.pi!r} * {_second}) END AS x
+    FROM (SELECT DISTINCT node FROM nodes), range({CONTEXT_DIM}) t(i)"""
 
 
-def _layer(source: str, layer: int, seed: int = 42) -> str:
-    dims = range(NEAR_DIM)
-    out = []
-    for r in dims:
-        terms = [f"coalesce(m{c}, 0) * ({weight(seed, f'layer{layer}-neighbour', r, c, NEAR_DIM)!r})" for c in dims]
-        terms += [f"h{c} * ({weight(seed, f'layer{layer}-self', r, c, NEAR_DIM)!r})" for c in dims]
-        terms.append(f"({weight(seed, f'layer{layer}-bias', r, 0, NEAR_DIM)!r})")
-        out.append(f"greatest({' + '.join(terms)}, 0.0) AS h{r}")
-    means = ", ".join(f"avg(h{c}) AS m{c}" for c in dims)
-    return f"""
-        SELECT node, {', '.join(out)} FROM {source} LEFT JOIN (
-            SELECT curr AS node, {means} FROM links JOIN {source} ON node = prev GROUP BY ALL) USING (node)"""
+def _weights(name: str, columns: int) -> str:
+    text = f"concat_ws('|', '42', '{name}', r, c)"
+    return f"SELECT r, c, (2 * {_word(text, 0)} - 1) / {math.sqrt(NEAR_DIM)!r} AS w FROM range({NEAR_DIM}) a(r), range({columns}) b(c)"
 
 
-CTE["h0"] = "SELECT node, " + ", ".join(f"{normal('node', i)} AS h{i}" for i in range(NEAR_DIM)) + " FROM nodes"
-CTE["h_1"] = _layer("h0", 0)
+def _layer(source: str, layer: int) -> str:
+    return f"""
+        SELECT h.month, h.node, near.r AS i, greatest(sum(coalesce(m.x, 0) * near.w + h.x * own.w) + first(bias.w), 0.0) AS x
+        FROM {source} h JOIN near{layer} near ON near.c = h.i JOIN own{layer} own ON own.c = h.i AND own.r = near.r
+        JOIN bias{layer} bias ON bias.r = near.r
+        LEFT JOIN (SELECT l.month, l.curr AS node, i, avg(x) AS x FROM links l JOIN {source} s ON s.month = l.month AND s.node = l.prev
+                   GROUP BY ALL) m ON m.month = h.month AND m.node = h.node AND m.i = h.i
+        GROUP BY ALL"""
+
+
+for _k in (0, 1):
+    CTE[f"near{_k}"], CTE[f"own{_k}"] = _weights(f"layer{_k}-neighbour", NEAR_DIM), _weights(f"layer{_k}-self", NEAR_DIM)
+    CTE[f"bias{_k}"] = _weights(f"layer{_k}-bias", 1)
+CTE["h_0"] = "SELECT month, node, i, x FROM nodes JOIN noise USING (node)"
+CTE["h_1"] = _layer("h_0", 0)
 CTE["h_2"] = _layer("h_1", 1)
-CTE["near_dist"] = f"""
-    SELECT e.*, sqrt({' + '.join(f'pow(p.h{i} - c.h{i}, 2)' for i in range(NEAR_DIM))}) AS d
-    FROM oct_edges e JOIN h_2 p ON p.node = prev JOIN h_2 c ON c.node = curr"""
+CTE["near_dist"] = """
+    SELECT e.month, e.prev, e.curr, e.type, sqrt(sum(pow(p.x - c.x, 2))) AS d
+    FROM month_edges e JOIN h_2 p ON p.month = e.month AND p.node = e.prev JOIN h_2 c ON c.month = e.month AND c.node = e.curr AND c.i = p.i
+    GROUP BY ALL"""
 
-WALKS, WALK_LENGTH = 2, 5
+WALKS, WALK_LENGTH, CONTEXT_WINDOW = 200, 30, 10
 CTE["hops"] = """
-    SELECT prev, curr, (sum(weight) OVER w - weight) / sum(weight) OVER (PARTITION BY prev) AS low,
-           sum(weight) OVER w / sum(weight) OVER (PARTITION BY prev) AS high
-    FROM links WINDOW w AS (PARTITION BY prev ORDER BY substr(md5(curr), 1, 2), curr ROWS UNBOUNDED PRECEDING)"""
+    SELECT month, prev, curr, (sum(weight) OVER w - weight) / sum(weight) OVER (PARTITION BY month, prev) AS low,
+           sum(weight) OVER w / sum(weight) OVER (PARTITION BY month, prev) AS high
+    FROM links WINDOW w AS (PARTITION BY month, prev ORDER BY substr(md5(curr), 1, 2), curr ROWS UNBOUNDED PRECEDING)"""
 CTE["walk"] = f"""
-    SELECT node AS start, i AS walk, 1 AS step, node AS here, node AS path FROM nodes, range({WALKS}) r(i)
+    SELECT month, node AS start, i AS walk, 1 AS step, node AS here, node AS path FROM nodes, range({WALKS}) r(i)
     UNION ALL
-    SELECT start, walk, step + 1, curr, path || '>' || curr
-    FROM (SELECT *, {_word("concat_ws('|', '42', start, walk, step)", 0)} AS u FROM walk WHERE step < {WALK_LENGTH})
-    JOIN hops ON prev = here AND u >= low AND u < high"""
-CTE["steps"] = "SELECT start, walk, last(path ORDER BY step) AS path FROM walk GROUP BY ALL"
+    SELECT w.month, start, walk, step + 1, curr, path || '>' || curr
+    FROM (SELECT *, {_word("concat_ws('|', '42', month, start, walk, step)", 0)} AS u FROM walk WHERE step < {WALK_LENGTH}) w
+    JOIN hops h ON h.month = w.month AND h.prev = here AND u >= low AND u < high"""
+CTE["steps"] = "SELECT month, start, walk, last(path ORDER BY step) AS path FROM walk GROUP BY ALL"
+CTE["taken"] = "SELECT month, start, path, count(*) AS walks FROM steps GROUP BY ALL"
 CTE["visits"] = """
-    SELECT start, walk, generate_subscripts(string_split(path, '>'), 1) AS i, unnest(string_split(path, '>')) AS node FROM steps"""
-CONTEXT_DIM, CONTEXT_WINDOW = 4, 2
+    SELECT month, path, sum(walks) AS walks, generate_subscripts(string_split(path, '>'), 1) AS i, unnest(string_split(path, '>')) AS node
+    FROM (SELECT month, path, sum(walks) AS walks FROM taken GROUP BY ALL) GROUP BY month, path"""
 CTE["nearby"] = f"""
-    SELECT a.node, b.node AS other, count(*) AS c FROM visits a
-    JOIN visits b ON a.start = b.start AND a.walk = b.walk AND abs(a.i - b.i) <= {CONTEXT_WINDOW} AND a.node <> b.node
+    SELECT a.month, a.node, b.node AS other, sum(a.walks) AS c FROM visits a
+    JOIN visits b ON a.month = b.month AND a.path = b.path AND abs(a.i - b.i) <= {CONTEXT_WINDOW} AND a.node <> b.node
     GROUP BY ALL"""
-CTE["context"] = (
-    "SELECT node, " + ", ".join(f"sum(c * {normal('other', i)}) AS s{i}" for i in range(CONTEXT_DIM)) + " FROM nearby GROUP BY ALL"
-)
+CTE["context"] = """
+    SELECT month, nearby.node, i, sum(c * x) AS s FROM nearby JOIN noise ON noise.node = other GROUP BY ALL"""
 
 # Holt's smoothing, every pair of the grid
 CTE["seq"] = """
@@ -463,15 +483,15 @@ def oracle_sql() -> dict[str, str]:
         "forecast_flag_counts": "SELECT count(*) AS rows, count(*) FILTER (forecast_flag) AS flagged FROM compared WHERE month >= '" + FIRST_TARGET + "'",
         "enriched_anomalies": rounded("enriched", *FULL),
         "enriched_stored_anomalies": rounded("enriched", *FULL),
-        "node_degree": "SELECT node, degree FROM degrees",
-        "pagerank": "SELECT node, round(r, 6) AS pagerank FROM ranks",
-        "heaviest_edges": "SELECT prev, curr, weight FROM links ORDER BY weight DESC, prev, curr LIMIT 50",
+        "node_degree": "SELECT month, node, degree FROM degrees",
+        "pagerank": "SELECT month, node, round(r, 6) AS pagerank FROM ranks",
+        "heaviest_edges": """SELECT month, prev, curr, weight FROM links
+            QUALIFY row_number() OVER (PARTITION BY month ORDER BY weight DESC, prev, curr) <= 50""",
         "structural_scores": _flagged("struct_dist"),
         "neighbour_scores": _flagged("near_dist"),
-        "random_walks": "SELECT start, walk, path FROM steps",
-        "context_embeddings": "SELECT node, " + ", ".join(
-            f"round(s{i} / sqrt({' + '.join(f's{j} * s{j}' for j in range(CONTEXT_DIM))}), 6) AS e{i}" for i in range(CONTEXT_DIM)
-        ) + " FROM context",
+        "random_walks": "SELECT month, start, path, walks FROM taken",
+        "context_embeddings": """SELECT month, node, CAST(i AS INT) AS i, round(s / sqrt(sum(s * s) OVER (PARTITION BY month, node)), 6) AS x
+            FROM context""",
         "anomaly_stats": """SELECT 'total' AS scope, 'all' AS value, count(*) AS count, round(avg(confidence), 6) AS avg_confidence FROM anomalies
             UNION ALL SELECT 'type', anomaly_type, count(*), round(avg(confidence), 6) FROM anomalies GROUP BY ALL
             UNION ALL SELECT 'month', month, count(*), round(avg(confidence), 6) FROM anomalies GROUP BY ALL""",
@@ -575,8 +595,8 @@ def oracle_sql() -> dict[str, str]:
             "found": f"""SELECT *, n - forecast_n AS forecast_error, n / (forecast_n + 1e-6) AS forecast_ratio,
                 n > forecast_upper OR n / (forecast_n + 1e-6) >= 2 AS forecast_flag FROM ahead WHERE month >= '{FIRST_TARGET}'""",
         },
-        "structural_scores": {"scaled": "SELECT *, d / (SELECT max(d) FROM struct_dist) AS s FROM struct_dist"},
-        "neighbour_scores": {"scaled": "SELECT *, d / (SELECT max(d) FROM near_dist) AS s FROM near_dist"},
+        "structural_scores": _scaled("struct_dist"),
+        "neighbour_scores": _scaled("near_dist"),
     }
     out["clean_table"] = out["clean_clicks"]
     return {name: with_(sql, extra.get(name)) for name, sql in out.items()}

@@ -38,11 +38,6 @@ def last_month(spark: SparkSession, folder: str) -> str:
     return months(spark, folder)[-1]
 
 
-# As in oracle.py
-STRUCT_DIM, NEAR_DIM = 64, 4
-WALKS, WALK_LENGTH, CONTEXT_DIM, CONTEXT_WINDOW = 2, 5, 4, 2
-
-
 def clicks(spark: SparkSession, folder: str) -> DataFrame:
     return clean_clicks(derived.order_clicks(spark, folder)).select(*EDGE, "n", "month")
 
@@ -196,34 +191,43 @@ def enrich_stored(spark, folder):
     return rounded(rolling.enrich_stored(stored, clicks(spark, folder), months(spark, folder), method="trend"))
 
 
-def month_graph(spark, folder):
-    return graph.page_graph(clicks(spark, folder).filter(F.col("month") == last_month(spark, folder)))
+def month_graphs(spark, folder):
+    """The graph of each target month."""
+    return cut_lineage(graph.page_graph(clicks(spark, folder).filter(F.col("month").isin(targets(spark, folder))), by="month"))
+
+
+def heaviest_edges(spark, folder):
+    rows = clicks(spark, folder).filter(F.col("month").isin(targets(spark, folder)))
+    return graph.page_graph(rows, max_edges=50, by="month")
 
 
 def pagerank(spark, folder):
-    return rounded(graph.pagerank(month_graph(spark, folder), tol=1e-12))
+    return rounded(graph.pagerank(month_graphs(spark, folder), tol=1e-12, by="month"))
 
 
 def graph_method(spark, folder, **options):
-    return rounded(graph.graph_scores(clicks(spark, folder), last_month(spark, folder), **options))
+    return rounded(graph.graph_scores(clicks(spark, folder), targets(spark, folder), **options))
 
 
 def walks(spark, folder):
-    return graph.random_walks(month_graph(spark, folder), WALKS, WALK_LENGTH)
+    return cut_lineage(graph.random_walks(month_graphs(spark, folder), by="month"))
 
 
 def random_walks(spark, folder):
-    return walks(spark, folder).select("start", F.col("walk").cast("bigint").alias("walk"), F.array_join("path", ">").alias("path"))
+    """How often each walk was taken."""
+    return walks(spark, folder).groupBy("month", "start", F.array_join("path", ">").alias("path")).agg(F.count("*").alias("walks"))
+
+
+def _by_dimension(vectors):
+    return rounded(vectors.select("month", "node", F.posexplode("embedding").alias("i", "x")))
 
 
 def context_embeddings(spark, folder):
-    vectors = graph.context_embeddings(walks(spark, folder), CONTEXT_DIM, CONTEXT_WINDOW)
-    return rounded(vectors.select("node", *[F.element_at("embedding", i + 1).alias(f"e{i}") for i in range(CONTEXT_DIM)]))
+    return _by_dimension(graph.context_embeddings(walks(spark, folder), by="month"))
 
 
 def walk_embeddings(spark, folder):
-    vectors = graph.walk_embeddings(walks(spark, folder), dim=16, window=CONTEXT_WINDOW)
-    return vectors.select("node", F.size("embedding").alias("dims"))
+    return _by_dimension(graph.skip_gram_embeddings(walks(spark, folder), by="month"))
 
 
 def browse_two_tier(spark, folder):
@@ -426,12 +430,12 @@ def queries():
         "forecast_flag_counts": _monthly(series, lambda s, m: reports.flagged_counts(forecasts.forecast_metrics(s, m, targets=m[3:], **trend))),
         "enriched_anomalies": _on(enriched_run, rounded),
         "enriched_stored_anomalies": enrich_stored,
-        "node_degree": _on(month_graph, graph.node_degrees),
+        "node_degree": lambda s, f: graph.node_degrees(month_graphs(s, f), "month"),
         "pagerank": pagerank,
-        "heaviest_edges": lambda s, f: graph.page_graph(clicks(s, f).filter(F.col("month") == last_month(s, f)), max_edges=50),
-        "structural_scores": by(graph_method, method="deepwalk", dim=STRUCT_DIM, tol=1e-12),
-        "neighbour_scores": by(graph_method, method="gnn", dim=NEAR_DIM),
-        "walk_scores": by(graph_method, method="node2vec", dim=16, walks=WALKS, length=WALK_LENGTH, window=CONTEXT_WINDOW),
+        "heaviest_edges": heaviest_edges,
+        "structural_scores": by(graph_method, method="deepwalk", tol=1e-12),
+        "neighbour_scores": by(graph_method, method="gnn"),
+        "walk_scores": by(graph_method, method="node2vec"),
         "random_walks": random_walks,
         "context_embeddings": context_embeddings,
         "walk_embeddings": walk_embeddings,
