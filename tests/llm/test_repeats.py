@@ -141,7 +141,7 @@ def test_divide_skip_finds_what_counting_finds():
         for own, x in enumerate(sets):
             common = Counter({k: len(np.intersect1d(x, y)) for k, y in enumerate(sets)})
             want = {k: n for k, n in common.items() if n and n >= least * (len(x) + sizes[k] - n) - 1e-9}
-            found = jaccard.divide_skip(index.shared(x), len(x), sizes, least)
+            found = dict(zip(*[x.tolist() for x in jaccard.divide_skip(index.shared(x), len(x), sizes, least)], strict=True))
             # shingles that no other set holds are no lists, so a set finds itself only if it shares enough
             assert {k: n for k, n in found.items() if k != own} == {k: n for k, n in want.items() if k != own}
 

@@ -5,7 +5,7 @@ reaches `least`.  Equal sets are one class.  A class of n shingles must share on
 of its first n - ceil(least * n) + 1 shingles, in an order that all classes have in common,
 with any class it links with; linked classes of about one size must share many of them.
 
-1. Classes none of whose first shingles stands in another class are alone.  Of the others, shingles are
+1. Classes that have too few first shingles in common with others of their size are alone.  The others' shingles are
    counted, and put in the order of their count: what only one class holds, then what few hold, then passages
    that many have in common.  Most classes fall out here, since their own shingles come first.
 2. Each class is compared in full with one other class of its lists, the one with which it shares
@@ -14,15 +14,12 @@ with any class it links with; linked classes of about one size must share many o
    common with classes of their size.  Classes whose lists overlap are a neighbourhood, cut into parts of bounded size
    of which every two meet, with their whole sets.  There the classes
    outside the largest component are looked up by DivideSkip: the short inverted lists are
-   merged by a heap, candidates are then probed for in the long ones by binary search, and those reaching the
+   merged, candidates are then probed for in the long ones by binary search, and those reaching the
    required overlap are links.
 4. Components of all links, over classes, give every document its component.
 """
 
-import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
 from math import ceil
 
 import numpy as np
@@ -82,38 +79,44 @@ def _prefix(shingles: np.ndarray, common: np.ndarray, least: float) -> np.ndarra
     return shingles[order[: _first(len(shingles), least)]]
 
 
-def required(a: int, b: int, least: float) -> int:
-    """The overlap from which sets of a and b elements link."""
-    return ceil(round(least * (a + b) / (1 + least), 9))
-
-
-def divide_skip(lists: list[np.ndarray], n: int, sizes: np.ndarray, least: float) -> dict[int, int]:
-    """Positions of the sets that link with a query of n shingles, and their overlap.
+def divide_skip(
+    lists: list[np.ndarray], n: int, sizes: np.ndarray, least: float, open_to: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the sets that link with a query of n shingles, ascending, and their overlaps.
 
     `lists` has, for each shingle of the query that other sets hold, the ascending positions of
-    these sets; `sizes` the sets' sizes.  No partner needs less than `floor` common
-    shingles, so the floor - 1 longest lists can be left to binary search.
+    these sets; `sizes` the sets' sizes; `open_to` marks the positions that are of interest.  No partner needs less than
+    `floor` common shingles, so the floor - 1 longest lists can be left to binary search.  The short ones are
+    merged run by run (a stable sort of sorted runs, where a heap would take a step of Python for each posting).
     """
     floor = ceil(round(least * n, 9))
+    none = np.empty(0, dtype=np.int64)
     if len(lists) < floor:
-        return {}
+        return none, none
     lists = sorted(lists, key=len)
     short = lists[: len(lists) - floor + 1]
     long_lists = lists[len(short) :]
-    found = {}
-    for position, same in groupby(heapq.merge(*[held.tolist() for held in short])):
-        size = int(sizes[position])
-        if size < least * n - 1e-9 or n < least * size - 1e-9:
-            continue
-        overlap, wanted = sum(1 for _ in same), required(n, size, least)
-        for left, held in zip(range(len(long_lists), 0, -1), long_lists, strict=True):
-            if overlap + left < wanted:
-                break
-            at = bisect_left(held, position)
-            overlap += at < len(held) and held[at] == position
-        if overlap >= wanted:
-            found[position] = overlap
-    return found
+    merged = np.sort(np.concatenate(short), kind="stable")
+    if open_to is not None:
+        merged = merged[open_to[merged]]
+    if not len(merged):
+        return none, none
+    heads = np.flatnonzero(np.diff(merged, prepend=-1))
+    found, overlap = merged[heads], np.diff(heads, append=len(merged))
+    size = sizes[found]
+    wanted = np.ceil(np.round(least * (n + size) / (1 + least), 9)).astype(np.int64)
+    kept = (size >= least * n - 1e-9) & (n >= least * size - 1e-9)
+    for left, held in zip(range(len(long_lists), -1, -1), [*long_lists, none], strict=True):
+        kept &= overlap + left >= wanted
+        if not kept.all():
+            found, overlap, wanted = found[kept], overlap[kept], wanted[kept]
+            kept = kept[kept]
+        if not len(found):
+            break
+        if left:
+            at = np.minimum(np.searchsorted(held, found), len(held) - 1)
+            overlap = overlap + (held[at] == found)
+    return found, overlap
 
 
 class Inverted:
@@ -141,28 +144,21 @@ def _search_block(rows: list[tuple[int, int, int, np.ndarray]], least: float) ->
 
     Shingles that no other set holds may be missing: the size counts them.
     """
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    members: dict[int, int] = {}
-    for _, component, *_ in rows:
-        members[component] = members.get(component, 0) + 1
-    largest = max(members, key=lambda c: (members[c], c))
+    _, label, members = np.unique([component for _, component, *_ in rows], return_inverse=True, return_counts=True)
+    largest = members.argmax()
     index = Inverted([x for *_, x in rows])
     sizes, links = np.array([n for _, _, n, _ in rows]), []
-    for cls, component, n, shingles in rows:
-        if component == largest:
-            continue  # a link between components has an end outside the largest one
-        for position in divide_skip(index.shared(shingles), n, sizes, least):
-            other, there, *_ = rows[position]
-            if root(component) != root(there):
-                parent[root(component)] = root(there)
-                links.append((cls, other))
+    # a link between components has an end outside the largest one
+    for k in np.flatnonzero(label != largest).tolist():
+        cls, _, n, shingles = rows[k]
+        apart = label != label[k]
+        if not apart.any():
+            continue
+        found, _ = divide_skip(index.shared(shingles), n, sizes, least, apart)
+        for position in found.tolist():
+            if label[position] != label[k]:
+                label[label == label[position]] = label[k]
+                links.append((cls, rows[position][0]))
     return links
 
 
@@ -220,19 +216,41 @@ def _in_several(docs: DataFrame, width: int, least: float, common) -> np.ndarray
     return found
 
 
-def _candidates(docs: DataFrame, width: int, least: float, common, shared) -> DataFrame:
-    """(cls, shingles) of the sets that perhaps have a first shingle in common with another class."""
+def _heads(docs: DataFrame, width: int, least: float, common, shared) -> DataFrame:
+    """(cls, n, heads): the size of each set and those of its first shingles that perhaps stand in another class, if any."""
 
     def run(batches):
         for batch in batches:
             for _, sets in _sets(batch, 0, width):
-                out = [x for x in sets if len(x) and perhaps(shared.value, _prefix(x, common.value, least)).any()]
+                out = []
+                for x in sets:
+                    heads = _prefix(x, common.value, least) if len(x) else x
+                    heads = heads[perhaps(shared.value, heads)]
+                    if len(heads):
+                        out.append((_signature(x), len(x), long(heads)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_signature(x) for x in out], pa.int64()), pa.array([long(x) for x in out], pa.list_(pa.int64()))],
-                    ["cls", "shingles"],
+                    [*[pa.array([row[k] for row in out], pa.int64()) for k in (0, 1)], pa.array([h for *_, h in out], pa.list_(pa.int64()))],
+                    ["cls", "n", "heads"],
                 )
 
-    return docs.mapInArrow(run, "cls long, shingles array<long>").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    found = docs.mapInArrow(run, "cls long, n long, heads array<long>")
+    return found.groupBy("cls").agg(F.first("n").alias("n"), F.first("heads").alias("heads"))
+
+
+def _candidates(docs: DataFrame, width: int, wanted) -> DataFrame:
+    """(cls, shingles) of the classes that `wanted`, a bitmap of signatures, perhaps holds."""
+
+    def run(batches):
+        for batch in batches:
+            for _, sets in _sets(batch, 0, width):
+                classes = np.array([_signature(x) for x in sets], dtype=np.int64)
+                kept = np.flatnonzero(perhaps(wanted.value, classes.view(np.uint64))).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(classes[kept]), pa.array([long(sets[k]) for k in kept], pa.list_(pa.int64()))], ["cls", "shingles"]
+                )
+
+    found = docs.mapInArrow(run, "cls long, shingles array<long>").filter(F.size("shingles") > 0)
+    return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
 def _levels(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -304,15 +322,13 @@ def _common_firsts(n, m, least: float):
     return F.ceil(F.round(least * (n + m) / (1 + least), 9)) - F.ceil(F.round(least * F.greatest(n, m), 9)) + 1
 
 
-def _open_lists(postings: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """(shingle, cls, n, component) of the lists that hold several components, without classes that can link with none there.
+def _open_lists(postings: DataFrame, least: float) -> DataFrame:
+    """(shingle, cls, n, component) of the lists that hold several components, without classes that can link with none there; stored.
 
     Of the sizes a class can link with in a list, the farthest from its own ask for the fewest common first shingles; a class that
     has fewer in all its lists leaves this one.
     """
-    held = stored(
-        postings.join(roots.withColumnRenamed("id", "cls"), "cls", "left").select("shingle", "cls", "n", F.coalesce("root", "cls").alias("component"))
-    )
+    held = stored(postings)
     for _ in range(CLEARED):
         lists = held.groupBy("shingle").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("small"), F.max("n").alias("large")
@@ -331,7 +347,8 @@ def _open_lists(postings: DataFrame, roots: DataFrame, least: float) -> DataFram
 
 def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, least: float) -> DataFrame:
     """(a, b): links between components, found in the lists that hold several."""
-    labelled = _open_lists(postings, roots, least)
+    components = postings.join(roots.withColumnRenamed("id", "cls"), "cls", "left")
+    labelled = _open_lists(components.select("shingle", "cls", "n", F.coalesce("root", "cls").alias("component")), least)
     lists = labelled.groupBy("shingle").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
@@ -380,7 +397,10 @@ def _grouped(rows: DataFrame, width: int, least: float) -> DataFrame:
     described = stored(_described(rows, width))
     common = context.broadcast(_in_several(texts, width, least, context.broadcast(np.zeros(2 ** (BITS - 6), dtype=np.uint64))))
     shared = context.broadcast(_in_several(texts, width, least, common))
-    sets = stored(_candidates(texts, width, least, common, shared))
+    heads = _heads(texts, width, least, common, shared).select(F.explode("heads").alias("shingle"), "cls", "n", F.col("cls").alias("component"))
+    able = _open_lists(heads, least)
+    sets = stored(_candidates(texts, width, context.broadcast(bitmap(able.select("cls").distinct(), "cls"))))
+    discard(able)
     counts = stored(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= LEVELS[0]))
     classes = stored(_ranked(sets, context.broadcast(_levels(counts)), least))
     discard(sets, counts)
