@@ -168,6 +168,12 @@ def kmeans_outliers(spark, folder):
     return found(clusters.navigation_edges(series(spark, folder), months(spark, folder), targets(spark, folder), k=50))
 
 
+def kmeans_as_of(spark, folder):
+    """Each target month's outliers among clusters of the months up to it."""
+    rows = series(spark, folder)
+    return found(clusters.navigation_edges(rows, months(spark, folder), targets(spark, folder), k=10, max_iterations=20, scope="as_of"))
+
+
 def full_run(spark, folder):
     run = rolling.rolling_run(clicks(spark, folder), months(spark, folder), clusters={"k": 50}, forecasts={"method": "trend"})
     return rounded(run)
@@ -418,6 +424,7 @@ def queries():
         "edge_features": _monthly(series, lambda s, m: rounded(edges.edge_features(s, m))),
         "centroid_outliers": centroid_outliers,
         "kmeans_outliers": kmeans_outliers,
+        "kmeans_as_of": kmeans_as_of,
         "full_run": full_run,
         "last_six_months": _monthly(series, lambda s, m: edges.last_months(s, m)),
         "top_ten_referrers": _monthly(clicks, lambda c, m: referrers.top_referrers(c, m)),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailmark.functions.scores import mix_confidence, robust_z, spike_confidence
-from trailmark.operators import edges
+from trailmark.operators import edges, kmeans
 from trailmark.operators.clusters import centroid_distances, feature_vectors, kmeans_distances, navigation_edges
 from trailmark.operators.mixshift import js_shift, mix_shifts
 from trailmark.operators import referrers
@@ -211,3 +211,56 @@ def test_centroid_distances(spark):
     rows = spark.createDataFrame([(1, [0.0, 0.0], 7), (2, [2.0, 0.0], 7), (3, [5.0, 5.0], 8)], "id int, v array<float>, c int")
     got = {r["id"]: r["distance_to_center"] for r in centroid_distances(rows, "id", "v", "c").collect()}
     assert got == {1: 1.0, 2: 1.0, 3: 0.0}
+
+
+def brute_fit(raw, k, start_of, tolerance=1e-4, rounds=100):
+    """Standardised features, and Lloyd's rounds from given centres, in plain numpy over all rows."""
+    deviation = raw.std(axis=0, ddof=1)
+    scaled = (raw - raw.mean(axis=0)) / np.where(deviation > 0, deviation, 1.0)
+    centres = start_of(scaled)
+    for _ in range(rounds):
+        label = np.square(scaled[:, None] - centres[None]).sum(axis=2).argmin(axis=1)
+        moved = np.array([scaled[label == c].mean(axis=0) if (label == c).any() else centres[c] for c in range(len(centres))])
+        still = (np.linalg.norm(moved - centres, axis=1) <= tolerance).all()
+        centres = moved
+        if still:
+            break
+    label = np.square(scaled[:, None] - centres[None]).sum(axis=2).argmin(axis=1)
+    return scaled, centres, label, np.linalg.norm(scaled - centres[label], axis=1)
+
+
+def test_kmeans_does_not_depend_on_the_layout(clicks_of):
+    series = many_edges(clicks_of)
+    found = []
+    for parts in (3, 17):
+        rows = kmeans.with_draws(kmeans.as_of_rows(series.repartition(parts)), 42)
+        found.append(kmeans.fit_spans(rows.repartition(parts), len(MONTHS), [2, len(MONTHS)], k=5))
+    for a, b in zip(*found):
+        assert a.span == b.span and (a.centres == b.centres).all() and (a.deviation == b.deviation).all()
+
+
+def test_kmeans_against_brute_force(clicks_of):
+    series = many_edges(clicks_of)
+    vectors = {(r["prev"], r["curr"], r["type"]): r["features_raw"] for r in feature_vectors(series, MONTHS).collect()}
+    names = sorted(vectors)
+    rows = kmeans.with_draws(kmeans.as_of_rows(series), 42)
+    fits = kmeans._standard(rows, len(MONTHS), [len(MONTHS)])
+    kmeans._begin(rows, len(MONTHS), fits[0], 5, 42, 2)
+    scaled, _, label, away = brute_fit(np.array([vectors[n] for n in names]), 5, lambda _: fits[0].centres / kmeans.STEP)
+    got = {(r["prev"], r["curr"], r["type"]): r for r in kmeans_distances(series, MONTHS, k=5).collect()}
+    for n, x, c, d in zip(names, scaled, label, away):
+        assert got[n]["prediction"] == c and got[n]["distance_to_center"] == pytest.approx(d, abs=1e-5)
+        assert got[n]["features"] == pytest.approx(list(x), abs=1e-5)
+
+
+def test_as_of_features_are_those_of_the_months_so_far(clicks_of):
+    rows = [("A", "B", "link", "2024-01", 4), ("A", "B", "link", "2024-03", 10), ("C", "B", "other", "2024-02", 6)]
+    series = edges.edge_series(clicks_of(rows), MONTHS)
+    stored = kmeans.as_of_rows(series).toArrow().combine_chunks().to_batches()[0]
+    held = kmeans.Batch(stored, len(MONTHS))
+    names = stored.column(stored.schema.get_field_index("prev")).to_pylist()
+    for span in range(1, len(MONTHS) + 1):
+        at, raw = held.features(span)
+        part = series.withColumn("series", F.slice("series", 1, span)).filter(F.exists("series", lambda n: n.isNotNull()))
+        want = {r["prev"]: r["features_raw"] for r in feature_vectors(part, MONTHS[:span]).collect()}
+        assert {names[k]: list(x) for k, x in zip(at, raw)} == want

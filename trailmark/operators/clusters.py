@@ -1,18 +1,17 @@
 """Navigation edges that lie far from the centre of their cluster."""
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.lineage import cut_lineage
-from trailmark.functions.quantile import exact_percentile
+from trailmark.functions.quantile import exact_percentile, exact_percentiles
 from trailmark.functions.scores import edge_outlier_confidence, euclidean, guarded_ratio
 from trailmark.functions.skew import salted_join
 from trailmark.functions.text import fixed
 from trailmark.operators.edges import with_stats
+from trailmark.operators.kmeans import as_of_rows, distances, fit_spans, with_draws
 from trailmark.schema import EDGE, anomaly_id, as_anomalies
 
 
@@ -32,38 +31,13 @@ def feature_vectors(series: DataFrame, months: list[str]) -> DataFrame:
     return rows.filter(F.forall("features_raw", lambda x: x.isNotNull() & ~F.isnan(x)))
 
 
-def standardise(rows: DataFrame, vector: str = "features_raw") -> DataFrame:
-    """Zero mean and unit deviation per feature; adds ``features`` (ML vector)."""
-    vectors = rows.withColumn(vector, array_to_vector(vector))
-    scaler = StandardScaler(inputCol=vector, outputCol="features", withMean=True, withStd=True)
-    return scaler.fit(vectors).transform(vectors)
-
-
-def distance_to(centres: list[list[float]], features: Column, cluster: Column) -> Column:
-    """Distance to the assigned centre; the centres (k x dims) are a literal."""
-    rows = ", ".join(f"array({', '.join(f'{float(x)!r}D' for x in c)})" for c in centres)
-    return euclidean(features, F.element_at(F.expr(f"array({rows})"), cluster + 1))
-
-
 def kmeans_distances(
     series: DataFrame, months: list[str], k: int = 50, max_iterations: int = 100, seed: int = 42
 ) -> DataFrame:
-    """Cluster the edges and give each its distance to its centre, as a stored table.
-
-    Rows are laid out by key before fitting, since the start of k-means depends
-    on row order; the same data in the same number of partitions gives the same
-    model.
-    """
-    spark = series.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = feature_vectors(series, months).repartition(slices, *EDGE).sortWithinPartitions(*EDGE)
-    scaled = standardise(cut_lineage(laid_out))
-    model = KMeans(k=k, maxIter=max_iterations, seed=seed, featuresCol="features").fit(scaled)
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
-    assigned = model.transform(scaled)
-    away = distance_to(centres, vector_to_array("features"), F.col("prediction"))
-    scored = assigned.select(*EDGE, "baseline_median", "features", "prediction", away.alias("distance_to_center"))
-    return cut_lineage(scored)
+    """Cluster the edges and give each its distance to its centre, as a stored table with the standardised ``features``."""
+    rows = with_draws(as_of_rows(series), seed)
+    fits = fit_spans(rows, len(months), [len(months)], k, max_iterations, seed)
+    return cut_lineage(distances(rows, len(months), fits, with_features=True).drop("span"))
 
 
 def navigation_edges(
@@ -79,30 +53,33 @@ def navigation_edges(
     """Edges at or beyond the distance percentile, reported for each target month.
 
     ``scope="all_months"`` fits once on all months, so every target repeats the
-    same edges; ``"as_of"`` fits each target on the months up to it.
+    same edges; ``"as_of"`` fits each target on the months up to it, all of them in the same passes over the rows.
     """
     if scope == "all_months":
-        fits = [(months, targets)]
-    elif scope == "as_of":
-        fits = [(months[: months.index(t) + 1], [t]) for t in targets]
-    else:
+        return outlier_anomalies(kmeans_distances(series, months, k, max_iterations, seed), percentile, targets)
+    if scope != "as_of":
         raise ValueError(f"unknown scope: {scope}")
-    out = None
-    for span, reported in fits:
-        part = series.withColumn("series", F.slice("series", 1, len(span)))
-        part = part.filter(F.exists("series", lambda n: n.isNotNull()))
-        scored = kmeans_distances(part, span, k, max_iterations, seed)
-        found = outlier_anomalies(scored, percentile, reported)
-        out = found if out is None else out.unionByName(found)
-    return out
+    spans = {months.index(t) + 1: t for t in targets}
+    rows = with_draws(as_of_rows(series), seed)
+    fits = fit_spans(rows, len(months), [*spans, len(months)], k, max_iterations, seed)
+    scored = cut_lineage(distances(rows, len(months), [f for f in fits if f.span in spans]))
+    limits = exact_percentiles(scored, "span", "distance_to_center", percentile / 100)
+    if not limits:
+        return outlier_anomalies(scored, percentile, targets).limit(0)
+    table = scored.sparkSession.createDataFrame([(s, spans[s], v) for s, v in limits.items()], "span int, month string, limit double")
+    far = scored.join(F.broadcast(table), "span").filter("distance_to_center >= limit")  # one row for each target month
+    return _as_outliers(far, F.col("limit"))
 
 
 def outlier_anomalies(scored: DataFrame, percentile: float, targets: list[str]) -> DataFrame:
     threshold = exact_percentile(scored, "distance_to_center", percentile / 100)
     limit = float("inf") if threshold is None else threshold
     far = scored.filter(F.col("distance_to_center") >= limit)
+    return _as_outliers(far.withColumn("month", F.explode(F.array(*[F.lit(t) for t in targets]))), F.lit(limit))
+
+
+def _as_outliers(rows: DataFrame, limit: Column) -> DataFrame:
     kind, distance = F.lit("navigation_edge"), F.col("distance_to_center")
-    rows = far.withColumn("month", F.explode(F.array(*[F.lit(t) for t in targets])))
     return as_anomalies(
         rows.select(
             anomaly_id(kind, "month", *EDGE).alias("anomaly_id"),
