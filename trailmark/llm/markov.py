@@ -205,11 +205,11 @@ def first_states(mass: np.ndarray, states: int, seed: int = 7, stay: float = 0.9
 
 
 class Spans:
-    """The spans of several texts, laid end to end as in `ends`."""
+    """The spans of several texts, laid end to end as in `ends`, with the recursion in numbers of `kind`."""
 
-    def __init__(self, codes: np.ndarray, ends: np.ndarray, states: States):
-        self.codes, self.states, self.k = codes, states, len(states.start)
-        self.by_class = np.ascontiguousarray(states.emission.T)
+    def __init__(self, codes: np.ndarray, ends: np.ndarray, states: States, kind=np.float64):
+        self.codes, self.k, self.kind = codes, len(states.start), kind
+        self.moves, self.by_class = states.moves.astype(kind), np.ascontiguousarray(states.emission.T, dtype=kind)
         sizes = np.diff(ends)
         spans = -(-sizes // SPAN)
         self.first_of = np.cumsum(spans) - spans  # the number of each text's first span
@@ -217,8 +217,8 @@ class Spans:
         number = np.arange(spans.sum()) - self.first_of[self.text]
         self.begin = ends[:-1][self.text] + number * SPAN
         self.length = np.minimum(SPAN, ends[1:][self.text] - self.begin)
-        self.before = np.tile(states.start, (len(self.text), 1))
-        self.after = np.ones((len(self.text), self.k))
+        self.before = np.tile(states.start.astype(kind), (len(self.text), 1))
+        self.after = np.ones((len(self.text), self.k), dtype=kind)
         self._carry()
 
     def groups(self, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -239,16 +239,16 @@ class Spans:
         several = np.flatnonzero(self.spans[self.text] > 1)
         if not len(several):
             return
-        products = np.empty((len(several), self.k, self.k))
+        products = np.empty((len(several), self.k, self.k), dtype=self.kind)
         place = np.searchsorted(several, np.arange(len(self.text) + 1))
         for group, active in self.groups(several):
-            emitted, held = self.emitted(group, len(active)), np.tile(np.eye(self.k), (len(group), 1, 1))
+            emitted, held = self.emitted(group, len(active)), np.tile(np.eye(self.k, dtype=self.kind), (len(group), 1, 1))
             other = np.empty_like(held)
             for step, n in enumerate(active.tolist()):
                 moved = other[:n]
-                np.matmul(held[:n].reshape(-1, self.k), self.states.moves, out=moved.reshape(-1, self.k))
+                np.matmul(held[:n].reshape(-1, self.k), self.moves, out=moved.reshape(-1, self.k))
                 np.multiply(moved, emitted[step, :n, None, :], out=held[:n])
-                if step % 8 == 7:
+                if step % 4 == 3:
                     held[:n] /= held[:n].sum(axis=(1, 2), keepdims=True)
             products[place[group]] = held / held.sum(axis=(1, 2), keepdims=True)
         texts = np.flatnonzero(self.spans > 1)
@@ -264,11 +264,11 @@ class Spans:
 
     def _forward(self, group, active, emitted):
         reached = np.zeros_like(emitted)
-        scale = np.ones(emitted.shape[:2])
-        now, every = self.before[group], np.ones(self.k)
+        scale = np.ones(emitted.shape[:2], dtype=self.kind)
+        now, every = self.before[group], np.ones(self.k, dtype=self.kind)
         for step, n in enumerate(active.tolist()):
             here = reached[step, :n]
-            np.matmul(now[:n], self.states.moves, out=here)
+            np.matmul(now[:n], self.moves, out=here)
             here *= emitted[step, :n]
             np.matmul(here, every, out=scale[step, :n])
             here /= scale[step, :n, None]
@@ -285,13 +285,13 @@ class Spans:
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """How often, in expectation, a text starts in each state, each move is made, each state emits each class."""
-        start, moves, emission = np.zeros(self.k), np.zeros((self.k, self.k)), np.zeros_like(self.states.emission)
+        start, moves, emission = np.zeros(self.k), np.zeros((self.k, self.k)), np.zeros(self.by_class.T.shape)
         for group, active in self.groups(np.arange(len(self.text))):
             emitted = self.emitted(group, len(active))
             reached, scale = self._forward(group, active, emitted)
             last = reached[self.length[group] - 1, np.arange(len(group))]
             share = 1 / (last * self.after[group]).sum(axis=1)
-            returning = np.ascontiguousarray(self.states.moves.T)
+            returning = np.ascontiguousarray(self.moves.T)
             back, backs, ahead = self.after[group].copy(), np.zeros_like(emitted), np.zeros_like(emitted)
             for step in range(len(active) - 1, -1, -1):
                 n = active[step]
@@ -309,7 +309,7 @@ class Spans:
             start += (self.before[group] * back * share[:, None])[opening].sum(axis=0)
             earlier = np.concatenate([self.before[group][None], reached[:-1]]).reshape(-1, self.k)
             moves += earlier.T @ (ahead * share[None, :, None]).reshape(-1, self.k)
-        return start, moves * self.states.moves, emission
+        return start, moves * self.moves, emission
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,7 +328,8 @@ def _summed(encoded: DataFrame, states: States) -> States | None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, classes + k + 1))
         for batch in batches:
-            start, moves, emission = Spans(*_flat(batch.column(0)), shared.value).expected()
+            # single precision is enough for expected counts, which are summed in double; scores are in double throughout
+            start, moves, emission = Spans(*_flat(batch.column(0)), shared.value, np.float32).expected()
             total += np.concatenate([emission, moves, start[:, None]], axis=1)
         state, cell = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
