@@ -433,6 +433,7 @@ def queries():
         "forecast_trend": by(forecast, every=True, **trend),
         "forecast_smoothing": by(forecast, every=True, method="exponential"),
         "forecast_arima": by(forecast, every=True, method="arima"),
+        "forecast_change_points": by(forecast, every=True, method="change_points"),
         "forecast_ahead": by(forecast, method="moving_avg", include_target=False, every=True),
         "forecast_flag_counts": _monthly(series, lambda s, m: reports.flagged_counts(forecasts.forecast_metrics(s, m, targets=m[3:], **trend))),
         "enriched_anomalies": _on(enriched_run, rounded),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trailmark.functions import series as S
 from trailmark.schema import EDGE
 
-METHODS = ("auto", "trend", "arima", "exponential", "moving_avg")
+METHODS = ("auto", "trend", "change_points", "arima", "exponential", "moving_avg")
 FLOOR = 0.1  # counts are raised to this before fitting
 NORMAL_95 = 1.96
 NORMAL_80 = 1.2815515655446004
@@ -101,42 +101,118 @@ def _exponential(df: DataFrame) -> DataFrame:
     return df.withColumn("_forecast", _clamped_band("_fit.ahead", "_half")).drop("_y", "_slope", "_fit", "_half")
 
 
-def _css(steps: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared error and last error of ARMA(1,1) on differences, per row and parameter pair."""
-    error = np.zeros((len(steps), phi.shape[-1]))
-    total = np.zeros_like(error)
-    for t in range(1, steps.shape[1]):
-        error = steps[:, [t]] - phi * steps[:, [t - 1]] - theta * error
-        total += error * error
-    return total, error
+def exact_innovations(steps: np.ndarray, phi: np.ndarray, theta: np.ndarray):
+    """The Kalman filter of an ARMA(1,1) over rows of ``steps``, for each row and parameter pair.
+
+    Returns the logarithm of the exact likelihood with the innovation variance at its best, that variance, and the
+    forecast of the next step.  A step's forecast error has the variance r times that of the innovations; r falls from the
+    stationary variance to 1 as the start is forgotten.
+    """
+    r = (1 + 2 * phi * theta + theta**2) / (1 - phi**2)
+    expected = np.zeros(np.broadcast_shapes(phi.shape, (len(steps), 1)))
+    r = np.broadcast_to(r, expected.shape)
+    squares, logs = np.zeros_like(expected), np.zeros_like(expected)
+    for t in range(steps.shape[1]):
+        error = steps[:, [t]] - expected
+        squares += error * error / r
+        logs += np.log(r)
+        expected = phi * steps[:, [t]] + theta / r * error
+        r = 1 + theta**2 - theta**2 / r
+    count = steps.shape[1]
+    variance = np.maximum(squares / count, 1e-24)
+    return -0.5 * (count * (np.log(2 * np.pi * variance) + 1) + logs), variance, expected, r
 
 
 def arima_111(values: pd.Series) -> pd.DataFrame:
-    """ARIMA(1,1,1) one step ahead by conditional least squares, many series at once.
+    """ARIMA(1,1,1) one step ahead by exact maximum likelihood, many series at once.
 
-    A coarse grid over both parameters is refined once around its best pair.
+    A coarse grid over both parameters is refined around its best pair until steps are below 1e-5.
     """
     out = np.full((len(values), 3), np.nan)
     lengths = values.map(lambda v: 0 if v is None else len(v)).to_numpy()
     phi0, theta0 = (g.ravel() for g in np.meshgrid(ARIMA_GRID, ARIMA_GRID))
-    fine = np.linspace(-0.04, 0.04, 5)
-    dphi, dtheta = (g.ravel() for g in np.meshgrid(fine, fine))
+    around = np.linspace(-1.0, 1.0, 5)
+    dphi, dtheta = (g.ravel() for g in np.meshgrid(around, around))
     for size in np.unique(lengths[lengths >= 3]):
         rows = np.flatnonzero(lengths == size)
         y = np.stack([np.asarray(values.iloc[r], dtype=float) for r in rows])
-        steps = np.diff(y, axis=1)
-        squares, _ = _css(steps, phi0[None, :], theta0[None, :])
-        best = squares.argmin(axis=1)
-        phi = phi0[best][:, None] + dphi[None, :]
-        theta = theta0[best][:, None] + dtheta[None, :]
-        squares, error = _css(steps, phi, theta)
-        best, at = squares.argmin(axis=1), np.arange(len(rows))
-        sigma = np.sqrt(squares[at, best] / (size - 2))
-        centre = y[:, -1] + phi[at, best] * steps[:, -1] + theta[at, best] * error[at, best]
+        steps, at = np.diff(y, axis=1), np.arange(len(rows))
+        best = exact_innovations(steps, phi0[None, :], theta0[None, :])[0].argmax(axis=1)
+        phi, theta, wide = phi0[best], theta0[best], 0.1
+        while wide > 1e-5:
+            near = [np.clip(p[:, None] + wide * d[None, :], -0.999, 0.999) for p, d in ((phi, dphi), (theta, dtheta))]
+            best = exact_innovations(steps, *near)[0].argmax(axis=1)
+            phi, theta, wide = near[0][at, best], near[1][at, best], wide / 2
+        _, variance, ahead, r = (x[:, 0] for x in exact_innovations(steps, phi[:, None], theta[:, None]))
+        sigma, centre = np.sqrt(variance * r), y[:, -1] + ahead
         out[rows, 0], out[rows, 1], out[rows, 2] = centre, centre - NORMAL_95 * sigma, centre + NORMAL_95 * sigma
     return pd.DataFrame(np.maximum(out, 0.0), columns=["n", "lower", "upper"])
 
 
+#: Change points are looked for at so many places at most, in the first part of a series.
+CHANGES, CHANGE_RANGE = 25, 0.8
+#: Expected size of a change of slope, in heights of the series per its length.
+CHANGE_SCALE = 0.05
+
+
+def change_point_fit(x: np.ndarray, y: np.ndarray, scale: float = CHANGE_SCALE, outer: int = 4, sweeps: int = 40):
+    """Piecewise straight lines through rows of points, with an L1 penalty on the changes of slope.
+
+    Rows of ``x`` ascend.  Intercept and slope are free: they are projected out, the changes follow by coordinate
+    descent for all rows at once, with the penalty in proportion to the variance left.  Returns
+    (intercept, slope, changes, places, deviation) in the given units.
+    """
+    rows, size = y.shape
+    start, length = x[:, :1], np.maximum(x[:, -1:] - x[:, :1], 1e-9)
+    height = np.maximum(np.abs(y).max(axis=1, keepdims=True), 1e-9)
+    t, z = (x - start) / length, y / height
+    inner = max(int(np.floor(size * CHANGE_RANGE)) - 1, 0)
+    at = np.unique(np.round(np.linspace(0, inner, min(CHANGES, inner) + 1)[1:]).astype(int)) if inner else np.empty(0, dtype=int)
+    places = t[:, at]
+    bends = np.maximum(t[:, :, None] - places[:, None, :], 0.0)
+    line = np.stack([np.ones_like(t), t], axis=2)
+    inverse = np.linalg.pinv(line)
+    out_of = lambda m: m - line @ (inverse @ m)
+    free, left = out_of(bends), out_of(z[:, :, None])[:, :, 0]
+    norms = np.maximum(np.square(free).sum(axis=1), 1e-12)
+    changes = np.zeros((rows, len(at)))
+    for _ in range(outer):
+        penalty = np.maximum(np.square(left).mean(axis=1), 1e-8) / scale
+        for _ in range(sweeps):
+            for j in range(len(at)):
+                column = free[:, :, j]
+                pull = (column * left).sum(axis=1) + norms[:, j] * changes[:, j]
+                moved = np.sign(pull) * np.maximum(np.abs(pull) - penalty, 0.0) / norms[:, j]
+                left = left - column * (moved - changes[:, j])[:, None]
+                changes[:, j] = moved
+    rest = z - (bends @ changes[:, :, None])[:, :, 0]
+    base = (inverse @ rest[:, :, None])[:, :, 0]
+    slope = base[:, 1] * height[:, 0] / length[:, 0]
+    intercept = base[:, 0] * height[:, 0] - slope * start[:, 0]
+    deviation = np.sqrt(np.square(left).mean(axis=1)) * height[:, 0]
+    return intercept, slope, changes * height / length, places * length + start, deviation
+
+
+def change_point_forecast(points: pd.Series) -> pd.DataFrame:
+    """The bent line of each series at the next month start, with an 80 % band of what it leaves over."""
+    out = np.full((len(points), 3), np.nan)
+    lengths = points.map(lambda v: 0 if v is None else len(v)).to_numpy()
+    for size in np.unique(lengths[lengths >= 3]):
+        for rows in np.array_split(np.flatnonzero(lengths == size), -(-int((lengths == size).sum()) // 500)):
+            x, y, ahead = (np.array([[p[name] for p in points.iloc[r]] for r in rows], dtype=float) for name in ("x", "y", "next"))
+            intercept, slope, changes, places, deviation = change_point_fit(x, y)
+            then = ahead[:, -1]
+            centre = intercept + slope * then + (changes * np.maximum(then[:, None] - places, 0.0)).sum(axis=1)
+            half = NORMAL_80 * deviation
+            out[rows, 0], out[rows, 1], out[rows, 2] = centre, centre - half, centre + half
+    return pd.DataFrame(out, columns=["n", "lower", "upper"])
+
+
+def _change_points(df: DataFrame) -> DataFrame:
+    forecast = F.pandas_udf(change_point_forecast, "n double, lower double, upper double")
+    return df.withColumn("_forecast", forecast("_points"))
+
+
 def _arima(df: DataFrame) -> DataFrame:
     forecast = F.pandas_udf(arima_111, "n double, lower double, upper double")
     return df.withColumn("_forecast", forecast(F.expr("transform(_points, p -> p.y)")))
@@ -147,6 +223,7 @@ _FITTERS = {
     "trend": _trend,
     "exponential": _exponential,
     "arima": _arima,
+    "change_points": _change_points,
 }
 
 
@@ -160,7 +237,7 @@ def fit_series(df: DataFrame, method: str = "auto") -> DataFrame:
         raise ValueError(f"unknown method: {method}")
     chosen = "trend" if method == "auto" else method
     fitted = _FITTERS[chosen](df)
-    if chosen == "arima":
+    if chosen in ("arima", "change_points"):
         fitted = _moving_average(fitted.withColumnRenamed("_forecast", "_tried"))
         usable = F.col("_tried.n").isNotNull() & ~F.isnan("_tried.n")
         fitted = fitted.withColumn("_forecast", F.when(usable, F.col("_tried")).otherwise(F.col("_forecast")))
