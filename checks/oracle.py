@@ -483,6 +483,8 @@ def oracle_sql() -> dict[str, str]:
         "forecast_flag_counts": "SELECT count(*) AS rows, count(*) FILTER (forecast_flag) AS flagged FROM compared WHERE month >= '" + FIRST_TARGET + "'",
         "enriched_anomalies": rounded("enriched", *FULL),
         "enriched_stored_anomalies": rounded("enriched", *FULL),
+        "sketch_baselines": """SELECT prev, curr, round(avg(n), 6) AS baseline_mean, round(coalesce(stddev_samp(n), 0.01), 6) AS baseline_std,
+            true AS median_in_bounds FROM hours GROUP BY ALL""",
         "node_degree": "SELECT month, node, degree FROM degrees",
         "pagerank": "SELECT month, node, round(r, 6) AS pagerank FROM ranks",
         "heaviest_edges": """SELECT month, prev, curr, weight FROM links

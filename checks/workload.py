@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from trailmark.functions.lineage import cut_lineage, scratch_path
 from trailmark.functions.text import decode_title, encode_title
-from trailmark.operators import clusters, edges, forecasts, graph, mixshift, referrers, spikes
+from trailmark.operators import clusters, edges, forecasts, graph, mixshift, referrers, sketches, spikes
 from trailmark.operators.cleaning import clean_clicks, page_category
 from trailmark.plans import explain, pageviews, reports, rolling
 from trailmark.schema import EDGE
@@ -347,6 +347,25 @@ def hourly_baselines(spark, folder):
     return edges.period_baselines(windows.window_counts(derived.event_transitions(spark, folder)), ["prev", "curr"])
 
 
+def sketch_baselines(spark, folder):
+    """Baselines of event windows from stored month sketches, the last month put in by itself.
+
+    Medians differ from run to run within the sketch's error, so the query tells whether their rank is in bounds.
+    """
+    keys, path = ["prev", "curr"], scratch_path(spark, "sketches")
+    history = windows.window_counts(derived.event_transitions(spark, folder))
+    history = cut_lineage(history.select(*keys, "n", F.date_format("window_start", "yyyy-MM").alias("month")))
+    last = history.agg(F.max("month").alias("m")).first().m
+    for part in (F.col("month") < last, F.col("month") == last):
+        sketches.keep_months(sketches.month_sketches(history.filter(part), keys), path)
+    rows = sketches.merged_baselines(sketches.read_sketches(spark, path), keys)
+    below, upto = (F.avg((history["n"] < F.col("m")).cast("double")), F.avg((history["n"] <= F.col("m")).cast("double")))
+    ranks = history.join(rows.select(*keys, F.col("baseline_median").alias("m")), keys).groupBy(*keys).agg(
+        ((below <= 0.5 + sketches.RANK_ERROR) & (upto >= 0.5 - sketches.RANK_ERROR)).alias("median_in_bounds")
+    )
+    return rounded(rows.join(ranks, keys).select(*keys, "baseline_mean", "baseline_std", "median_in_bounds"))
+
+
 def replayed(spark, folder):
     """The event transitions as a stream: written week by week, then read back in order.
 
@@ -423,6 +442,7 @@ def queries():
         "stored_anomalies": stored_anomalies,
         "edge_features": _monthly(series, lambda s, m: rounded(edges.edge_features(s, m))),
         "centroid_outliers": centroid_outliers,
+        "sketch_baselines": sketch_baselines,
         "kmeans_outliers": kmeans_outliers,
         "kmeans_as_of": kmeans_as_of,
         "full_run": full_run,
