@@ -483,6 +483,11 @@ def oracle_sql() -> dict[str, str]:
         "forecast_flag_counts": "SELECT count(*) AS rows, count(*) FILTER (forecast_flag) AS flagged FROM compared WHERE month >= '" + FIRST_TARGET + "'",
         "enriched_anomalies": rounded("enriched", *FULL),
         "enriched_stored_anomalies": rounded("enriched", *FULL),
+        "stream_running_scores": """
+            SELECT prev, curr, strftime(h, '%Y-%m-%d %H:%M') AS window_start, n, seen, round(m, 6) AS baseline_mean, round(s, 6) AS baseline_std,
+                   round((n - m) / (s + 0.01), 6) AS z_score
+            FROM (SELECT prev, curr, h, n, count(*) OVER w AS seen, avg(n) OVER w AS m, stddev_samp(n) OVER w AS s FROM hours
+                  WINDOW w AS (PARTITION BY prev, curr ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
         "sketch_baselines": """SELECT prev, curr, round(avg(n), 6) AS baseline_mean, round(coalesce(stddev_samp(n), 0.01), 6) AS baseline_std,
             true AS median_in_bounds FROM hours GROUP BY ALL""",
         "node_degree": "SELECT month, node, degree FROM degrees",

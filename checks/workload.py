@@ -396,6 +396,18 @@ def stream_alerts(spark, folder):
     return rounded(rows.select("window_start", "prev", "curr", "n", "deviation_ratio", "z_score"))
 
 
+def stream_running_scores(spark, folder):
+    """Hourly windows as a stream, week by week, scored against each edge's own running baseline."""
+    path, out = scratch_path(spark, "replay"), scratch_path(spark, "scores")
+    rows = windows.window_counts(derived.event_transitions(spark, folder)).select("prev", "curr", "window_start", "n")
+    rows = cut_lineage(rows.withColumn("week", F.date_trunc("week", "window_start").cast("date").cast("string")))
+    replay.write_replay(rows, path, "week")
+    stream = windows.running_scores(replay.open_replay(spark, path, rows.schema), delay="8 days", keep="3650 days")
+    replay.run_to_end(replay.put_batches(stream, out, scratch_path(spark, "stream")))
+    found = spark.read.parquet(out).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+    return rounded(found.select("prev", "curr", "window_start", "n", "seen", "baseline_mean", "baseline_std", "z_score"))
+
+
 def _on(rows, make):
     """A query that applies ``make`` to the rows of another."""
     return lambda spark, folder: make(rows(spark, folder))
@@ -442,6 +454,7 @@ def queries():
         "stored_anomalies": stored_anomalies,
         "edge_features": _monthly(series, lambda s, m: rounded(edges.edge_features(s, m))),
         "centroid_outliers": centroid_outliers,
+        "stream_running_scores": stream_running_scores,
         "sketch_baselines": sketch_baselines,
         "kmeans_outliers": kmeans_outliers,
         "kmeans_as_of": kmeans_as_of,

@@ -1,5 +1,7 @@
 import datetime
+import statistics
 
+import pytest
 
 from trailmark.streaming import replay, windows
 
@@ -85,3 +87,63 @@ def test_alerts(spark, tmp_path):
     replay.run_to_end(replay.append_to(windows.alerts(scored), str(tmp_path / "out"), str(tmp_path / "cp")))
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r["n"], round(r["deviation_ratio"], 3)) for r in rows] == [(500, 166.667)]
+
+
+def window_rows():
+    rows = [("A", "B", at(day, hour), 10 * day + hour) for day in range(1, 8) for hour in (1, 5, 9)]
+    return rows + [("C", "B", at(3, 2), 7), ("C", "B", at(6, 2), 21)]
+
+
+def running(rows):
+    """Each window against the mean and deviation of the edge's windows before it, row by row."""
+    out = {}
+    for prev, curr, start, n in sorted(rows, key=lambda r: r[2]):
+        before = [r[3] for r in rows if r[:2] == (prev, curr) and r[2] < start]
+        std = statistics.stdev(before) if len(before) > 1 else None
+        mean = statistics.fmean(before) if before else None
+        out[prev, curr, str(start)] = (n, len(before), mean, std, (n - mean) / (std + 0.01) if std is not None else None)
+    return out
+
+
+def scored(spark, folder, rows, keep="30 days"):
+    df = spark.createDataFrame([(*r, str(r[2].date())) for r in rows], "prev string, curr string, window_start timestamp, n bigint, day string")
+    replay.write_replay(df, f"{folder}/in", "day")
+    stream = windows.running_scores(replay.open_replay(spark, f"{folder}/in", df.schema), keep=keep)
+    replay.run_to_end(replay.put_batches(stream, f"{folder}/out", f"{folder}/cp"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def test_running_scores_equal_those_of_all_rows(spark, tmp_path):
+    got = {(r.prev, r.curr, str(r.window_start)): (r.n, r.seen, r.baseline_mean, r.baseline_std, r.z_score) for r in scored(spark, tmp_path, window_rows()).collect()}
+    want = running(window_rows())
+    assert got.keys() == want.keys()
+    for key, values in want.items():
+        assert got[key][:2] == values[:2]
+        assert all((a is None and b is None) or a == pytest.approx(b) for a, b in zip(got[key][2:], values[2:], strict=True))
+
+
+def test_forgotten_edges_start_anew(spark, tmp_path):
+    rows = [("A", "B", at(1, 1), 5), ("A", "B", at(1, 3), 7), *[("X", "Y", at(day, 1), 1) for day in range(2, 12)], ("A", "B", at(12, 1), 9)]
+    found = {str(r.window_start): r.seen for r in scored(spark, tmp_path, rows, keep="3 days").filter("prev = 'A'").collect()}
+    assert found == {str(at(1, 1)): 0, str(at(1, 3)): 1, str(at(12, 1)): 0}
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    rows = scored(spark, tmp_path, window_rows())
+    before = sorted(map(str, rows.collect()))
+    again = spark.createDataFrame(rows.filter("batch = 2").drop("batch").collect(), rows.drop("batch").schema)
+    replay.put_batch(again, 2, f"{tmp_path}/out")
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/out").collect())) == before
+
+
+def test_slices_are_read_in_order(spark, tmp_path):
+    df = spark.createDataFrame([(at(d, 1), "A", "B", d, f"2024-01-{d:02d}") for d in range(1, 9)], SCHEMA)
+    replay.write_replay(df, str(tmp_path / "in"), "day", files_per_slice=2)
+    seen = []
+    query = (
+        replay.open_replay(spark, str(tmp_path / "in"), df.schema)
+        .writeStream.foreachBatch(lambda rows, k: seen.append([r.n for r in rows.collect()]))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    replay.run_to_end(query)
+    assert seen == [[d] for d in range(1, 9)]
