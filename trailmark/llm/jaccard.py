@@ -185,20 +185,6 @@ def connected(links: DataFrame) -> DataFrame:
         labels = now.select("id", F.col("now").alias("root"))
 
 
-def _described(docs: DataFrame, width: int) -> DataFrame:
-    """(doc, tie, n, cls): the size of each row's set and the signature that equal sets share."""
-
-    def run(batches):
-        for batch in batches:
-            for part, sets in _sets(batch, 2, width):
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array([len(x) for x in sets], pa.int64()), pa.array([_signature(x) for x in sets], pa.int64())],
-                    ["doc", "tie", "n", "cls"],
-                )
-
-    return docs.mapInArrow(run, "doc long, tie long, n long, cls long")
-
-
 def _in_several(docs: DataFrame, width: int, least: float, common) -> np.ndarray:
     """A bitmap of the first shingles that stand in several classes."""
 
@@ -216,25 +202,26 @@ def _in_several(docs: DataFrame, width: int, least: float, common) -> np.ndarray
     return found
 
 
-def _heads(docs: DataFrame, width: int, least: float, common, shared) -> DataFrame:
-    """(cls, n, heads): the size of each set and those of its first shingles that perhaps stand in another class, if any."""
+def _described(docs: DataFrame, width: int, least: float, common, shared) -> DataFrame:
+    """(doc, tie, n, cls, heads) of every row: the size of its set, the signature that equal sets share, and those of its first
+    shingles that perhaps stand in another class."""
 
     def run(batches):
         for batch in batches:
-            for _, sets in _sets(batch, 0, width):
-                out = []
-                for x in sets:
-                    heads = _prefix(x, common.value, least) if len(x) else x
-                    heads = heads[perhaps(shared.value, heads)]
-                    if len(heads):
-                        out.append((_signature(x), len(x), long(heads)))
+            for part, sets in _sets(batch, 2, width):
+                heads = [_prefix(x, common.value, least) if len(x) else x for x in sets]
+                held = [long(h[perhaps(shared.value, h)]) for h in heads]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array([row[k] for row in out], pa.int64()) for k in (0, 1)], pa.array([h for *_, h in out], pa.list_(pa.int64()))],
-                    ["cls", "n", "heads"],
+                    [
+                        *part.columns[:2],
+                        pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([_signature(x) for x in sets], pa.int64()),
+                        pa.array(held, pa.list_(pa.int64())),
+                    ],
+                    ["doc", "tie", "n", "cls", "heads"],
                 )
 
-    found = docs.mapInArrow(run, "cls long, n long, heads array<long>")
-    return found.groupBy("cls").agg(F.first("n").alias("n"), F.first("heads").alias("heads"))
+    return docs.mapInArrow(run, "doc long, tie long, n long, cls long, heads array<long>")
 
 
 def _candidates(docs: DataFrame, width: int, wanted) -> DataFrame:
@@ -394,11 +381,11 @@ def _further_links(classes: DataFrame, postings: DataFrame, roots: DataFrame, le
 def _grouped(rows: DataFrame, width: int, least: float) -> DataFrame:
     """(doc, tie, n, component) of rows (doc, tie, text); a component is a class or the root of linked ones, null without shingles."""
     context, texts = rows.sparkSession.sparkContext, rows.select("text")
-    described = stored(_described(rows, width))
     common = context.broadcast(_in_several(texts, width, least, context.broadcast(np.zeros(2 ** (BITS - 6), dtype=np.uint64))))
     shared = context.broadcast(_in_several(texts, width, least, common))
-    heads = _heads(texts, width, least, common, shared).select(F.explode("heads").alias("shingle"), "cls", "n", F.col("cls").alias("component"))
-    able = _open_lists(heads, least)
+    described = stored(_described(rows, width, least, common, shared))
+    classes = described.filter(F.size("heads") > 0).groupBy("cls").agg(F.first("n").alias("n"), F.first("heads").alias("heads"))
+    able = _open_lists(classes.select(F.explode("heads").alias("shingle"), "cls", "n", F.col("cls").alias("component")), least)
     sets = stored(_candidates(texts, width, context.broadcast(bitmap(able.select("cls").distinct(), "cls"))))
     discard(able)
     counts = stored(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= LEVELS[0]))
