@@ -213,7 +213,9 @@ def anomaly_details(
     one page may hold many anomalies.  All lists are bounded by months, days or
     the ten referrers kept.
     """
-    series = edge_series(clicks, months).withColumn("_points", S.named_points(months))
+    # only anomalous edges have a series here
+    known = clicks.join(anomalies.select(*EDGE).distinct(), EDGE, "left_semi")
+    series = edge_series(known, months).withColumn("_points", S.named_points(months))
     recent = series.select(*EDGE, S.last("_points", 6).alias("timeseries_6m"))
     pages = referrer_changes(nested_top_referrers(top_referrers(clicks, months)))
     rows = signal_status(signals(anomalies, style)).join(recent, EDGE, "left")
