@@ -488,6 +488,9 @@ def oracle_sql() -> dict[str, str]:
                    round((n - m) / (s + 0.01), 6) AS z_score
             FROM (SELECT prev, curr, h, n, count(*) OVER w AS seen, avg(n) OVER w AS m, stddev_samp(n) OVER w AS s FROM hours
                   WINDOW w AS (PARTITION BY prev, curr ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+        "landed_views": "SELECT page, CAST(date AS VARCHAR) AS date, views FROM views",
+        "edge_lookup": f"SELECT em.* FROM em WHERE (prev, curr, type) IN (SELECT (prev, curr, type) FROM ({_TOP.format(k=100)}))",
+        "stream_updates": "SELECT strftime(h, '%Y-%m-%d %H:%M') AS window_start, prev, curr, n FROM hours",
         "sketch_baselines": """SELECT prev, curr, round(avg(n), 6) AS baseline_mean, round(coalesce(stddev_samp(n), 0.01), 6) AS baseline_std,
             true AS median_in_bounds FROM hours GROUP BY ALL""",
         "node_degree": "SELECT month, node, degree FROM degrees",

@@ -15,7 +15,7 @@ from trailmark.schema import EDGE
 from trailmark.sources import derived
 from trailmark.sources.anomalies import read_anomalies, write_anomalies, write_flat
 from trailmark.sources.clicks import clean_or_load, read_months
-from trailmark.sources.pageviews import flatten_responses
+from trailmark.sources.pageviews import flatten_responses, land_daily_views, read_daily_views
 from trailmark.sources.truth import ground_truth_pages
 from trailmark.streaming import replay, windows
 
@@ -333,6 +333,27 @@ def response_views(spark, folder):
     return dates_as_text(flatten_responses(packed.select("page", F.to_json(F.struct("items")).alias("body"))))
 
 
+def landed_views(spark, folder):
+    """Daily views landed as JSON files and read back."""
+    path = scratch_path(spark, "landed")
+    land_daily_views(derived.daily_views(spark, folder), path)
+    return dates_as_text(read_daily_views(spark, path))
+
+
+def edge_lookup(spark, folder):
+    """All months of the edges of the most confident anomalies."""
+    keys = reports.top_by_confidence(anomalies(spark, folder), 100)
+    return explain.edge_lookup(edges.edge_month(clicks(spark, folder)), keys)
+
+
+def stream_updates(spark, folder):
+    """What update mode last said of each window, open ones included."""
+    out = scratch_path(spark, "updates")
+    replay.run_to_end(replay.put_batches(replayed(spark, folder, end=False), out, scratch_path(spark, "stream"), "update"))
+    rows = spark.read.parquet(out).groupBy("window_start", "prev", "curr").agg(F.max_by("n", "batch").alias("n"))
+    return rows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
 def anomalies_pageviews(spark, folder):
     joined = pageviews.with_pageviews(anomalies(spark, folder), derived.daily_views(spark, folder))
     return dates_as_text(joined.select("anomaly_id", "page", "date", "views"))
@@ -366,7 +387,7 @@ def sketch_baselines(spark, folder):
     return rounded(rows.join(ranks, keys).select(*keys, "baseline_mean", "baseline_std", "median_in_bounds"))
 
 
-def replayed(spark, folder):
+def replayed(spark, folder, end=True):
     """The event transitions as a stream: written week by week, then read back in order.
 
     The delay of ten days covers a week's files in any order, so nothing is dropped.
@@ -376,7 +397,8 @@ def replayed(spark, folder):
     rows = derived.event_transitions(spark, folder).withColumn("day", week)
     rows = cut_lineage(rows.select("ts", "prev", "curr", F.col("n").cast("bigint").alias("n"), "day"))
     replay.write_replay(rows, path, "day", files_per_slice=2)
-    replay.end_replay(rows, path, "ts")
+    if end:
+        replay.end_replay(rows, path, "ts")
     return windows.window_counts(replay.open_replay(spark, path, rows.schema, 2), delay="10 days")
 
 
@@ -455,6 +477,9 @@ def queries():
         "edge_features": _monthly(series, lambda s, m: rounded(edges.edge_features(s, m))),
         "centroid_outliers": centroid_outliers,
         "stream_running_scores": stream_running_scores,
+        "landed_views": landed_views,
+        "edge_lookup": edge_lookup,
+        "stream_updates": stream_updates,
         "sketch_baselines": sketch_baselines,
         "kmeans_outliers": kmeans_outliers,
         "kmeans_as_of": kmeans_as_of,

@@ -100,6 +100,9 @@ def test_anomaly_table(spark, tmp_path):
     assert [r["anomaly_id"] for r in one_month.collect()] == ["2"]
     assert one_month.first()["forecast_ratio"] == 1.0
     assert "PartitionFilters: [isnotnull(month" in one_month._jdf.queryExecution().executedPlan().toString()
+    for _ in range(2):  # a repeated run leaves one copy, and a type that is gone goes
+        write_anomalies(table.filter("month = '2024-01'").replace("mix_shift", "traffic_spike", "anomaly_type"), path, mode="replace")
+        assert sorted((r["month"], r["anomaly_type"]) for r in read_anomalies(spark, path).collect()) == [("2024-01", "traffic_spike"), ("2024-02", "traffic_spike")]
     with pytest.raises(ValueError):
         read_anomalies(spark, path, fmt="xml")
     write_flat(table, str(tmp_path / "flat"))
