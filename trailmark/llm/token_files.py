@@ -250,5 +250,6 @@ def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
                         parts, size, begun = [], 0, k + 1
 
-    dealt = files.select("index_path", "path", "first").repartition("path")
+    # a number of parts that is asked for is not put together again: each file has a task
+    dealt = files.select("index_path", "path", "first").repartitionByRange(max(1, files.count()), "first", "path")
     return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
