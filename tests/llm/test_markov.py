@@ -1,8 +1,10 @@
 from collections import Counter
+from hashlib import sha256
 from math import log10
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +121,42 @@ def test_spans_of_texts_of_any_length_against_brute_force():
     assert found[0][1].sum() == pytest.approx(len(texts)) and found[0][2].sum() == pytest.approx(len(codes))
 
 
+def test_words_of_columns_are_those_of_each_text():
+    texts = ["", None, " a  B\tÄÖ\x0b\x0cİ\x1cx\x85y\xa0z\u2003q \r\n", "\n", "K ſ ẞ A-Z", "W" * 65 + " " + "w" * 64, "a a"]
+    words, sizes = markov.words_of(pa.array(texts)[1:])
+    want = [(t or "").encode().lower().split() for t in texts[1:]]
+    assert words.to_pylist() == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+    short = [w if len(w) <= 64 else b"\xff" + sha256(w).digest() for t in want for w in t]
+    assert markov.narrowed(words).to_pylist() == short
+    assert markov.endings_of(words, 16).tolist() == [crc32(w[-3:]) % 16 for t in want for w in t]
+
+
+def test_pieces_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(markov, "PIECE", 10)
+    texts = ["x" * n for n in (3, 0, 25, 1, 1, 9, 10, 11)] + [None, "y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["row", "text"])
+    found = list(markov.pieces(batch, 1))
+    assert len(found) > 3 and [t for p in found for t in p.column(1).to_pylist()] == texts
+    assert not list(markov.pieces(batch.slice(0, 0), 1))
+
+
+def test_only_very_long_texts_need_products(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = markov.first_states(rng.random(30), 4)
+    lengths = [20_000, 3, 700, 40_000, 512, 513, 1_024]
+    codes, ends = rng.integers(0, 30, sum(lengths)), np.cumsum([0, *lengths])
+    spans = markov.Spans(codes, ends, model)
+    long = spans.text == 3
+    # a product of matrices takes as many steps as there are states, a waiting span one
+    assert (spans.before[~long] == model.start).all() and (spans.before[np.flatnonzero(long)[1:]] != model.start).any(axis=1).all()
+    mixed = spans.likelihoods(), *spans.expected()
+    for turns in (0, 1_000):
+        monkeypatch.setattr(markov, "IN_TURN", turns)
+        other = markov.Spans(codes, ends, model)
+        for a, b in zip(mixed, (other.likelihoods(), *other.expected()), strict=True):
+            assert np.allclose(a, b, rtol=1e-10)
+
+
 def test_likelihood_is_the_sum_over_all_paths():
     model = markov.first_states(np.array([0.5, 0.3, 0.2]), 2)
     codes = np.array([0, 2, 1, 1])

@@ -6,19 +6,20 @@ share one by their last three bytes; inside a class words keep their base propor
 unknown word.  Baum-Welch trains the states: tasks add up expected counts of moves and emissions, the cluster sums
 them over all tasks, the driver divides.  The likelihood of a text is the exact sum over all paths.
 
-Long texts are cut into spans for the recursion only: the product of a span's matrices carries the
-forward vector over it, so that spans of many texts advance side by side and no text is shortened.
+Long texts are cut into spans for the recursion only, so that spans of many texts advance side by side and no text is
+shortened.  Spans of the same number wait for those before them; the spans of very long texts do not: products of their
+matrices carry the forward vector over them.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from itertools import repeat
+from itertools import pairwise
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,45 +33,73 @@ SENT = 131_072
 WIDE = 64
 #: Distinct words that a task counts before it passes them on.
 HELD = 400_000
+#: Bytes of the texts that are cut into words at a time.
+PIECE = 4_000_000
 #: Tokens of a span of the recursion, and of the spans that advance together.
 SPAN, TOGETHER = 512, 131_072
+#: Spans of a text up to which each waits for the one before it; those of longer texts are joined by products.
+IN_TURN = 64
 #: Added to each count of the base distribution.
 LEAST = 0.1
 
 _END = b""
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """The words of a text, long ones by their digest, and the end."""
-    words = (text or "").encode().lower().split()
-    if words and max(map(len, words)) > WIDE:
-        words = [w if len(w) <= WIDE else b"\xff" + sha256(w).digest() for w in words]
-    words.append(_END)
-    return words
+def pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about PIECE bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+    part = (np.cumsum(sizes) - sizes) // PIECE
+    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), batch.num_rows]
+    for begin, end in pairwise(cuts):
+        yield batch.slice(begin, end - begin)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts end to end, lower-cased (A-Z), and how many each has; null has none."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, sizes = split.flatten().cast(pa.binary()), split.value_lengths().to_numpy()
+    whole = pc.greater(pc.binary_length(flat), 0)  # white space at a text's ends leaves empty words
+    upto = np.concatenate([[0], np.cumsum(whole.to_numpy(zero_copy_only=False))])
+    return flat.filter(whole), np.diff(upto[np.concatenate([[0], np.cumsum(sizes)])])
+
+
+def narrowed(words: pa.Array) -> pa.Array:
+    """The words, long ones by their digest."""
+    wide = pc.greater(pc.binary_length(words), WIDE)
+    digests = [b"\xff" + sha256(w).digest() for w in words.filter(wide).to_pylist()]
+    return pc.replace_with_mask(words, wide, pa.array(digests, pa.binary())) if digests else words
 
 
 def ending(word: bytes, endings: int) -> int:
     return crc32(word[-3:]) % endings
 
 
+def endings_of(words: pa.Array, endings: int) -> np.ndarray:
+    """``ending`` of each word."""
+    last = pc.binary_slice(words, -3).dictionary_encode()
+    of = np.array([ending(w, endings) for w in last.dictionary.to_pylist()], dtype=np.int32)
+    return of[last.indices.to_numpy()]
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word binary, n): how often each token stands in all texts, stored."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def passed_on():
-            batch = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-            seen.clear()
-            return batch
+    def summed(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                seen.update(tokens_of(t))
-                if len(seen) >= HELD:
-                    yield passed_on()
-        if seen:
-            yield passed_on()
+            for piece in pieces(batch, 0):
+                counted = pc.value_counts(words_of(piece.column(0))[0])
+                held.append(pa.table([narrowed(counted.field("values")), counted.field("counts")], ["word", "n"]))
+                held.append(pa.table([pa.array([_END], pa.binary()), pa.array([piece.num_rows], pa.int64())], ["word", "n"]))
+                if sum(t.num_rows for t in held) >= 2 * HELD:
+                    held = [summed(held)]
+                    if held[0].num_rows >= HELD:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from summed(held).to_batches()
 
     return stored(docs.select(text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
@@ -146,41 +175,39 @@ def encode(docs: DataFrame, known: Vocabulary, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, counts, total, own, endings = shared.value
-        place = {w: k for k, w in enumerate(common)}
         logs = np.log10((counts + LEAST) / total)
-        classes = np.array([k if k < own else own + ending(w, endings) for k, w in enumerate(common)], dtype=np.int32)
+        common = pa.array(common, pa.binary())
         for batch in batches:
-            n_tokens, n_sent, base, rare, times, codes = [], [], [], [], [], []
-            for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
-                words = tokens_of(t)
-                at = np.fromiter(map(place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-                others = np.flatnonzero(at < 0)
-                code = classes[at]
-                seen: Counter = Counter()
-                if len(others):
-                    odd = [words[k] for k in others.tolist()]
-                    code[others] = [own + ending(w, endings) for w in odd]
-                    seen.update(odd)
-                    at = at[at >= 0]
-                n_tokens.append(len(words))
-                n_sent.append(int((counts[at] > 0).sum()))
-                base.append(float(logs[at].sum()))
-                rare.append(list(seen))
-                times.append(list(seen.values()))
-                codes.append(code)
-            ends = np.cumsum([0, *map(len, codes)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(batch.schema.get_field_index(n)) for n in names[: len(kept) + 1]],  # with row
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_sent, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(codes) if codes else [], pa.int32())),
-                    pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(times, pa.list_(pa.int32())),
-                ],
-                names,
-            )
+            at_text = batch.schema.get_field_index(text)
+            for piece in pieces(batch, at_text):
+                words, sizes = words_of(piece.column(at_text))
+                coded = words.dictionary_encode()
+                kinds, kind = narrowed(coded.dictionary), coded.indices.to_numpy()
+                place = pc.fill_null(pc.index_in(kinds, common), -1).to_numpy()
+                of_kind = np.where((place >= 0) & (place < own), place, own + endings_of(kinds, endings)).astype(np.int32)
+                texts = np.repeat(np.arange(len(sizes)), sizes)
+                ends = np.concatenate([[0], np.cumsum(sizes + 1)])
+                codes = np.zeros(ends[-1], dtype=np.int32)  # the end's class is 0
+                codes[np.arange(len(kind)) + texts] = of_kind[kind]
+                at = place[kind]
+                sent, n = at >= 0, len(sizes)
+                n_sent = np.bincount(texts[sent], weights=counts[at[sent]] > 0, minlength=n).astype(np.int64) + int(counts[0] > 0)
+                base = np.bincount(texts[sent], weights=logs[at[sent]], minlength=n) + logs[0]
+                pairs, times = np.unique(texts[~sent] * max(1, len(kinds)) + kind[~sent], return_counts=True)
+                in_text, rare = np.divmod(pairs, max(1, len(kinds)))
+                cuts = pa.array(np.searchsorted(in_text, np.arange(n + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[piece.column(piece.schema.get_field_index(c)) for c in names[: len(kept) + 1]],  # with row
+                        pa.array(sizes + 1, pa.int64()),
+                        pa.array(n_sent),
+                        pa.array(base),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)),
+                        pa.ListArray.from_arrays(cuts, kinds.take(pa.array(rare))),
+                        pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32())),
+                    ],
+                    names,
+                )
 
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
     types += ["row long, n_tokens long, n_sent long, base_sent double, classes array<int>, rare array<binary>, times array<int>"]
@@ -215,6 +242,9 @@ class Spans:
         self.first_of = np.cumsum(spans) - spans  # the number of each text's first span
         self.spans, self.text = spans, np.repeat(np.arange(len(sizes)), spans)
         number = np.arange(spans.sum()) - self.first_of[self.text]
+        in_turn = spans[self.text] <= IN_TURN
+        self.turn = np.where(in_turn, number, 0)
+        self.followed = in_turn & (number + 1 < spans[self.text])
         self.begin = ends[:-1][self.text] + number * SPAN
         self.length = np.minimum(SPAN, ends[1:][self.text] - self.begin)
         self.before = np.tile(states.start.astype(kind), (len(self.text), 1))
@@ -235,8 +265,8 @@ class Spans:
         return self.by_class[self.codes[at]]
 
     def _carry(self) -> None:
-        """Vectors before and after each span of the texts that have several, by the products of their spans."""
-        several = np.flatnonzero(self.spans[self.text] > 1)
+        """Vectors before and after each span of the texts of more than IN_TURN, by the products of their spans."""
+        several = np.flatnonzero(self.spans[self.text] > IN_TURN)
         if not len(several):
             return
         products = np.empty((len(several), self.k, self.k), dtype=self.kind)
@@ -251,7 +281,7 @@ class Spans:
                 if step % 4 == 3:
                     held[:n] /= held[:n].sum(axis=(1, 2), keepdims=True)
             products[place[group]] = held / held.sum(axis=(1, 2), keepdims=True)
-        texts = np.flatnonzero(self.spans > 1)
+        texts = np.flatnonzero(self.spans > IN_TURN)
         texts = texts[np.argsort(-self.spans[texts], kind="stable")]
         for number in range(1, int(self.spans[texts[0]])):
             now = self.first_of[texts[self.spans[texts] > number]] + number
@@ -275,18 +305,34 @@ class Spans:
             now = here
         return reached, scale
 
+    def _pass_on(self, group: np.ndarray, reached: np.ndarray) -> None:
+        """Let the spans that wait for those of `group` begin where they end."""
+        on = np.flatnonzero(self.followed[group])
+        self.before[group[on] + 1] = reached[self.length[group[on]] - 1, on]
+
+    def turns(self) -> list[np.ndarray]:
+        """The spans by their turn."""
+        order = np.argsort(self.turn, kind="stable")
+        return np.split(order, np.cumsum(np.bincount(self.turn))[:-1]) if len(order) else []
+
     def likelihoods(self) -> np.ndarray:
         """The natural logarithm of each text's likelihood, relative to the base masses of its classes."""
         found = np.zeros(len(self.spans))
-        for group, active in self.groups(np.arange(len(self.text))):
-            _, scale = self._forward(group, active, self.emitted(group, len(active)))
-            np.add.at(found, self.text[group], np.log(scale).sum(axis=0))
+        for spans in self.turns():
+            for group, active in self.groups(spans):
+                reached, scale = self._forward(group, active, self.emitted(group, len(active)))
+                self._pass_on(group, reached)
+                np.add.at(found, self.text[group], np.log(scale).sum(axis=0))
         return found
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """How often, in expectation, a text starts in each state, each move is made, each state emits each class."""
         start, moves, emission = np.zeros(self.k), np.zeros((self.k, self.k)), np.zeros(self.by_class.T.shape)
-        for group, active in self.groups(np.arange(len(self.text))):
+        turns = self.turns()
+        for spans in turns:
+            for group, active in self.groups(spans[self.followed[spans]]):
+                self._pass_on(group, self._forward(group, active, self.emitted(group, len(active)))[0])
+        for group, active in (found for spans in reversed(turns) for found in self.groups(spans)):
             emitted = self.emitted(group, len(active))
             reached, scale = self._forward(group, active, emitted)
             last = reached[self.length[group] - 1, np.arange(len(group))]
@@ -300,6 +346,8 @@ class Spans:
                 np.multiply(emitted[step, :n], back[:n], out=here)
                 here /= scale[step, :n, None]
                 np.matmul(here, returning, out=back[:n])
+            waiting = np.flatnonzero(self.turn[group])
+            self.after[group[waiting] - 1] = back[waiting] / back[waiting].sum(axis=1, keepdims=True)
             held = reached * backs * share[None, :, None]
             inside = np.arange(len(active))[:, None] < self.length[group][None, :]
             codes = self.codes[(self.begin[group][None, :] + np.arange(len(active))[:, None])[inside]]
